@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from popforge.llm import decontamination, language_id, mixing, pii, substring_dedup, suffix_dedup
+from popforge.llm import decontamination, jaccard_join, language_id, mixing, pii, substring_dedup, suffix_dedup
 from popforge.llm.shared import table
 
 
@@ -23,6 +23,10 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_language_id": op7_language_id,
     "op9_mixing": op9_mixing,

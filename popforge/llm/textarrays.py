@@ -111,10 +111,10 @@ def shingles(hashes: np.ndarray, first: np.ndarray, size: int) -> list[np.ndarra
         if b - a >= size:
             out.append(np.unique(rolled[a : b - size + 1]))
         elif b > a:
-            whole = np.uint64(0)
+            whole = np.zeros(1, np.uint64)
             for k in range(a, b):
-                whole = mix(np.array([whole * np.uint64(BASE) + hashes[k] + np.uint64(k - a)], np.uint64))[0]
-            out.append(mix(np.array([whole + np.uint64(b - a)], np.uint64)))
+                whole = mix(whole * np.uint64(BASE) + hashes[k : k + 1] + np.uint64(k - a))
+            out.append(mix(whole + np.uint64(b - a)))
         else:
             out.append(np.empty(0, np.uint64))
     return out
