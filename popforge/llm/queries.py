@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from popforge.llm import decontamination, jaccard_join, language_id, mixing, pii, substring_dedup, suffix_dedup
+from popforge.llm import decontamination, jaccard_join, language_id, mixing, pii, quality_rules, substring_dedup, suffix_dedup
 from popforge.llm.shared import table
 
 
@@ -35,6 +35,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
 
@@ -46,5 +51,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_language_id": op7_language_id,
+    "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
 }
