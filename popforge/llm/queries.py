@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from popforge.llm import decontamination, jaccard_join, language_id, mixing, pii, quality_rules, substring_dedup, suffix_dedup
+from popforge.llm import decontamination, html_content, jaccard_join, language_id, mixing, pii, quality_rules, substring_dedup, suffix_dedup
 from popforge.llm.shared import table
 
 
@@ -44,6 +44,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op10_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_content.extract(pages, html_content.fit(pages))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
@@ -53,4 +58,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
+    "op10_html_content": op10_html_content,
 }
