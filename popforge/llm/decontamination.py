@@ -2,8 +2,8 @@
 
 Index: term -> (document, position) postings. A test phrase is matched by intersecting the postings of its
 terms, each shifted back by the term's offset in the phrase, starting from the rarest terms of the corpus.
-Postings are stored only for the PROBES rarest terms of each phrase: their intersection leaves few starts,
-and those are compared word by word with the document.
+Postings are stored only for the PROBES rarest terms of each window of a test item: their intersection
+leaves few places, and those are compared word by word with the document.
 
 Document frequencies cover all documents. Test-side tables are broadcast only where they are counted and
 small; else the same joins shuffle.
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from popforge.llm.shared import fits, written
 
 #: Words in a window, terms of a window whose postings are intersected, rows of a side that may be broadcast.
-WINDOW, PROBES, BROADCAST_ROWS = 10, 3, 200_000
+WINDOW, PROBES, BROADCAST_ROWS = 10, 2, 200_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -32,51 +32,60 @@ def _side(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def test_windows(items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """Distinct windows (win, terms) of items(item_id, text), and the items they belong to (win, item_id).
+def item_words(items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """item_id, terms, length (of its windows) for items(item_id, text) with words.
 
-    An item of fewer words is one window; an item without words has none.
+    Windows are all runs of `window` words; an item of fewer words is one window.
     """
-    listed = items.select("item_id", words("text").alias("w")).where(F.size("w") > 0)
-    starts = F.sequence(F.lit(0), F.greatest(F.size("w") - window, F.lit(0)))
-    each = listed.select("item_id", F.explode(F.transform(starts, lambda i: F.slice("w", i + 1, window))).alias("terms"))
-    each = each.select("item_id", "terms", F.sha2(F.concat_ws(" ", "terms"), 256).alias("win"))
-    return written(each.select("win", "terms").dropDuplicates(["win"])), written(each.select("win", "item_id").distinct())
+    listed = items.select("item_id", words("text").alias("terms")).where(F.size("terms") > 0)
+    return written(listed.select("item_id", "terms", F.least(F.size("terms"), F.lit(window)).alias("length")))
 
 
-def term_rows(windows: DataFrame) -> DataFrame:
-    return windows.select("win", F.size("terms").alias("length"), F.posexplode("terms").alias("offset", "term"))
+def probes_of(items: DataFrame, df: DataFrame, probes: int) -> DataFrame:
+    """item_id, offset, term, need: places of an item that are among the rarest terms of one of its windows.
+
+    Windows with a term that no document has can't occur and ask for none.
+    """
+    starts = F.sequence(F.lit(0), F.size("terms") - F.col("length"))
+    windows = items.select("item_id", "length", F.explode(F.transform(starts, lambda i: F.struct(i.alias("i"), F.slice("terms", i + 1, F.col("length")).alias("terms")))).alias("w"))
+    placed = windows.select("item_id", "length", "w.i", F.posexplode("w.terms").alias("offset", "term")).join(df, "term", "left")
+    whole = Window.partitionBy("item_id", "i")
+    ranked = placed.withColumn("rank", F.row_number().over(whole.orderBy("df", "offset"))).withColumn("known", F.count("df").over(whole))
+    chosen = ranked.where((F.col("known") == F.col("length")) & (F.col("rank") <= probes))
+    return chosen.select("item_id", (F.col("i") + F.col("offset")).alias("offset"), "term", F.least("length", F.lit(probes)).alias("need")).distinct()
 
 
-def occurrences(docs: DataFrame, windows: DataFrame, probes: int = PROBES) -> tuple[DataFrame, DataFrame]:
-    """Exact occurrences (row, start, length, win) of windows in docs(row, text), and (row, n_words) of all docs.
+def occurrences(docs: DataFrame, items: DataFrame, probes: int = PROBES) -> tuple[DataFrame, DataFrame]:
+    """Exact occurrences (row, start, length, item_id) of windows of item_words() in docs(row, text), and (row, n_words).
 
     `row` must tell rows apart. start counts words from 0.
     """
-    terms = term_rows(windows)
-    vocabulary = written(terms.select("term").distinct())
-    small = fits(vocabulary, BROADCAST_ROWS)
+    vocabulary = written(items.select(F.explode("terms").alias("term")).distinct())
     seen = docs.select(F.explode(words("text")).alias("term"))
-    df = seen.join(_side(vocabulary, small), "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    # the rarest terms of each window; a window with a term that no document has can't occur
-    ranked = terms.join(df, "term", "left").withColumn("rank", F.row_number().over(Window.partitionBy("win").orderBy("df", "offset")))
-    whole = ranked.groupBy("win").agg((F.count("df") == F.first("length")).alias("possible")).where("possible").select("win")
-    probing = written(ranked.where(F.col("rank") <= probes).join(whole, "win").select("win", "length", "offset", "term"))
-    chosen = probing.select("term").distinct()
+    df = seen.join(_side(vocabulary, fits(vocabulary, BROADCAST_ROWS)), "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    probing = written(probes_of(items, df, probes))
+    small = fits(probing, BROADCAST_ROWS)
     # each document's word count comes with its postings, as the position of an empty term after its last word
+    ends = probing.select("term").distinct().unionByName(docs.sparkSession.createDataFrame([("",)], "term string"))
     listed = docs.select("row", F.posexplode(F.concat(words("text"), F.array(F.lit("")))).alias("pos", "term"))
-    ends = chosen.unionByName(chosen.sparkSession.createDataFrame([("",)], "term string"))
     index = written(listed.join(_side(ends, small), "term"))
     counts = index.where(F.col("term") == "").select("row", F.col("pos").cast("long").alias("n_words"))
-    postings = index.where(F.col("term") != "")
-    aligned = postings.join(_side(probing, fits(probing, BROADCAST_ROWS)), "term").select("row", (F.col("pos") - F.col("offset")).alias("start"), "win", "length")
-    met = aligned.where(F.col("start") >= 0).groupBy("row", "start", "win", "length").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == F.least(F.lit(probes), F.col("length")))
-    # the few starts left are compared in full
-    claims = met.join(_side(windows, fits(windows, BROADCAST_ROWS)), "win").groupBy("row").agg(F.collect_list(F.struct("start", "win", "terms")).alias("claims"))
-    texts = docs.join(claims, "row").select("row", "claims", words("text").alias("w"))
-    right = F.filter("claims", lambda c: F.slice(F.col("w"), c["start"] + 1, F.size(c["terms"])) == c["terms"])
-    hits = texts.select("row", F.explode(right).alias("c")).select("row", "c.start", F.size("c.terms").alias("length"), "c.win")
-    return hits, counts
+    # postings shifted back by the term's offset in the item: a window's terms meet at one shift
+    aligned = index.where(F.col("term") != "").join(_side(probing, small), "term").select("row", "item_id", "need", (F.col("pos") - F.col("offset")).alias("shift"))
+    met = written(aligned.groupBy("row", "item_id", "shift", "need").agg(F.count(F.lit(1)).alias("n")).where("n >= need").select("row", "item_id", "shift"))
+    # the few shifts left are compared word by word
+    claims = met.join(items, "item_id").groupBy("row").agg(F.collect_list(F.struct("shift", "item_id", "terms", "length")).alias("claims"))
+    claimed = met.select("row").distinct()
+    texts = docs.join(_side(claimed, fits(claimed, BROADCAST_ROWS)), "row", "left_semi").join(claims, "row")
+    each = texts.select("row", words("text").alias("w"), "claims").select("row", F.explode(F.transform("claims", lambda c: _matches("w", c))).alias("c"))
+    return each.select("row", F.explode("c.starts").alias("start"), "c.length", "c.item_id"), counts
+
+
+def _matches(w: str, claim: Column) -> Column:
+    terms, length, shift = claim["terms"], claim["length"], claim["shift"]
+    same = F.transform(terms, lambda t, j: F.coalesce(F.get(w, shift + j) == t, F.lit(False)))
+    starts = F.filter(F.sequence(F.lit(0), F.size(terms) - length), lambda s: F.forall(F.slice(same, s + 1, length), lambda x: x))
+    return F.struct(F.transform(starts, lambda s: shift + s).alias("starts"), length.alias("length"), claim["item_id"].alias("item_id"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -86,11 +95,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     the same throughout are answered alike, one row each; no items: nothing is hit.
     """
     texts = docs.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("row"), "text")
-    windows, owners = test_windows(items, window)
-    hits, counts = occurrences(texts.select("row", "text"), windows)
+    hits, counts = occurrences(texts, item_words(items, window))
     hits = written(hits)
     covered = hits.groupBy("row").agg(F.size(F.array_distinct(F.flatten(F.collect_list(F.sequence("start", F.col("start") + F.col("length") - 1))))).cast("long").alias("n_hit"))
-    named = hits.select("row", "win").distinct().join(owners, "win").select("row", F.col("item_id").cast("string").alias("item")).distinct()
+    named = hits.select("row", F.col("item_id").cast("string").alias("item")).distinct()
     named = named.groupBy("row").agg(F.sort_array(F.collect_list("item")).alias("items"))
     found = covered.join(named, "row")
     empty = F.lit(0).cast("long")
@@ -101,6 +109,15 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     )
 
 
+def uncontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of docs, all columns kept, that hold no window of an item."""
+    row = F.struct("doc_id", F.xxhash64("text").alias("h"))
+    hits, _ = occurrences(docs.select(row.alias("row"), "text"), item_words(items, window))
+    hit = written(hits.select("row").distinct())
+    kept = docs.select(F.struct("*").alias("doc"), row.alias("row")).join(_side(hit, fits(hit, BROADCAST_ROWS)), "row", "left_anti")
+    return kept.select("doc.*")
+
+
 def proximity(docs: DataFrame, phrase: list[str], slop: int) -> DataFrame:
     """Places (doc_id, start, end) where every distinct term of the phrase occurs within len(terms) + slop words.
 
