@@ -174,6 +174,19 @@ def _join(percent: int):
     return run
 
 
+def representatives(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of docs with one row left of each linked component, that of its smallest doc_id, and all columns kept.
+
+    Rows that are linked with nothing (null and wordless texts among them) stay; rows of one id and text are one.
+    """
+    found = _components(docs, shingle, percent)
+    first = found.where("n_shingles = 0 or doc_id <=> component_id").select("doc_id", "h").distinct()
+    row = F.struct("doc_id", F.xxhash64("text").alias("h"))
+    kept = docs.select(F.struct("*").alias("doc"), row.alias("row")).join(first.select(F.struct("doc_id", "h").alias("row")), "row")
+    # rows that are the same throughout are one
+    return kept.dropDuplicates(["row"]).select("doc.*")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id: a row for each row of docs(doc_id, text).
 
@@ -181,6 +194,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     no shingle and are linked with nothing: their component is their own doc_id. Repeated rows are in one component.
     Null ids take part, and no component is named by one unless all its ids are null.
     """
+    return _components(docs, shingle, percent).drop("h")
+
+
+def _components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     scanned = docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInPandas(_scan(shingle, percent), "doc_id long, h long, n_shingles long, key long, parts array<long>")
     found = written(scanned)
     classes = found.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.min(F.struct("doc_id", "h")).alias("row"), F.first("n_shingles").alias("n"))
@@ -206,10 +223,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         paired = cut.select("family", "key", "own", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
         paired = paired.select("family", "key", "own", (F.hash("family").cast("long") * 65536 + F.least("block", "with")).alias("deal"), F.greatest("block", "with").alias("other"))
         links = written(whole.unionByName(paired).groupBy("deal", "other").applyInPandas(_join(percent), "a long, b long"))
-    out = found.select("doc_id", "n_shingles", "key")
+    out = found.select("doc_id", "h", "n_shingles", "key")
     named = classes.select("key", "first_doc")
     if links is not None:
         roots = components(links)
         named = classes.select("key", "first_doc").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
         named = named.select("key", F.min("first_doc").over(W.partitionBy("root")).alias("first_doc"))
-    return out.join(named, "key", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("first_doc")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.join(named, "key", "left").select("doc_id", "h", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("first_doc")).otherwise(F.col("doc_id")).alias("component_id"))

@@ -108,8 +108,8 @@ def fit(docs: DataFrame) -> dict:
     return {"langs": langs, "code": code, "weights": weights, "bit_weight": bit_weight / bit_weight.sum()}
 
 
-def predict(docs: DataFrame, model: dict) -> DataFrame:
-    """docs(doc_id, text, ...) with lang_pred, score (0 to 1) and ambiguous added; other columns stay.
+def predict(docs: DataFrame, model: dict, carry: list[str] | None = None) -> DataFrame:
+    """docs(text, ...) with lang_pred, score (0 to 1) and ambiguous added; of the other columns those in carry, or all.
 
     Null texts and texts without a letter get `und`, score 0. The model is BUCKETS x bits numbers, sent with the tasks.
     """
@@ -118,7 +118,7 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            texts = pdf["_text"].tolist()
+            texts = pdf["text"].tolist()
             best, score, doubt = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
             for rows, held in chunks(texts):
                 if not langs:
@@ -132,11 +132,11 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
                     if texts[row] is not None and _LETTER.search(texts[row]):
                         best[row], score[row] = langs[top[k]], odds[k, top[k]]
                         doubt[row] = score[row] < AMBIGUOUS
-            yield pd.DataFrame({c: pdf[c] for c in pdf.columns if c != "_text"} | {"lang_pred": best, "score": score, "ambiguous": doubt})
+            yield pdf[columns].assign(lang_pred=best, score=score, ambiguous=doubt)
 
-    columns = [c for c in docs.columns if c not in ("lang_pred", "score", "ambiguous")]
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return docs.select(*[F.col(f"`{c}`") for c in columns], F.col("text").alias("_text")).mapInPandas(run, f"{fields}, lang_pred string, score double, ambiguous boolean")
+    columns = [c for c in (docs.columns if carry is None else carry) if c not in ("lang_pred", "score", "ambiguous")]
+    fields = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in columns)
+    return docs.select([f"`{c}`" for c in dict.fromkeys([*columns, "text"])]).mapInPandas(run, f"{fields}lang_pred string, score double, ambiguous boolean")
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -144,4 +144,4 @@ def identify(docs: DataFrame) -> DataFrame:
     held = docs.select("doc_id", "text", "lang", (crc_mod("doc_id", 4) == 2).alias("held_out"))
     # a null id has no remainder: it is neither learned from nor held out
     model = fit(held.where(~F.col("held_out")))
-    return predict(held.select("doc_id", "text", F.coalesce("held_out", F.lit(False)).alias("held_out")), model).drop("text")
+    return predict(held.withColumn("held_out", F.coalesce("held_out", F.lit(False))), model, ["doc_id", "held_out"])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from popforge.llm import decontamination, html_content, jaccard_join, language_id, mixing, pii, quality_rules, substring_dedup, suffix_dedup
+from popforge.llm import context_tree, decontamination, html_content, jaccard_join, language_id, mixing, pii, quality_rules, substring_dedup, suffix_dedup
 from popforge.llm.shared import table
 
 
@@ -19,6 +19,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(table(spark, sf_dir, "documents"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def op10_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
+    "op3_context_tree": op3_context_tree,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_substring_dedup": op6_substring_dedup,
