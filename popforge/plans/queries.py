@@ -1,4 +1,520 @@
-"""Queries over the driver's tables, and their DuckDB equivalents."""
+"""Queries over the driver's tables, one for each operator, with DuckDB SQL that computes the same rows.
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+Amounts are summed as integer cents wherever a sum's order could show in the last digit.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from popforge.functions import scalars as S
+from popforge.functions.rng import uniform
+from popforge.operators import calibrate as K
+from popforge.operators import entities, gates, geography, impute, normalize, spine
+from popforge.operators import takeup as T
+from popforge.plans.proxy import SEED, SOURCES, donors, households, persons, table
+from popforge.sources import registry
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query under its function's name."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _u(key: str, seed: int | str = SEED) -> str:
+    return f"(CAST('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE)"
+
+
+_HH = "hh AS (SELECT c_custkey AS household_id, CAST(1 + c_custkey % 7 AS DOUBLE) AS weight, c_nationkey AS nation, c_mktsegment AS segment, c_acctbal AS balance FROM customer)"
+_P = "p AS (SELECT o_orderkey AS person_id, o_custkey AS household_id, CAST(floor(o_totalprice / 5000) AS INTEGER) AS age, o_totalprice AS income, o_orderstatus AS status FROM orders)"
+_D = "d AS (SELECT s_suppkey AS donor_id, s_nationkey AS nation, s_acctbal AS donor_balance, CAST(1 + s_suppkey % 5 AS BIGINT) AS donor_weight FROM supplier)"
+
+
+# sources
+
+
+@query("SELECT 'cps' AS alias, 'spine' AS role, count(*) AS n_rows FROM orders UNION ALL SELECT 'households', 'donor', count(*) FROM customer UNION ALL SELECT 'wealth', 'donor', count(*) FROM supplier UNION ALL SELECT 'lines', 'donor', count(*) FROM lineitem UNION ALL SELECT 'panel', 'donor', count(*) FROM events")
+def src_registry_counts(spark, sf_dir):
+    return registry.Registry.of(sf_dir, SOURCES).counts(spark)
+
+
+@query("SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_quantity > 45")
+def scan_pruned(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").where("l_quantity > 45").select("l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+@query("SELECT event_id, user_id, value FROM events WHERE day(ts) = 12")
+def filter_period(spark, sf_dir):
+    return registry.for_period(table(spark, sf_dir, "events"), F.dayofmonth("ts"), 12).select("event_id", "user_id", "value")
+
+
+@query(f"WITH {_HH}, {_P} SELECT person_id, p.household_id, age, income, status, nation AS state, weight FROM p LEFT JOIN hh USING (household_id)")
+def load_household_rows(spark, sf_dir):
+    return registry.household_rows(persons(spark, sf_dir), households(spark, sf_dir), "household_id", "household_id", {"state": "nation", "weight": "weight"})
+
+
+@query("SELECT row_number() OVER (ORDER BY s_suppkey) AS household_id, row_number() OVER (ORDER BY s_suppkey) AS person_id, s_suppkey AS donor_id, s_acctbal AS donor_balance FROM supplier")
+def load_single_person(spark, sf_dir):
+    return registry.single_person_households(donors(spark, sf_dir), ["donor_id"]).select("household_id", "person_id", "donor_id", "donor_balance")
+
+
+@query("SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate) AS line_id, l_orderkey, l_linenumber, l_partkey FROM lineitem")
+def generated_ids(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    return registry.numbered(lines, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"], "line_id").select("line_id", "l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("SELECT s_suppkey AS donor_id, sha256(CAST(s_suppkey AS VARCHAR) || '|' || s_name || '|' || CAST(s_nationkey AS VARCHAR)) AS fingerprint FROM supplier")
+def row_fingerprint(spark, sf_dir):
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("donor_id"), registry.row_fingerprint("s_suppkey", "s_name", "s_nationkey").alias("fingerprint"))
+
+
+# projections
+
+
+@query("SELECT c_custkey AS household_id, c_acctbal AS balance, c_mktsegment AS segment FROM customer")
+def rename_direct(spark, sf_dir):
+    block = normalize.Block(direct={"household_id": "c_custkey", "balance": "c_acctbal", "segment": "c_mktsegment"})
+    return normalize.normalize(table(spark, sf_dir, "customer"), block)
+
+
+@query("SELECT s_suppkey AS donor_id, s_nationkey AS weight, s_acctbal AS net_worth, s_acctbal AS bank_assets, s_name AS name FROM supplier")
+def rename_fanout(spark, sf_dir):
+    raw = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("donor_id"), F.col("s_nationkey").alias("weight"), "s_acctbal", "s_name")
+    return registry.Observation("donor", "donor_id", "weight", (("s_acctbal", "net_worth"), ("s_acctbal", "bank_assets"), ("s_name", "name"))).apply(raw)
+
+
+@query("SELECT c_custkey AS household_id, c_nationkey <> 0 AS is_abroad FROM customer")
+def bool_cast(spark, sf_dir):
+    return normalize.normalize(table(spark, sf_dir, "customer"), normalize.Block(direct={"household_id": "c_custkey"}, boolean={"is_abroad": "c_nationkey"}))
+
+
+@query("SELECT o_orderkey AS person_id, o_orderstatus = 'F' AS is_male, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END AS sex FROM orders")
+def bool_to_code(spark, sf_dir):
+    block = normalize.Block(direct={"person_id": "o_orderkey"}, indicators={"is_male": ("o_orderstatus", "F")}, sex_code=("sex", "is_male", 1, 2))
+    return normalize.normalize(table(spark, sf_dir, "orders"), block)
+
+
+@query("SELECT o_orderkey AS person_id, o_orderpriority = '1-URGENT' AS is_urgent, o_orderstatus = 'O' AS is_open FROM orders")
+def indicator_equals(spark, sf_dir):
+    block = normalize.Block(direct={"person_id": "o_orderkey"}, indicators={"is_urgent": ("o_orderpriority", "1-URGENT"), "is_open": ("o_orderstatus", "O")})
+    return normalize.normalize(table(spark, sf_dir, "orders"), block)
+
+
+@query("SELECT o_orderkey AS person_id, CAST(floor(o_totalprice) AS INTEGER) AS dollars FROM orders")
+def int_cast(spark, sf_dir):
+    return normalize.normalize(table(spark, sf_dir, "orders"), normalize.Block(direct={"person_id": "o_orderkey", "dollars": "o_totalprice"}, integers=("dollars",)))
+
+
+@query(f"WITH {_HH}, {_P} SELECT person_id, household_id, segment, balance FROM p LEFT JOIN hh USING (household_id)")
+def row_indexed_lookup(spark, sf_dir):
+    return registry.household_rows(persons(spark, sf_dir), households(spark, sf_dir), "household_id", "household_id", {"segment": "segment", "balance": "balance"}).select("person_id", "household_id", "segment", "balance")
+
+
+@query(f"WITH {_HH}, {_P} SELECT person_id, CASE segment WHEN 'BUILDING' THEN 1 WHEN 'MACHINERY' THEN 1 WHEN 'AUTOMOBILE' THEN 2 WHEN 'HOUSEHOLD' THEN 0 END AS tenure FROM p LEFT JOIN hh USING (household_id)")
+def mapped_values(spark, sf_dir):
+    rows = registry.household_rows(persons(spark, sf_dir), households(spark, sf_dir), "household_id", "household_id", {"segment": "segment"})
+    block = normalize.Block(direct={"person_id": "person_id"}, mapped={"tenure": ("segment", {"BUILDING": 1, "MACHINERY": 1, "AUTOMOBILE": 2, "HOUSEHOLD": 0})})
+    return normalize.normalize(rows, block)
+
+
+@query("SELECT s_suppkey AS donor_id, s_acctbal AS net_worth, coalesce(CASE WHEN s_acctbal > 0 THEN s_acctbal END, -1.0::DOUBLE) AS positive_worth FROM supplier")
+def fallback_coalesce(spark, sf_dir):
+    block = normalize.Block(direct={"donor_id": "s_suppkey"}, fallback={"net_worth": ("networth", "s_acctbal", "s_nationkey")})
+    found = normalize.normalize(table(spark, sf_dir, "supplier"), block)
+    return found.withColumn("positive_worth", F.coalesce(F.when(F.col("net_worth") > 0, F.col("net_worth")), F.lit(-1.0)))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size > 25 THEN p_size ELSE 7 END AS size, p_size <= 25 AS is_default_size FROM part")
+def default_fill(spark, sf_dir):
+    parts = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_size") > 25, F.col("p_size")).alias("size"))
+    return normalize.with_defaults(parts, {"size": 7})
+
+
+@query("SELECT c_custkey AS household_id, c_acctbal AS balance, c_acctbal AS income, 0 AS state_fips, 0 AS tenure FROM customer")
+def copy_constant(spark, sf_dir):
+    block = normalize.Block(direct={"household_id": "c_custkey", "balance": "c_acctbal"}, constant={"state_fips": 0, "tenure": 0}, copy={"income": "balance"})
+    return normalize.normalize(table(spark, sf_dir, "customer"), block)
+
+
+@query("SELECT l_orderkey, l_linenumber, 0.0::DOUBLE + l_quantity + l_discount + l_tax AS income FROM lineitem")
+def income_sum(spark, sf_dir):
+    block = normalize.Block(direct={"l_orderkey": "l_orderkey", "l_linenumber": "l_linenumber", "a": "l_quantity", "b": "l_discount", "c": "l_tax"}, sums={"income": ("a", "b", "c")})
+    return normalize.normalize(table(spark, sf_dir, "lineitem"), block).select("l_orderkey", "l_linenumber", "income")
+
+
+@query("SELECT l_orderkey, l_linenumber, 0.0::DOUBLE + l_extendedprice + l_discount + l_shipyear AS amounts FROM (SELECT *, CAST(year(l_shipdate) AS DOUBLE) AS l_shipyear FROM lineitem)")
+def pattern_sum(spark, sf_dir):
+    raw = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("AMT1"), F.col("l_discount").alias("AMT2"), F.year("l_shipdate").alias("AMT3"))
+    return normalize.normalize(raw, normalize.Block(direct={"l_orderkey": "l_orderkey", "l_linenumber": "l_linenumber"}, name_sums={"amounts": "AMT"}))
+
+
+@query("SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS line_key, l_quantity FROM lineitem")
+def composite_key(spark, sf_dir):
+    return normalize.normalize(table(spark, sf_dir, "lineitem"), normalize.Block(direct={"l_quantity": "l_quantity"}, keys={"line_key": ("l_orderkey", "l_linenumber")}))
+
+
+@query("SELECT event_id, value * 12.0::DOUBLE AS income FROM events WHERE day(ts) = 12")
+def annualize(spark, sf_dir):
+    raw = table(spark, sf_dir, "events").select("event_id", "value", F.dayofmonth("ts").alias("month"))
+    return normalize.normalize(raw, normalize.Block(direct={"event_id": "event_id", "income": "value"}, annualized=("income",), period=("month", 12)))
+
+
+@query(f"WITH {_P} SELECT household_id, min(person_id) AS head_id, arg_min(age, person_id) AS head_age, arg_min(status, person_id) AS head_status FROM p GROUP BY household_id")
+def entity_split(spark, sf_dir):
+    head, _ = normalize.split_entities(persons(spark, sf_dir), "household_id", ["person_id", "age", "status"], ["person_id"], ["person_id"])
+    return head.select("household_id", F.col("person_id").alias("head_id"), F.col("age").alias("head_age"), F.col("status").alias("head_status"))
+
+
+@query(f"WITH {_HH}, {_P} SELECT person_id, CAST(age AS DOUBLE) AS age, balance, weight, income FROM p LEFT JOIN hh USING (household_id)")
+def feature_frame(spark, sf_dir):
+    rows = registry.household_rows(persons(spark, sf_dir), households(spark, sf_dir), "household_id", "household_id", {"balance": "balance", "weight": "weight"})
+    return rows.select("person_id", F.col("age").cast("double").alias("age"), "balance", "weight", "income")
+
+
+@query("SELECT user_id, bool_or(event_type = 'click') AS has_click, bool_or(event_type = 'view') AS has_view, bool_or(event_type = 'purchase') AS has_purchase FROM events GROUP BY user_id")
+def passthrough_flags(spark, sf_dir):
+    return table(spark, sf_dir, "events").groupBy("user_id").agg(*[F.bool_or(F.col("event_type") == e).alias(f"has_{e}") for e in ("click", "view", "purchase")])
+
+
+@query("SELECT user_id, a OR b OR c AS insured, NOT (a OR b OR c) AS uninsured, CAST(a AS INTEGER) + CAST(b AS INTEGER) + CAST(c AS INTEGER) > 1 AS multiple FROM (SELECT user_id, bool_or(event_type = 'click') AS a, bool_or(event_type = 'view') AS b, bool_or(event_type = 'purchase') AS c FROM events GROUP BY user_id)")
+def coverage_recode(spark, sf_dir):
+    flags = passthrough_flags(spark, sf_dir)
+    names = ["has_click", "has_view", "has_purchase"]
+    anyone = F.exists(F.array(*names), lambda x: x)
+    n = S.horizontal_sum([F.col(c).cast("int") for c in names])
+    return flags.select("user_id", anyone.alias("insured"), (~anyone).alias("uninsured"), (n > 1).alias("multiple"))
+
+
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'N' THEN 0.0 ELSE least(greatest(l_quantity * 2 - 10, 0), 52) END AS weeks FROM lineitem")
+def clip_zero_mask(spark, sf_dir):
+    weeks = S.zero_where(S.clipped(F.col("l_quantity") * 2 - 10, 0.0, 52.0), F.col("l_returnflag") == "N")
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", weeks.alias("weeks"))
+
+
+# entities and spine
+
+
+@query(f"WITH {_P} SELECT 'household' AS entity, household_id AS id FROM (SELECT DISTINCT household_id FROM p) UNION ALL SELECT 'person', person_id FROM (SELECT DISTINCT person_id FROM p)")
+def entity_tables(spark, sf_dir):
+    found = entities.entity_tables(persons(spark, sf_dir), {"household": "household_id", "person": "person_id"})
+    return found["household"].select(F.lit("household").alias("entity"), F.col("household_id").alias("id")).unionByName(found["person"].select(F.lit("person").alias("entity"), F.col("person_id").alias("id")))
+
+
+@query("SELECT 'order_line' AS link, (SELECT count(*) FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)) AS orphans UNION ALL SELECT 'order_customer', (SELECT count(*) FROM orders o WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey))")
+def referential_integrity(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    one = entities.orphans(orders, "o_orderkey", table(spark, sf_dir, "lineitem"), "l_orderkey").agg(F.count(F.lit(1)).alias("orphans"))
+    two = entities.orphans(orders, "o_custkey", table(spark, sf_dir, "customer"), "c_custkey").agg(F.count(F.lit(1)).alias("orphans"))
+    return one.select(F.lit("order_line").alias("link"), "orphans").unionByName(two.select(F.lit("order_customer").alias("link"), "orphans"))
+
+
+@query(f"WITH {_P} SELECT person_id, household_id, count(*) OVER w AS household_size, count(*) FILTER (age < 18) OVER w AS count_under_18, count(*) FILTER (age < 6) OVER w AS count_under_6 FROM p WINDOW w AS (PARTITION BY household_id)")
+def household_counts(spark, sf_dir):
+    found = entities.household_counts(persons(spark, sf_dir), "household_id", "age", {"count_under_18": 18, "count_under_6": 6})
+    return found.select("person_id", "household_id", "household_size", "count_under_18", "count_under_6")
+
+
+@query(f"WITH {_HH}, {_P} SELECT person_id, p.household_id, balance * (CASE WHEN sum(age) OVER w > 0 THEN age / nullif(CAST(sum(age) OVER w AS DOUBLE), 0) ELSE 1.0::DOUBLE / count(*) OVER w END) AS share FROM p JOIN hh USING (household_id) WINDOW w AS (PARTITION BY p.household_id)")
+def allocate_to_members(spark, sf_dir):
+    rows = persons(spark, sf_dir).join(households(spark, sf_dir).select("household_id", "balance"), "household_id")
+    return entities.allocate(rows, "household_id", "balance", F.col("age").cast("double"), ["person_id"], "share").select("person_id", "household_id", "share")
+
+
+@query(f"WITH {_P} SELECT person_id, household_id, age FROM p")
+def spine_strip(spark, sf_dir):
+    return spine.strip(persons(spark, sf_dir), ["person_id", "household_id", "age"])
+
+
+@query(f"WITH {_HH} SELECT household_id, nation, segment, balance, weight / 2 AS weight, 'keep' AS half, false AS is_clone FROM hh UNION ALL SELECT household_id + 10000000, nation, NULL, NULL, weight / 2, 'synthetic', true FROM hh")
+def spine_union(spark, sf_dir):
+    return spine.clone_spine(households(spark, sf_dir), ["household_id", "nation"], {"household_id": 10_000_000}, "weight")
+
+
+@query(f"WITH {_P} SELECT person_id, household_id, 'keep' AS half FROM p UNION ALL SELECT person_id + 100000000, household_id + 10000000, 'synthetic' FROM p")
+def spine_clone_ids(spark, sf_dir):
+    return spine.clone_spine(persons(spark, sf_dir), ["age"], {"person_id": 100_000_000, "household_id": 10_000_000}).select("person_id", "household_id", "half")
+
+
+@query(f"SELECT c_custkey AS household_id, CASE WHEN {_u('c_custkey')} < 0.5 THEN 'keep' ELSE 'synthetic' END AS half FROM customer")
+def seeded_split(spark, sf_dir):
+    return spine.split_spine(households(spark, sf_dir), "household_id", SEED).select("household_id", "half")
+
+
+@query("SELECT 'income' AS variable, 0::BIGINT AS n UNION ALL SELECT 'status', 0::BIGINT")
+def collision_guard(spark, sf_dir):
+    halves = spine.clone_spine(persons(spark, sf_dir), ["age"], {"person_id": 100_000_000, "household_id": 10_000_000})
+    return spine.collisions(halves, ["income", "status"])
+
+
+# imputation
+
+
+def _nation_draws(spark, sf_dir):
+    """household_id, segment_score, balance: the smallest donor of each nation stands for its donors."""
+    cell = donors(spark, sf_dir).groupBy("nation").agg(F.min(F.struct("donor_id", "donor_balance")).alias("d"))
+    return lambda recipients, variables: recipients.join(cell, "nation", "left").select("household_id", F.col("d.donor_balance").alias("balance"), F.col("d.donor_id").alias("wealth_rank"))
+
+
+def _imputed(spark, sf_dir, steps):
+    halves = spine.clone_spine(households(spark, sf_dir), ["nation"], {"household_id": 10_000_000}).withColumn("balance", F.when(F.col("balance") > 0, F.col("balance")))
+    return impute.run_steps(halves, steps, _nation_draws(spark, sf_dir), "household_id").select("household_id", "half", "balance", "wealth_rank")
+
+
+_SPINE = f"{_HH}, {_D}, halves AS (SELECT household_id, nation, CASE WHEN balance > 0 THEN balance END AS balance, 'keep' AS half FROM hh UNION ALL SELECT household_id + 10000000, nation, NULL, 'synthetic' FROM hh), cell AS (SELECT nation, arg_min(donor_balance, donor_id) AS b, min(donor_id) AS r FROM d GROUP BY nation), j AS (SELECT * FROM halves LEFT JOIN cell USING (nation))"
+
+
+@query(f"WITH {_SPINE} SELECT household_id, half, CASE WHEN half = 'synthetic' THEN b ELSE balance END AS balance, CASE WHEN half = 'synthetic' THEN r END AS wealth_rank FROM j")
+def impute_synth_half(spark, sf_dir):
+    return _imputed(spark, sf_dir, [impute.Step("synthetic", ("balance", "wealth_rank"), True)])
+
+
+@query(f"WITH {_SPINE} SELECT household_id, half, CASE WHEN half = 'keep' THEN coalesce(balance, b) ELSE balance END AS balance, CASE WHEN half = 'keep' THEN r END AS wealth_rank FROM j")
+def impute_fill_missing(spark, sf_dir):
+    return _imputed(spark, sf_dir, [impute.Step("keep", ("balance", "wealth_rank"), False)])
+
+
+@query(f"WITH {_SPINE} SELECT household_id, half, CASE WHEN half = 'keep' THEN b ELSE balance END AS balance, CASE WHEN half = 'keep' THEN r END AS wealth_rank FROM j")
+def impute_override(spark, sf_dir):
+    return _imputed(spark, sf_dir, [impute.Step("keep", ("balance", "wealth_rank"), False), impute.Step("keep", ("balance",), True)])
+
+
+@query(f"WITH {_HH}, {_D} SELECT household_id, donor_id FROM (SELECT household_id, donor_id, row_number() OVER (PARTITION BY household_id ORDER BY abs(balance - donor_balance), donor_id) AS r FROM hh LEFT JOIN d USING (nation)) WHERE r = 1")
+def impute_donor_match(spark, sf_dir):
+    return impute.nearest_donor(households(spark, sf_dir), donors(spark, sf_dir), "household_id", "donor_id", "nation", "balance", "donor_balance")
+
+
+@query(f"WITH {_HH}, c AS (SELECT nation, household_id, balance, sum(weight) OVER (PARTITION BY nation ORDER BY balance, household_id) AS cw, sum(weight) OVER (PARTITION BY nation) AS tw FROM hh) SELECT nation, arg_min(balance, cw) AS median_balance FROM c WHERE cw >= 0.5 * tw GROUP BY nation")
+def weighted_quantile(spark, sf_dir):
+    return impute.weighted_quantile(households(spark, sf_dir), "nation", "balance", "weight", 0.5, "household_id", "median_balance")
+
+
+def _components(spark, sf_dir):
+    cents = F.floor(F.col("l_extendedprice") * 100).cast("long")
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(*[F.sum(F.when(F.col("l_returnflag") == f, cents).otherwise(F.lit(0).cast("long"))).alias(name) for f, name in (("A", "assets"), ("N", "housing"), ("R", "debt"))])
+
+
+_COMP = "c AS (SELECT l_orderkey, CAST(sum(CASE WHEN l_returnflag = 'A' THEN CAST(floor(l_extendedprice * 100) AS BIGINT) ELSE 0 END) AS BIGINT) AS assets, CAST(sum(CASE WHEN l_returnflag = 'N' THEN CAST(floor(l_extendedprice * 100) AS BIGINT) ELSE 0 END) AS BIGINT) AS housing, CAST(sum(CASE WHEN l_returnflag = 'R' THEN CAST(floor(l_extendedprice * 100) AS BIGINT) ELSE 0 END) AS BIGINT) AS debt FROM lineitem GROUP BY l_orderkey)"
+_SIGNS = {"assets": 1, "housing": 1, "debt": -1}
+
+
+@query(f"WITH {_COMP} SELECT l_orderkey, assets, housing, debt, assets + housing - debt AS net_worth FROM c")
+def net_worth_components(spark, sf_dir):
+    found = _components(spark, sf_dir)
+    return found.withColumn("net_worth", impute.signed_components(found, _SIGNS))
+
+
+@query(f"WITH {_COMP} SELECT l_orderkey, assets * f AS assets, housing * f AS housing, debt * f AS debt FROM (SELECT *, CASE WHEN assets + housing - debt <> 0 THEN 1000000::BIGINT / CAST(nullif(assets + housing - debt, 0) AS DOUBLE) ELSE 1.0::DOUBLE END AS f FROM c)")
+def net_worth_rebalance(spark, sf_dir):
+    found = _components(spark, sf_dir)
+    scaled = impute.rebalance(list(_SIGNS), impute.signed_components(found, _SIGNS), F.lit(1_000_000))
+    return found.select("l_orderkey", *[c.alias(name) for name, c in scaled.items()])
+
+
+@query()
+def qrf_sample(spark, sf_dir):
+    """household_id, donor_id drawn from forest leaves; no SQL form."""
+    given = donors(spark, sf_dir).select("donor_id", F.col("nation").cast("double").alias("nation_code"), (F.col("donor_id") % 3).cast("double").alias("size"), "donor_balance", "donor_weight")
+    sampler = impute.ForestSampler(["nation_code", "size"], "donor_balance", "donor_id", "donor_weight", trees=10, depth=5, least=2).fit(given)
+    asked = households(spark, sf_dir).select("household_id", F.col("nation").cast("double").alias("nation_code"), (F.col("household_id") % 3).cast("double").alias("size"))
+    return sampler.draw(asked, "household_id")
+
+
+# geography and take-up
+
+
+@query(f"WITH {_HH}, s AS (SELECT s_nationkey AS nation, s_suppkey AS block, CAST(1 + s_suppkey % 5 AS BIGINT) AS n FROM supplier), i AS (SELECT nation, block, (sum(n) OVER (PARTITION BY nation ORDER BY block) - n) / CAST(sum(n) OVER (PARTITION BY nation) AS DOUBLE) AS low, CASE WHEN row_number() OVER (PARTITION BY nation ORDER BY block DESC) = 1 THEN 2.0::DOUBLE ELSE sum(n) OVER (PARTITION BY nation ORDER BY block) / CAST(sum(n) OVER (PARTITION BY nation) AS DOUBLE) END AS high FROM s), x AS (SELECT household_id, nation, {_u('household_id')} AS u FROM hh) SELECT household_id, x.nation, block FROM x LEFT JOIN i ON x.nation = i.nation AND u >= low AND u < high")
+def geo_assign(spark, sf_dir):
+    units = donors(spark, sf_dir).select("nation", F.col("donor_id").alias("block"), "donor_weight")
+    shares = geography.intervals(units, "nation", "block", "donor_weight")
+    return geography.assign(households(spark, sf_dir).select("household_id", "nation"), "household_id", "nation", shares, "block", SEED)
+
+
+_GEO = "g AS (SELECT s_suppkey AS id, lpad(CAST(s_suppkey * 7919 AS VARCHAR), 15, '0') AS block_geoid, lpad(CAST(s_nationkey AS VARCHAR), 4, '0') AS congressional_district_geoid FROM supplier)"
+
+
+def _codes(spark, sf_dir):
+    codes = geography.encode(F.col("s_suppkey") * 7919, "s_nationkey")
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), *[c.alias(name) for name, c in codes.items()])
+
+
+@query(f"WITH {_GEO} SELECT id, block_geoid, substr(block_geoid, 1, 11) AS tract_geoid, substr(block_geoid, 1, 5) AS county_fips, substr(block_geoid, 1, 2) AS state_fips, congressional_district_geoid FROM g")
+def geoid_encode(spark, sf_dir):
+    return _codes(spark, sf_dir)
+
+
+@query(f"WITH {_GEO} SELECT 'block_geoid' AS \"column\", count(*) FILTER (length(block_geoid) <> 15) AS n_bad FROM g UNION ALL SELECT 'congressional_district_geoid', count(*) FILTER (length(congressional_district_geoid) <> 3) FROM g")
+def geoid_width_gate(spark, sf_dir):
+    return geography.width_violations(_codes(spark, sf_dir), {"block_geoid": 15, "congressional_district_geoid": 3})
+
+
+@query("SELECT c_custkey AS household_id, lpad(CAST(c_nationkey AS VARCHAR), 5, '0') IN ('00003', '00005', '00011') AS in_area FROM customer")
+def derive_in_set(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("household_id"), geography.in_set(S.fixed_width("c_nationkey", 5), ("00003", "00005", "00011")).alias("in_area"))
+
+
+@query(f"SELECT c_custkey AS household_id, {_u('c_custkey', f'{SEED}:snap')} < 0.82 AS snap, {_u('c_custkey', f'{SEED}:ssi')} < 0.6 AS ssi FROM customer")
+def takeup_bernoulli(spark, sf_dir):
+    return T.rerandomize(households(spark, sf_dir).select("household_id"), "household_id", {"snap": 0.82, "ssi": 0.6}, SEED)
+
+
+@query(f"WITH {_HH}, {_P} SELECT person_id, {_u('person_id', f'{SEED}:aca')} < CASE segment WHEN 'BUILDING' THEN 0.7 WHEN 'MACHINERY' THEN 0.4 ELSE 0.1 END AS aca FROM p LEFT JOIN hh USING (household_id)")
+def takeup_by_group(spark, sf_dir):
+    rows = registry.household_rows(persons(spark, sf_dir), households(spark, sf_dir), "household_id", "household_id", {"segment": "segment"})
+    return rows.select("person_id", T.takeup("person_id", "aca", T.group_rate("segment", {"BUILDING": 0.7, "MACHINERY": 0.4}, 0.1), SEED).alias("aca"))
+
+
+# targets and calibration
+
+
+def _cells(spark, sf_dir):
+    """Households with region and balance bracket."""
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nation"), F.col("n_regionkey").alias("region"))
+    return households(spark, sf_dir).join(nations, "nation").withColumn("bracket", F.floor(F.col("balance") / 2500).cast("int"))
+
+
+def _matrix(spark, sf_dir):
+    return K.loss_matrix(_cells(spark, sf_dir), "household_id", {"region": (F.col("region"), F.lit(1.0)), "bracket": (F.col("bracket"), F.floor(F.col("balance")).cast("double"))})
+
+
+def _weights(spark, sf_dir):
+    return households(spark, sf_dir).select(F.col("household_id").alias("unit"), F.col("weight").alias("w"))
+
+
+def _targets(spark, sf_dir):
+    """target_id, bucket, value: estimates with all weights at 4, in buckets by kind."""
+    flat = _weights(spark, sf_dir).withColumn("w", F.lit(4.0))
+    return K.estimates(_matrix(spark, sf_dir), flat).select("target_id", F.substring_index("target_id", "/", 1).alias("bucket"), F.col("estimate").alias("value"))
+
+
+_CELLS = f"{_HH}, cells AS (SELECT household_id, weight, n_regionkey AS region, CAST(floor(balance / 2500) AS INTEGER) AS bracket, floor(balance) AS coef FROM hh JOIN nation ON n_nationkey = nation), m AS (SELECT 'region/' || CAST(region AS VARCHAR) AS target_id, household_id AS unit, 1.0::DOUBLE AS coef, weight AS w FROM cells UNION ALL SELECT 'bracket/' || CAST(bracket AS VARCHAR), household_id, coef, weight FROM cells WHERE coef <> 0)"
+_SCORED = f"{_CELLS}, e AS (SELECT target_id, sum(coef * w) AS estimate, sum(coef * 4.0) AS value FROM m GROUP BY target_id), s AS (SELECT target_id, split_part(target_id, '/', 1) AS bucket, value, (estimate - value) / nullif(abs(value), 0) AS residual FROM e)"
+
+
+def _scored(spark, sf_dir):
+    return K._scored(_matrix(spark, sf_dir), _weights(spark, sf_dir), _targets(spark, sf_dir))
+
+
+@query(f"WITH {_SCORED} SELECT target_id, value FROM s WHERE bucket = 'region'")
+def target_select(spark, sf_dir):
+    return _targets(spark, sf_dir).where("bucket = 'region'").select("target_id", "value")
+
+
+@query(f"WITH {_CELLS} SELECT target_id, unit, coef FROM m")
+def loss_matrix(spark, sf_dir):
+    return _matrix(spark, sf_dir)
+
+
+@query(f"WITH {_CELLS} SELECT target_id, sum(coef * w) AS estimate FROM m GROUP BY target_id")
+def target_estimates(spark, sf_dir):
+    return K.estimates(_matrix(spark, sf_dir), _weights(spark, sf_dir))
+
+
+@query(f"WITH {_SCORED} SELECT bucket, count(*) AS n_targets, CAST(avg(CASE WHEN abs(residual) <= 0.01 THEN 0.5 * residual * residual ELSE 0.01 * (abs(residual) - 0.005) END) AS DECIMAL(20, 12))::DOUBLE AS loss FROM s WHERE residual IS NOT NULL GROUP BY bucket")
+def huber_bucketed(spark, sf_dir):
+    return K.bucketed_loss(_scored(spark, sf_dir), "bucket", 0.01).withColumn("loss", F.col("loss").cast("decimal(20,12)").cast("double"))
+
+
+@query(f"WITH {_SCORED} SELECT {_u('target_id')} < 0.2 AS is_holdout, count(*) AS n_targets, CAST(sum(residual * residual) AS DECIMAL(20, 12))::DOUBLE AS loss FROM s GROUP BY 1")
+def loss_by_split(spark, sf_dir):
+    scored = _scored(spark, sf_dir).withColumn("is_holdout", K.holdout("target_id", 0.2, SEED))
+    return scored.groupBy("is_holdout").agg(F.count(F.lit(1)).alias("n_targets"), F.sum(F.col("residual") * F.col("residual")).cast("decimal(20,12)").cast("double").alias("loss"))
+
+
+@query(f"WITH {_SCORED} SELECT CAST(avg(pow(residual, 2)) AS DECIMAL(20, 12))::DOUBLE AS msre FROM s")
+def msre(spark, sf_dir):
+    return K.msre(_scored(spark, sf_dir)).withColumn("msre", F.col("msre").cast("decimal(20,12)").cast("double"))
+
+
+@query(f"WITH {_SCORED} SELECT target_id, {_u('target_id')} < 0.2 AS is_holdout FROM s")
+def holdout_split(spark, sf_dir):
+    return _targets(spark, sf_dir).select("target_id", K.holdout("target_id", 0.2, SEED).alias("is_holdout"))
+
+
+@query(f"WITH {_HH} SELECT household_id, nation FROM hh ORDER BY {_u('household_id')}, household_id LIMIT 500")
+def matched_sample(spark, sf_dir):
+    """A sampling operator: 500 records is its size."""
+    return K.matched_sample(households(spark, sf_dir).select("household_id", "nation"), "household_id", 500, SEED)
+
+
+@query(f"WITH {_SCORED}, n AS (SELECT bucket, count(*) AS n FROM s WHERE residual IS NOT NULL GROUP BY bucket), pull AS (SELECT target_id, greatest(-0.01, least(0.01, residual)) / (abs(value) * n) AS pull FROM s JOIN n USING (bucket) WHERE residual IS NOT NULL), g AS (SELECT unit, sum(coef * pull) AS g FROM m JOIN pull USING (target_id) GROUP BY unit) SELECT household_id AS unit, CAST(greatest(weight - 1000.0 * coalesce(g, 0), 0) AS DECIMAL(20, 9))::DOUBLE AS w FROM hh LEFT JOIN g ON unit = household_id")
+def apg_one_step(spark, sf_dir):
+    matrix, weights = _matrix(spark, sf_dir), _weights(spark, sf_dir)
+    slopes = K.gradient(matrix, weights, _targets(spark, sf_dir), 0.01)
+    return K.step(weights, slopes, 1000.0).withColumn("w", F.col("w").cast("decimal(20,9)").cast("double"))
+
+
+@query(f"WITH {_HH}, moved AS (SELECT household_id AS unit, greatest(weight - 2, 0) AS w FROM hh) SELECT unit, w * ((SELECT sum(weight) FROM hh) / (SELECT sum(w) FROM moved)) AS w FROM moved")
+def weight_total_preserve(spark, sf_dir):
+    weights = _weights(spark, sf_dir)
+    return K.preserve_total(weights.withColumn("w", F.greatest(F.col("w") - 2, F.lit(0.0))), weights)
+
+
+@query()
+def apg_calibrate(spark, sf_dir):
+    """unit, w after five iterations; iterative, so without SQL."""
+    return K.calibrate(_matrix(spark, sf_dir), _weights(spark, sf_dir), _targets(spark, sf_dir), K.Settings(max_iter=5, power_rounds=3))[0]
+
+
+@query(f"WITH {_CELLS} SELECT region, bracket, count(*) AS n FROM cells GROUP BY ROLLUP (region, bracket)")
+def target_counts_rollup(spark, sf_dir):
+    return _cells(spark, sf_dir).rollup("region", "bracket").agg(F.count(F.lit(1)).alias("n"))
+
+
+# gates
+
+
+@query("SELECT 'c_acctbal' AS \"column\", CAST(sum(floor(abs(c_acctbal) * 100)) AS DOUBLE) / 100 AS abs_sum, true AS finite, count(*) FILTER (c_acctbal <> 0) AS nonzero_count, true AS passed FROM customer UNION ALL SELECT 'zero', 0, true, 0, false")
+def sanity_profile(spark, sf_dir):
+    return gates.sanity_profile(table(spark, sf_dir, "customer").select("c_acctbal", F.lit(0.0).alias("zero")), ["c_acctbal", "zero"])
+
+
+@query("SELECT sha256(string_agg(n_name, chr(10) ORDER BY n_name)) AS digest FROM (SELECT DISTINCT n_name FROM nation)")
+def name_digest(spark, sf_dir):
+    return gates.name_digest(table(spark, sf_dir, "nation"), "n_name")
+
+
+_LISTS = (("BUILDING", "required"), ("MACHINERY", "required"), ("SPACECRAFT", "required"), ("FURNITURE", "forbidden"), ("TOYS", "forbidden"), ("HOUSEHOLD", "optional"), ("AUTOMOBILE", "formula_owned"))
+_CONTRACT = "k(\"column\", list) AS (VALUES " + ", ".join(f"('{c}', '{x}')" for c, x in _LISTS) + "), have AS (SELECT DISTINCT c_mktsegment AS \"column\" FROM customer)"
+
+
+def _contract(spark, sf_dir):
+    return spark.createDataFrame(_LISTS, "column string, list string"), table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("column")).distinct()
+
+
+@query(f"WITH {_CONTRACT} SELECT \"column\" FROM k WHERE list = 'required' AND \"column\" NOT IN (SELECT \"column\" FROM have)")
+def contract_missing(spark, sf_dir):
+    contract, have = _contract(spark, sf_dir)
+    return contract.where("list = 'required'").join(have, "column", "left_anti").select("column")
+
+
+@query(f"WITH {_CONTRACT} SELECT \"column\" FROM k WHERE list = 'forbidden' AND \"column\" IN (SELECT \"column\" FROM have)")
+def contract_forbidden(spark, sf_dir):
+    contract, have = _contract(spark, sf_dir)
+    return contract.where("list = 'forbidden'").join(have, "column", "left_semi").select("column")
+
+
+@query(f"WITH {_CONTRACT} SELECT coalesce(k.\"column\", have.\"column\") AS \"column\", CASE WHEN list = 'required' AND have.\"column\" IS NULL THEN 'missing' WHEN list = 'required' THEN 'ok' WHEN list = 'forbidden' AND have.\"column\" IS NOT NULL THEN 'forbidden' WHEN list = 'formula_owned' AND have.\"column\" IS NOT NULL THEN 'warn' WHEN list = 'optional' THEN 'ignored' WHEN list IS NULL THEN 'unknown' ELSE 'absent' END AS status FROM k FULL JOIN have ON k.\"column\" = have.\"column\"")
+def contract_status(spark, sf_dir):
+    contract, have = _contract(spark, sf_dir)
+    return gates.status(have, contract)
+
+
+@query(f"WITH {_HH} SELECT balance, household_id, nation, weight FROM hh")
+def export_projection(spark, sf_dir):
+    contract = gates.Contract(frozenset({"household_id", "weight", "nation", "balance"}), forbidden=frozenset({"segment"}))
+    return gates.export_projection(households(spark, sf_dir), contract)
