@@ -22,8 +22,11 @@ ORACLE_SQL = None
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; texts that are null or without a letter go."""
     model = language_id.fit(docs.where(crc_mod("doc_id", 4) != 2))
-    judged = language_id.predict(docs, model)
-    return judged.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(docs.columns)
+    # columns of documents may have the names of the operator's
+    other = {c: f"kept_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    judged = language_id.predict(docs.select("doc_id", "text", *[F.col(c).alias(k) for c, k in other.items()]), model)
+    known = judged.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    return known.select([F.col(other.get(c, c)).alias(c) for c in docs.columns])
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

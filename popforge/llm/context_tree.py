@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from popforge.llm.shared import crc_mod, written
+from popforge.llm.shared import crc_mod, map_rows, written
 from popforge.llm.textarrays import chunks, joined, mix, words
 
 #: Bytes of context, log2 of the scoring table's slots, text bytes scored or gathered at a time.
@@ -271,7 +271,7 @@ def score(docs: DataFrame) -> DataFrame:
     model = fit(counts.where("kind = 0").select("key", "n"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     fields = "group long, key long, pairs binary, doc int, doc_id long, held_out boolean, n_tokens long, score double"
-    found = written(marked.select("doc_id", "text", F.coalesce("held_out", F.lit(False)).alias("held_out")).mapInPandas(_gather(shared), fields))
+    found = written(map_rows(marked.select("doc_id", "text", F.coalesce("held_out", F.lit(False)).alias("held_out")), _gather(shared), fields))
     posted = found.where("doc < 0").select("group", "key", "pairs").join(known, "key", "left").select("group", "pairs", F.coalesce("c", F.lit(0)).alias("c"))
     sums = posted.mapInPandas(_sums, "group long, doc int, logs double, known long").groupBy("group", "doc").agg(F.sum("logs").alias("logs"), F.sum("known").alias("n_known"))
     scale = float(np.log10(tokens + SMOOTHING * (distinct + 1)))

@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from popforge.llm.shared import map_rows
+
 SAMPLE_PAGES = 2000
 #: Smoothness of neighbours in page order and of blocks under one parent, against costs in nats.
 NEXT, SIBLING = 0.4, 0.3
@@ -306,4 +308,4 @@ def extract(pages: DataFrame, weights: np.ndarray) -> DataFrame:
             texts = ["\n".join(b.text for b in content_blocks(blocks_of(page), weights)) for page in pdf["html"]]
             yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, url string, text string, n_chars long")
+    return map_rows(pages.select("page_id", "url", "html"), run, "page_id long, url string, text string, n_chars long", "page_id")

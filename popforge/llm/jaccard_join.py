@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from popforge.llm.graph import components
-from popforge.llm.shared import fits, written
+from popforge.llm.shared import fits, map_rows, written
 from popforge.llm.textarrays import chunks, joined, mix, shingles, words
 
 SHINGLE, PERCENT = 3, 90
@@ -198,7 +198,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
 
 def _components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    scanned = docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInPandas(_scan(shingle, percent), "doc_id long, h long, n_shingles long, key long, parts array<long>")
+    scanned = map_rows(docs.select("doc_id", F.xxhash64("text").alias("h"), "text"), _scan(shingle, percent), "doc_id long, h long, n_shingles long, key long, parts array<long>")
     found = written(scanned)
     classes = found.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.min(F.struct("doc_id", "h")).alias("row"), F.first("n_shingles").alias("n"))
     offered = found.where("parts is not null").select("key", F.explode("parts").alias("part"))
@@ -208,7 +208,8 @@ def _components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     families = families.unionByName(families.select(F.col("root").alias("node"), "root").distinct())
     classes = written(classes)
     placed = classes.join(families.select(F.col("node").alias("key"), F.col("root").alias("family")), "key")
-    placed = written(placed.withColumn("weight", F.sum("n").over(W.partitionBy("family"))).select("row", "key", "family", "n", "weight"))
+    weights = placed.groupBy("family").agg(F.sum("n").alias("weight"))
+    placed = written(placed.join(weights, "family").select("row", "key", "family", "n", "weight"))
     total = placed.agg(F.sum("n")).first()[0] or 0
     links = None
     if total:
@@ -228,5 +229,5 @@ def _components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     if links is not None:
         roots = components(links)
         named = classes.select("key", "first_doc").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-        named = named.select("key", F.min("first_doc").over(W.partitionBy("root")).alias("first_doc"))
+        named = named.select("key", "root").join(named.groupBy("root").agg(F.min("first_doc").alias("first_doc")), "root")
     return out.join(named, "key", "left").select("doc_id", "h", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("first_doc")).otherwise(F.col("doc_id")).alias("component_id"))

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popforge.llm.shared import crc_mod
+from popforge.llm.shared import crc_mod, map_rows
 from popforge.llm.textarrays import chunks, joined
 
 #: n-gram hash buckets; the model is this many numbers a code bit.
@@ -136,7 +136,9 @@ def predict(docs: DataFrame, model: dict, carry: list[str] | None = None) -> Dat
 
     columns = [c for c in (docs.columns if carry is None else carry) if c not in ("lang_pred", "score", "ambiguous")]
     fields = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in columns)
-    return docs.select([f"`{c}`" for c in dict.fromkeys([*columns, "text"])]).mapInPandas(run, f"{fields}lang_pred string, score double, ambiguous boolean")
+    asked = docs.select([f"`{c}`" for c in dict.fromkeys([*columns, "text"])])
+    fields += "lang_pred string, score double, ambiguous boolean"
+    return map_rows(asked, run, fields) if "doc_id" in columns else asked.mapInPandas(run, fields)
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popforge.llm.shared import written
+from popforge.llm.shared import map_rows, written
 from popforge.llm.textarrays import encode
 
 SAMPLE_DOCS, TREES, SUBSAMPLE, SEED = 20_000, 100, 256, 11
@@ -118,7 +118,8 @@ def _stats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> IsolationForest | None:
     """A forest from docs(doc_id, text); None where no document has a word."""
     ids = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    stats = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi").mapInPandas(_stats, f"doc_id long, {_FIELDS}").where("n_words > 0")
+    stats = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
+    stats = map_rows(stats, _stats, f"doc_id long, {_FIELDS}").where("n_words > 0")
     rows = stats.orderBy("doc_id", *STATS).limit(2 * sample_docs).toPandas()
     return IsolationForest(feature_matrix(rows)) if len(rows) else None
 
@@ -132,7 +133,7 @@ def scored(docs: DataFrame, forest: IsolationForest | None) -> DataFrame:
             score = shared.value.scores(feature_matrix(pdf)) if shared.value is not None and len(pdf) else np.zeros(len(pdf))
             yield pdf.assign(score=np.where(pdf["n_words"] > 0, score, 0.0))
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id long, {_FIELDS}, score double")
+    return map_rows(docs.select("doc_id", "text"), run, f"doc_id long, {_FIELDS}, score double")
 
 
 def base_failed():

@@ -4,13 +4,15 @@ Winnowing: of the grams in each window the one with the smallest hash (leftmost
 equal windows have an anchor at the same offset, and about 2 in `window - gram` positions are anchors. All
 that windows around an anchor can hold is its context: `window - gram` tokens before it and `window` from it.
 
-1. A scan of the documents gives anchors (seed = gram hash, digest of the context, row, position).
-2. Anchors of one seed and context form a class. A seed with several classes may still share windows between
-   them, so those classes' contexts are fetched, one a class.
-3. Seeds are dealt over tasks. Within a seed, contexts are sorted forwards from the anchor and backwards from
-   it; neighbours' common extensions then tell, for each window offset, which classes hold the same window.
-   Seeds with over HOT_CLASSES classes are not gathered: their windows' digests are counted by Spark instead.
-4. Covered ranges come back to the anchors and to their documents.
+1. A scan of the documents gives anchors (seed = gram hash, digest of the context, document, position), which are
+   shuffled once, by seed. Anchors of one seed and context form a class; all its windows are repeats at once.
+2. Contexts of different classes of a seed may still share windows. A window covers one of SEGMENTS cores of the
+   context, so a class is looked at further only if it shares a core's digest with another class of its seed; one
+   context a class is fetched.
+3. Within a seed, contexts are sorted forwards from the anchor and backwards from it; neighbours' common extensions
+   then tell, for each window offset, which classes hold the same window. Seeds with over HOT_CLASSES such classes
+   are not gathered: their windows' digests are counted by Spark instead.
+4. Covered ranges go to their documents.
 """
 
 from __future__ import annotations
@@ -25,11 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from popforge.llm.shared import written
+from popforge.llm.shared import fits, map_rows, written
 from popforge.llm.textarrays import BASE, INVERSE, chunks, mix, powers
 
-#: Classes of one seed that may meet in a task, and classes dealt to a task.
-HOT_CLASSES, TASK_CLASSES = 2048, 4000
+#: Classes of one seed that may meet in a task, classes dealt to a task, and text bytes scanned at a time.
+HOT_CLASSES, TASK_CLASSES, CHUNK = 2048, 4000, 1_000_000
+#: Cores of a context, and rows or ranges of a side that may be broadcast.
+SEGMENTS, BROADCAST_ROWS = 4, 200_000
 _PACK = 1 << 20
 
 
@@ -53,7 +57,7 @@ class Kind:
 
 def row_key() -> Column:
     """Tells rows apart: rows of one id by their text; only rows equal in both share a key, and fare alike."""
-    return F.struct("doc_id", F.xxhash64("text").alias("h"))
+    return F.struct("doc_id", F.hash("text").alias("h"))
 
 
 def prefix(codes: np.ndarray) -> np.ndarray:
@@ -88,20 +92,35 @@ def _extent(at: np.ndarray, bounds: np.ndarray, kind: Kind) -> tuple[np.ndarray,
     return doc, np.minimum(at - bounds[doc], kind.before), np.minimum(bounds[doc + 1] - at, kind.window)
 
 
+def cores(codes: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray, kind: Kind) -> list[np.ndarray]:
+    """Digests of each context's cores: the tokens that all windows with an offset in a segment share. 0: no such window."""
+    sums, out = prefix(codes), []
+    step = -(-kind.before // SEGMENTS)
+    for k in range(SEGMENTS):
+        low, high = min(k * step, kind.before), min((k + 1) * step, kind.before)
+        fit = (left >= low) & (right >= kind.window - high)
+        a, b = np.where(fit, at - low, 0), np.where(fit, at + kind.window - high, 0)
+        digest = mix((sums[b] - sums[a]) * powers(INVERSE, len(sums))[a]) | np.uint64(1)
+        out.append(np.where(fit, digest, 0).astype(np.uint32).view(np.int32))
+    return out
+
+
 def _scan(kind: Kind) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            ids, hashes = pdf["doc_id"].to_numpy(object), pdf["h"].to_numpy()
-            for rows, held in chunks(pdf["text"]):
+            ids, hashes = pdf["doc_id"].to_numpy(), pdf["h"].to_numpy()
+            for rows, held in chunks(pdf["text"], CHUNK):
                 tokens, bounds = kind.tokens(held)
-                at, seeds = anchors(kind.codes(tokens), bounds, kind.window, kind.gram)
+                codes = kind.codes(tokens)
+                at, seeds = anchors(codes, bounds, kind.window, kind.gram)
                 if not len(at):
                     continue
                 doc, left, right = _extent(at, bounds, kind)
                 data, width = memoryview(tokens).cast("B"), tokens.itemsize
                 digest = np.frombuffer(b"".join(hashlib.blake2b(data[a:b], digest_size=8).digest() for a, b in zip(((at - left) * width).tolist(), ((at + right) * width).tolist(), strict=True)), np.int64)
                 row = np.asarray(rows)[doc]
-                yield pd.DataFrame({"seed": seeds.view(np.int64), "context": digest ^ (left * 1024 + right), "doc_id": ids[row], "h": hashes[row], "pos": at - bounds[doc], "before": left.astype(np.int32), "upto": right.astype(np.int32)})
+                found = {"seed": seeds.view(np.int64), "context": digest ^ (left * 1024 + right), "doc_id": ids[row], "h": hashes[row], "pos": (at - bounds[doc]).astype(np.int32), "before": left.astype(np.int16), "upto": right.astype(np.int16)}
+                yield pd.DataFrame(found | {f"core_{k}": c for k, c in enumerate(cores(codes, at, left, right, kind))})
 
     return run
 
@@ -109,15 +128,15 @@ def _scan(kind: Kind) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFram
 def _contexts(kind: Kind) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            wanted = pdf["wanted"].tolist()
-            for rows, held in chunks(pdf["text"]):
+            ids, hashes, wanted = pdf["doc_id"].tolist(), pdf["h"].tolist(), pdf["wanted"].tolist()
+            for rows, held in chunks(pdf["text"], CHUNK):
                 tokens, bounds = kind.tokens(held)
                 data, width, out = memoryview(tokens).cast("B"), tokens.itemsize, []
                 for k, row in enumerate(rows):
                     for w in wanted[row]:
                         at = bounds[k] + w["pos"]
-                        out.append((w["seed"], w["context"], w["n"], w["first_doc"], w["hot"], w["before"], bytes(data[(at - w["before"]) * width : (at + w["upto"]) * width])))
-                yield pd.DataFrame(out, columns=["seed", "context", "n", "first_doc", "hot", "before", "tokens"])
+                        out.append((ids[row], hashes[row], w["pos"], w["seed"], w["context"], w["first_doc"], w["hot"], w["before"], bytes(data[(at - w["before"]) * width : (at + w["upto"]) * width])))
+                yield pd.DataFrame(out, columns=["doc_id", "h", "pos", "seed", "context", "first_doc", "hot", "before", "tokens"])
 
     return run
 
@@ -158,15 +177,21 @@ def shared_windows(kind: Kind, group: np.ndarray, first: np.ndarray, before: np.
 def _within(kind: Kind) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         dtype = kind.tokens([b""])[0].dtype
-        found: dict[int, list[int]] = {}
+        # offsets come in rising order: each row's runs of them grow at the end
+        runs: dict[int, list[list[int]]] = {}
         contexts = [np.frombuffer(b, dtype) for b in pdf["tokens"]]
-        nowhere = np.iinfo(np.int64).max
-        first = pdf["first_doc"].fillna(nowhere).to_numpy(np.int64)
+        first = pdf["first_doc"].to_numpy(np.int64)
         for offset, rows in shared_windows(kind, pdf["seed"].to_numpy(), first, pdf["before"].to_numpy(np.int64), contexts):
             for r in rows.tolist():
-                found.setdefault(r, []).append(offset)
-        rows = list(found)
-        return pd.DataFrame({"seed": pdf["seed"].to_numpy()[rows], "context": pdf["context"].to_numpy()[rows], "offsets": [found[r] for r in rows]})
+                own = runs.setdefault(r, [])
+                if own and own[-1][1] == offset - 1:
+                    own[-1][1] = offset
+                else:
+                    own.append([offset, offset])
+        rows = list(runs)
+        packed = [[(kind.before - high) * _PACK + high - low + kind.window for low, high in runs[r]] for r in rows]
+        out = pdf.iloc[rows][["seed", "context", "doc_id", "h", "pos"]]
+        return out.assign(runs=packed)
 
     return run
 
@@ -180,50 +205,85 @@ def _digests(kind: Kind) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataF
                 data, width = memoryview(tokens).cast("B"), tokens.itemsize
                 offsets = [o for o in range(r.before + 1) if r.before - o + kind.window <= len(tokens)]
                 marks = [hashlib.blake2b(data[(r.before - o) * width : (r.before - o + kind.window) * width], digest_size=8).digest() for o in offsets]
-                yield pd.DataFrame({"seed": r.seed, "context": r.context, "first_doc": r.first_doc, "offset": offsets, "mark": np.frombuffer(b"".join(marks), np.int64)})
+                yield pd.DataFrame({"seed": r.seed, "context": r.context, "doc_id": r.doc_id, "h": r.h, "pos": r.pos, "first_doc": r.first_doc, "offset": offsets, "mark": np.frombuffer(b"".join(marks), np.int64)})
 
     return run
 
 
-def _join_offsets(offsets: str, kind: Kind) -> Column:
-    """Packed (start - anchor + before, length) of each maximal run of offsets."""
-    # offsets are sorted; a run ends where the next offset is not one more
-    ends = F.filter(offsets, lambda o: ~F.array_contains(offsets, o + 1))
-    begins = F.filter(offsets, lambda o: ~F.array_contains(offsets, o - 1))
+def _packed_runs(offsets: str, kind: Kind) -> Column:
+    """Packed (start - anchor + before, length) of each maximal run of sorted offsets."""
+    ends = F.filter(offsets, lambda o, i: F.coalesce(F.get(offsets, i + 1) != o + 1, F.lit(True)))
+    begins = F.filter(offsets, lambda o, i: F.coalesce(F.get(offsets, i - 1) != o - 1, F.lit(True)))
     return F.zip_with(begins, ends, lambda a, b: (F.lit(kind.before) - b).cast("long") * _PACK + (b - a + kind.window).cast("long"))
 
 
+def _classes(docs: DataFrame, kind: Kind) -> DataFrame:
+    """Anchors that are in repeats or may be, each with its class: first_doc, whole (all its windows are repeats), asks
+    (one of each class whose windows must be compared), hot, more (others of the first document that fare like it)."""
+    rows = docs.select("doc_id", F.hash("text").alias("h"), "text").where(F.octet_length("text") >= kind.window)
+    fields = "seed long, context long, doc_id long, h int, pos int, before short, upto short" + "".join(f", core_{k} int" for k in range(SEGMENTS))
+    found = map_rows(rows, _scan(kind), fields).repartition("seed")
+    # everything below is local to the partitions of seeds
+    alike, seeded = W.partitionBy("seed", "context"), W.partitionBy("seed")
+    order = alike.orderBy(F.col("doc_id").asc_nulls_last(), "h", "pos")
+    marked = found.withColumns({"place": F.row_number().over(order), "n": F.count(F.lit(1)).over(alike), "first_doc": F.min("doc_id").over(alike)})
+    one = F.col("place") == 1
+    marked = marked.withColumn("k", F.count_if(one).over(seeded)).where("n > 1 or k > 1")
+    shares = [(F.col(f"core_{k}") != 0) & (F.count_if(one).over(W.partitionBy("seed", f"core_{k}")) > 1) for k in range(SEGMENTS)]
+    asks = shares[0]
+    for x in shares[1:]:
+        asks = asks | x
+    marked = marked.withColumn("shares", asks & (F.col("k") > 1))
+    long_enough = F.col("before") + F.col("upto") >= kind.window
+    whole = ((F.col("doc_id") > F.col("first_doc")) if kind.earliest else (F.col("n") > 1)) & long_enough
+    marked = marked.withColumns({"asks": one & F.col("shares"), "whole": F.coalesce(whole, F.lit(False))})
+    marked = marked.withColumn("hot", F.count_if("asks").over(seeded) > HOT_CLASSES)
+    more = ~one & F.col("shares") & F.coalesce(F.col("doc_id") == F.col("first_doc"), F.lit(False)) if kind.earliest else F.lit(False)
+    return written(marked.withColumn("more", more).where("asks or whole or more").select("seed", "context", "doc_id", "h", "pos", "before", "upto", "first_doc", "asks", "whole", "hot", "more"))
+
+
 def covered(docs: DataFrame, kind: Kind) -> DataFrame:
     """row, ranges: for documents with repeats, packed (start token * 2**20 + length) ranges to remove; they may overlap.
 
     docs(doc_id, text). Judged on the input as it is; null and short texts have no window.
     """
-    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), "text").where(F.length("text") >= kind.window)
-    found = written(rows.mapInPandas(_scan(kind), "seed long, context long, doc_id long, h long, pos long, before int, upto int"))
-    classes = found.groupBy("seed", "context").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"), F.min(F.struct("doc_id", "h", "pos", "before", "upto")).alias("at"))
-    classes = written(classes.withColumn("k", F.count(F.lit(1)).over(W.partitionBy("seed"))))
-    several = classes.where("k > 1").select(F.struct("at.doc_id", "at.h").alias("row"), F.struct("seed", "context", "n", "first_doc", (F.col("k") > HOT_CLASSES).alias("hot"), "at.pos", "at.before", "at.upto").alias("w"))
-    wanted = several.groupBy("row").agg(F.collect_list("w").alias("wanted"))
-    contexts = docs.select(row_key().alias("row"), "text").join(wanted, "row").dropDuplicates(["row"]).select("text", "wanted").mapInPandas(_contexts(kind), "seed long, context long, n long, first_doc long, hot boolean, before int, tokens binary")
-    n_several, n_hot = classes.where("k > 1").select(F.count(F.lit(1)), F.count_if(F.col("k") > HOT_CLASSES)).first()
-    runs = classes.select("seed", "context", F.lit(None).cast("array<int>").alias("offsets")).limit(0)
-    if n_several > n_hot:
-        dealt = contexts.where("not hot").withColumn("deal", F.pmod(F.xxhash64("seed"), F.lit(max(1, n_several // TASK_CLASSES))))
-        runs = runs.unionByName(dealt.groupBy("deal").applyInPandas(_within(kind), "seed long, context long, offsets array<int>"))
-    if n_hot:
-        marks = written(contexts.where("hot").mapInPandas(_digests(kind), "seed long, context long, first_doc long, offset int, mark long"))
-        met = marks.groupBy("seed", "offset", "mark").agg(F.count(F.lit(1)).alias("places"), F.min("first_doc").alias("least")).where("places > 1")
-        hit = marks.join(met, ["seed", "offset", "mark"])
+    classes = _classes(docs, kind)
+    at = F.struct("doc_id", "h").alias("row")
+    parts = [classes.where("whole").select(at, F.array((F.col("pos") - F.col("before")).cast("long") * _PACK + F.col("before") + F.col("upto")).alias("ranges"))]
+    n_asks, n_hot = classes.where("asks").select(F.count(F.lit(1)), F.count_if("hot")).first()
+    if n_asks:
+        nowhere = F.lit((1 << 63) - 1)
+        wanted = classes.where("asks").select(at, F.struct("seed", "context", F.coalesce("first_doc", nowhere).alias("first_doc"), "hot", "pos", "before", "upto").alias("w")).groupBy("row").agg(F.collect_list("w").alias("wanted"))
+        rows = classes.where("asks").select(at).distinct()
+        few = fits(rows, BROADCAST_ROWS)
+        texts = docs.select(row_key().alias("row"), "text")
+        texts = texts.join(F.broadcast(rows), "row", "left_semi") if few else texts
+        asked = texts.join(wanted, "row").dropDuplicates(["row"]).select("row.doc_id", "row.h", "text", "wanted")
+        keys = "doc_id long, h int, pos int, seed long, context long"
+        contexts = map_rows(asked, _contexts(kind), f"{keys}, first_doc long, hot boolean, before int, tokens binary")
+        runs = None
+        if n_asks > n_hot:
+            dealt = contexts.where("not hot").withColumn("deal", F.pmod(F.xxhash64("seed"), F.lit(max(1, n_asks // TASK_CLASSES))))
+            runs = dealt.groupBy("deal").applyInPandas(_within(kind), "seed long, context long, doc_id long, h int, pos int, runs array<long>")
+        if n_hot:
+            marks = written(map_rows(contexts.where("hot"), _digests(kind), f"{keys}, first_doc long, offset int, mark long"))
+            met = marks.groupBy("seed", "offset", "mark").agg(F.count(F.lit(1)).alias("places"), F.min("first_doc").alias("least")).where("places > 1")
+            hit = marks.join(met, ["seed", "offset", "mark"])
+            if kind.earliest:
+                hit = hit.where(F.col("least") < F.col("first_doc"))
+            hot = hit.groupBy("seed", "context", "doc_id", "h", "pos").agg(F.sort_array(F.collect_list("offset")).alias("offsets"))
+            hot = hot.withColumn("runs", _packed_runs("offsets", kind)).drop("offsets")
+            runs = hot if runs is None else runs.unionByName(hot)
+        runs = written(runs)
+        shift = lambda r: r + (F.col("pos") - kind.before).cast("long") * _PACK
+        parts.append(runs.select(at, F.transform("runs", shift).alias("ranges")))
         if kind.earliest:
-            hit = hit.where(F.col("least") < F.col("first_doc"))
-        runs = runs.unionByName(hit.groupBy("seed", "context").agg(F.sort_array(F.collect_list("offset")).alias("offsets")))
-    packed = runs.select("seed", "context", _join_offsets("offsets", kind).alias("runs"))
-    again = F.col("last_doc") > F.col("first_doc") if kind.earliest else F.col("n") > 1
-    cover = classes.select("seed", "context", "first_doc", again.alias("again")).join(packed, ["seed", "context"], "left").where("again or runs is not null")
-    whole = F.col("again") & (F.col("doc_id") > F.col("first_doc") if kind.earliest else F.lit(True)) & (F.col("before") + F.col("upto") >= kind.window)
-    ranges = F.when(whole, F.array((F.col("pos") - F.col("before")) * _PACK + F.col("before") + F.col("upto"))).otherwise(F.transform("runs", lambda r: r + (F.col("pos") - kind.before) * _PACK))
-    own = found.join(cover, ["seed", "context"]).select(F.struct("doc_id", "h").alias("row"), ranges.alias("ranges")).where("ranges is not null")
-    return own.groupBy("row").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+            again = classes.where("more").select("seed", "context", "doc_id", "h", "pos")
+            parts.append(again.join(runs.select("seed", "context", "runs"), ["seed", "context"]).select(at, F.transform("runs", shift).alias("ranges")))
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    return every.groupBy("row").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
 
 
 def removed_mask(n: int, ranges) -> np.ndarray:
@@ -237,5 +297,8 @@ def removed_mask(n: int, ranges) -> np.ndarray:
 
 
 def with_ranges(docs: DataFrame, kind: Kind) -> DataFrame:
-    """row docs with their ranges (null: nothing to remove)."""
-    return docs.select(row_key().alias("row"), "doc_id", "text").join(covered(docs, kind), "row", "left").select("doc_id", "text", "ranges")
+    """row docs with their ranges (null: nothing to remove). Few ranges, counted, are broadcast to the documents."""
+    ranges = written(covered(docs, kind))
+    n = ranges.agg(F.count(F.lit(1)) + F.coalesce(F.sum(F.size("ranges")), F.lit(0))).first()[0]
+    side = F.broadcast(ranges) if n <= 10 * BROADCAST_ROWS else ranges
+    return docs.select(row_key().alias("row"), "doc_id", "text").join(side, "row", "left").select("doc_id", "text", "ranges")

@@ -2,28 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from popforge.sources.storage import fits, shared_dir, written
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, set here only where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("popforge.shared.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="popforge-")
-        spark.conf.set("popforge.shared.dir", path)
-    return path
-
+__all__ = ["crc_mod", "fits", "map_rows", "shared_dir", "table", "written"]
 
-def written(df: DataFrame) -> DataFrame:
-    """The frame written to the shared folder as Parquet and read back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/popforge-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Stands for a null id inside pandas, where a null would turn a batch's ids into floats.
+_NO_ID = -(1 << 63)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +22,8 @@ def crc_mod(column: str, mod: int):
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(mod))
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether a frame has at most max_rows rows; reads no more than that many and one."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def map_rows(df: DataFrame, run, fields: str, key: str = "doc_id") -> DataFrame:
+    """mapInPandas with a long id column that may be null: ids come back exact, nulls as nulls."""
+    filled = df.withColumn(key, F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)))
+    out = filled.mapInPandas(run, fields)
+    return out.withColumn(key, F.nullif(F.col(key), F.lit(_NO_ID))) if key in out.columns else out

@@ -33,4 +33,39 @@ c AS (SELECT d.doc_id, d.size, p.source_size, p.target, p.whole, p.target - p.wh
 SELECT doc_id, size, source_size, target, CAST(size * (whole + CASE WHEN upto - own + upto < 2 * budget THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM c
 """
 
-ORACLE_SQL = {"op2_decontamination": OP2, "op9_mixing": OP9}
+OP4 = """
+WITH d AS (SELECT doc_id, hex(coalesce(text, '')) AS h FROM documents),
+c AS (SELECT doc_id, c, substr(h, 2 * c + 1, 1824) AS piece FROM (SELECT doc_id, h, CAST(unnest(range(0, length(h) // 2, 512)) AS INTEGER) AS c FROM d)),
+b AS (SELECT doc_id, piece, c, CAST(unnest(range(0, least(512, length(piece) // 2))) AS INTEGER) AS j FROM c),
+w AS (SELECT doc_id, c + j AS p, substr(piece, 2 * j + 1, 2) AS byte, CASE WHEN length(piece) - 2 * j >= 800 THEN md5(substr(piece, 2 * j + 1, 800)) END AS win FROM b),
+n AS (SELECT win, count(*) AS n FROM w WHERE win IS NOT NULL GROUP BY win),
+hit AS (SELECT doc_id, p, byte, coalesce(n, 0) > 1 AS hit FROM w LEFT JOIN n USING (win)),
+gone AS (SELECT doc_id, p, byte, bool_or(hit) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 399 PRECEDING AND CURRENT ROW) AS gone FROM hit),
+runs AS (SELECT doc_id, p, byte, gone, gone AND NOT lag(gone, 1, false) OVER (PARTITION BY doc_id ORDER BY p) AS first FROM gone),
+kept AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (first) AS n_spans, string_agg(CASE WHEN gone THEN '' ELSE byte END, '' ORDER BY p) AS kept FROM runs GROUP BY doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+OP5 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, list_slice(w, i, i + 2) AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+r AS (SELECT doc_id, doc_id AS m FROM d UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.m)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(m) AS component_id FROM r GROUP BY doc_id) USING (doc_id)
+"""
+
+OP6 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 49), ' ')) AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+f AS (SELECT win, min(doc_id) AS first FROM win GROUP BY win),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM win JOIN f USING (win) WHERE first < doc_id),
+kept AS (SELECT t.doc_id, count(gone.p) AS n_removed, string_agg(CASE WHEN gone.p IS NULL THEN word END, ' ' ORDER BY t.p) AS kept
+         FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) t LEFT JOIN gone ON gone.doc_id = t.doc_id AND gone.p = t.p GROUP BY t.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE_SQL = {"op2_decontamination": OP2, "op4_suffix_dedup": OP4, "op5_jaccard_join": OP5, "op6_substring_dedup": OP6, "op9_mixing": OP9}

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from popforge.llm.repeats import Kind, removed_mask, with_ranges
+from popforge.llm.shared import map_rows
 from popforge.llm.suffix_dedup import neighbours
 from popforge.llm.textarrays import encode, joined, words
 
@@ -63,4 +64,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, with
     loses nothing; rows of one doc_id are no repeats of each other. with_text: the kept words joined by spaces too.
     """
     fields = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * with_text
-    return with_ranges(docs, kind(window, gram)).mapInPandas(_apply(with_text), fields)
+    return map_rows(with_ranges(docs, kind(window, gram)), _apply(with_text), fields)

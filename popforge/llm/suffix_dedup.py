@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from popforge.llm.repeats import Kind, removed_mask, with_ranges
+from popforge.llm.shared import map_rows
 from popforge.llm.textarrays import _CODES, BASE, encode, powers
 
 WINDOW, GRAM = 400, 32
@@ -139,4 +140,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, with
     rows repeat each other and so lose all their windows. with_text: the kept bytes too.
     """
     fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return with_ranges(docs, kind(window, gram)).mapInPandas(_apply(with_text), fields)
+    return map_rows(with_ranges(docs, kind(window, gram)), _apply(with_text), fields)
