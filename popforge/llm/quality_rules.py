@@ -2,8 +2,10 @@
 
 Rule statistics come from each whole text. Two rules are fixed (base_failed); beyond them an isolation forest
 finds documents whose statistics are anomalous: trees split random features at random values, and documents
-that few splits isolate score high. The forest is grown on at most SAMPLE_DOCS documents (those with the
-smallest id hashes), SUBSAMPLE a tree. The score above which a document goes is calibrated on all labelled rows.
+that few splits isolate score high. Forests are grown on at most SAMPLE_DOCS documents (those with the smallest
+id hashes), one for each number in SUBSAMPLES of rows a tree: small trees see through clusters of anomalies, large
+ones tell finer differences. The forest, and the score above which a document goes, are calibrated on all labelled
+rows.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from popforge.llm.shared import map_rows, written
 from popforge.llm.textarrays import encode
 
-SAMPLE_DOCS, TREES, SUBSAMPLE, SEED = 20_000, 100, 256, 11
+SAMPLE_DOCS, TREES, SUBSAMPLES, SEED = 20_000, 100, (256, 128, 64, 32), 11
 MOST_GOOD_LOST, GOOD_WEIGHT = 0.002, 10
 #: Score histogram bins of the calibration.
 BINS = 1000
@@ -75,7 +77,7 @@ def average_path(n: float) -> float:
 class IsolationForest:
     """Trees as heap-ordered arrays: feature and cut of inner nodes, path length of leaves (inner: -1)."""
 
-    def __init__(self, rows: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE, seed: int = SEED):
+    def __init__(self, rows: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLES[0], seed: int = SEED):
         rng = np.random.default_rng(seed)
         size = min(subsample, len(rows))
         self.depth = max(1, int(np.ceil(np.log2(max(size, 2)))))
@@ -115,46 +117,57 @@ def _stats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat([pdf[["doc_id"]], pd.DataFrame([statistics(t) for t in pdf["text"]], columns=STATS, index=pdf.index)], axis=1)
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> IsolationForest | None:
-    """A forest from docs(doc_id, text); None where no document has a word."""
-    ids = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    stats = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
-    stats = map_rows(stats, _stats, f"doc_id long, {_FIELDS}").where("n_words > 0")
-    rows = stats.orderBy("doc_id", *STATS).limit(2 * sample_docs).toPandas()
-    return IsolationForest(feature_matrix(rows)) if len(rows) else None
+def measured(docs: DataFrame) -> DataFrame:
+    """doc_id and STATS of each row of docs(doc_id, text), written; the texts are read this once."""
+    return written(map_rows(docs.select("doc_id", "text"), _stats, f"doc_id long, {_FIELDS}"))
 
 
-def scored(docs: DataFrame, forest: IsolationForest | None) -> DataFrame:
-    """doc_id, STATS, score for every row; score 0 without a forest or words."""
-    shared = docs.sparkSession.sparkContext.broadcast(forest)
+def fit(stats: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[IsolationForest]:
+    """Forests from measured(), one for each of SUBSAMPLES; none where no document has a word."""
+    rows = stats.where("n_words > 0").orderBy(F.xxhash64("doc_id"), "doc_id", *STATS).limit(sample_docs).toPandas()
+    return [IsolationForest(feature_matrix(rows), subsample=n) for n in SUBSAMPLES] if len(rows) else []
+
+
+def scored(rows: DataFrame, forests: list[IsolationForest]) -> DataFrame:
+    """rows of measured(), their other columns kept, with `scores`, one for each forest; 0 without words."""
+    shared = rows.sparkSession.sparkContext.broadcast(forests)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in _stats(batches):
-            score = shared.value.scores(feature_matrix(pdf)) if shared.value is not None and len(pdf) else np.zeros(len(pdf))
-            yield pdf.assign(score=np.where(pdf["n_words"] > 0, score, 0.0))
+        for pdf in batches:
+            x, some = feature_matrix(pdf), (pdf["n_words"] > 0).to_numpy()
+            yield pdf.assign(scores=list(np.stack([np.where(some, f.scores(x), 0.0) for f in shared.value], axis=1)) if shared.value else [[]] * len(pdf))
 
-    return map_rows(docs.select("doc_id", "text"), run, f"doc_id long, {_FIELDS}, score double")
+    fields = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in rows.columns)
+    return map_rows(rows, run, f"{fields}, scores array<double>")
 
 
 def base_failed():
     return (F.col("n_words") < 50) | (F.lit(100) * F.col("n_repeat_words") > F.lit(50) * F.col("n_words"))
 
 
-def threshold(rows: DataFrame, labels: DataFrame, most_good_lost: float = MOST_GOOD_LOST) -> float:
-    """The score that parts bad from good labelled documents (quality 0 and 1) that pass the base rules: of the cuts
-    that lose at most that share of good ones, those with the most caught, a good one lost counting as GOOD_WEIGHT;
-    of equals the middle. Infinite (keep all) without labels of both sorts or where no cut catches more than it loses."""
-    labelled = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    bins = rows.where(~base_failed()).join(labelled, "doc_id").groupBy(F.floor(F.col("score") * BINS).alias("bin"), "quality").count().toPandas()
-    good, bad = np.zeros(BINS + 2), np.zeros(BINS + 2)
-    for score_bin, quality, n in bins.itertuples(index=False):
-        (good if quality == 1 else bad)[int(score_bin)] += n
-    if not good.sum() or not bad.sum():
-        return float("inf")
+def best_cut(good: np.ndarray, bad: np.ndarray, most_good_lost: float) -> tuple[float, float]:
+    """Worth and score of the best cut through histograms of scores: of the cuts that lose at most that share of good
+    documents, those with the most caught, a good one lost counting as GOOD_WEIGHT; of equals the middle."""
     lost, caught = good[::-1].cumsum()[::-1], bad[::-1].cumsum()[::-1]
     value = np.where(lost <= most_good_lost * good.sum(), caught - GOOD_WEIGHT * lost, 0)
     best = np.flatnonzero(value == value.max())
-    return float(best[len(best) // 2]) / BINS if value.max() > 0 else float("inf")
+    return float(value.max()), float(best[len(best) // 2]) / BINS
+
+
+def calibrated(stats: DataFrame, labels: DataFrame, forests: list[IsolationForest], most_good_lost: float = MOST_GOOD_LOST) -> tuple[int, float]:
+    """The forest that parts good from bad labelled documents (quality 1 and 0) that pass the base rules best, the first
+    of equals, and its cut. Infinite (keep all) without labels of both sorts or where no cut catches more than it loses."""
+    labelled = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
+    rows = scored(stats.where(~base_failed()).join(labelled, "doc_id"), forests)
+    bins = rows.select("quality", F.posexplode("scores").alias("forest", "score")).groupBy("forest", F.floor(F.col("score") * BINS).alias("bin"), "quality").count().toPandas()
+    counts = np.zeros((len(forests), 2, BINS + 2))
+    for forest, score_bin, quality, n in bins.itertuples(index=False):
+        counts[forest, int(quality == 1), int(score_bin)] += n
+    if not len(forests) or not (counts.sum(axis=(0, 2)) > 0).all():
+        return 0, float("inf")
+    cuts = [best_cut(good, bad, most_good_lost) for bad, good in counts]
+    first = max(range(len(cuts)), key=lambda k: (cuts[k][0], -k))
+    return first, cuts[first][1] if cuts[first][0] > 0 else float("inf")
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -162,6 +175,10 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Null and empty texts have no words and fail. Repeated rows fare alike. Without labels only the base rules judge.
     """
-    rows = written(scored(docs, fit(docs)))
-    cut = threshold(rows, labels)
-    return rows.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & (F.col("score") < F.lit(cut)))
+    stats = measured(docs)
+    forests = fit(stats)
+    forest, cut = calibrated(stats, labels, forests)
+    rows = scored(stats, forests[forest : forest + 1])
+    score = F.coalesce(F.get("scores", F.lit(0)), F.lit(0.0))
+    rows = rows.select("doc_id", *STATS, score.alias("score"), base_failed().alias("base_failed"))
+    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") < F.lit(cut)))
