@@ -4,8 +4,9 @@ Winnowing: of the grams in each window the one with the smallest hash (leftmost
 equal windows have an anchor at the same offset, and about 2 in `window - gram` positions are anchors. All
 that windows around an anchor can hold is its context: `window - gram` tokens before it and `window` from it.
 
-1. A scan of the documents gives anchors (seed = gram hash, digest of the context, document, position), which are
-   shuffled once, by seed. Anchors of one seed and context form a class; all its windows are repeats at once.
+1. A scan of the documents gives anchors (seed = gram hash, digest of the context, document, positions), which are
+   shuffled once, by seed; places of one document with the same seed and context, as in runs of one word, are one
+   row. Anchors of one seed and context form a class; all its windows are repeats at once.
 2. Contexts of different classes of a seed may still share windows. A window covers one of SEGMENTS cores of the
    context, so a class is looked at further only if it shares a core's digest with another class of its seed; one
    context a class is fetched.
@@ -30,8 +31,9 @@ from pyspark.sql import functions as F
 from popforge.llm.shared import fits, map_rows, written
 from popforge.llm.textarrays import BASE, INVERSE, chunks, mix, powers
 
-#: Classes of one seed that may meet in a task, classes dealt to a task, and text bytes scanned at a time.
-HOT_CLASSES, TASK_CLASSES, CHUNK = 2048, 4000, 1_000_000
+#: Classes of one seed that may meet in a task (some 7 KB each while they are sorted), classes dealt to a task, and
+#: text bytes scanned at a time.
+HOT_CLASSES, TASK_CLASSES, CHUNK = 16_384, 4000, 1_000_000
 #: Cores of a context, and rows or ranges of a side that may be broadcast.
 SEGMENTS, BROADCAST_ROWS = 4, 200_000
 _PACK = 1 << 20
@@ -105,6 +107,17 @@ def cores(codes: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray
     return out
 
 
+def _first_places(doc: np.ndarray, seed: np.ndarray, context: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, list]:
+    """The first place of each document, seed and context, and for each of these its further positions (None: none)."""
+    order = np.lexsort((pos, context, seed, doc))
+    d, s, c = doc[order], seed[order], context[order]
+    first = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (s[1:] != s[:-1]) | (c[1:] != c[:-1])])
+    ends, rest = np.r_[first[1:], len(order)], [None] * len(first)
+    for k in np.flatnonzero(ends - first > 1).tolist():
+        rest[k] = pos[order[first[k] + 1 : ends[k]]].tolist()
+    return order[first], rest
+
+
 def _scan(kind: Kind) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -120,7 +133,9 @@ def _scan(kind: Kind) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFram
                 digest = np.frombuffer(b"".join(hashlib.blake2b(data[a:b], digest_size=8).digest() for a, b in zip(((at - left) * width).tolist(), ((at + right) * width).tolist(), strict=True)), np.int64)
                 row = np.asarray(rows)[doc]
                 found = {"seed": seeds.view(np.int64), "context": digest ^ (left * 1024 + right), "doc_id": ids[row], "h": hashes[row], "pos": (at - bounds[doc]).astype(np.int32), "before": left.astype(np.int16), "upto": right.astype(np.int16)}
-                yield pd.DataFrame(found | {f"core_{k}": c for k, c in enumerate(cores(codes, at, left, right, kind))})
+                one, rest = _first_places(doc, found["seed"], found["context"], found["pos"])
+                found |= {f"core_{k}": c for k, c in enumerate(cores(codes, at, left, right, kind))}
+                yield pd.DataFrame({name: column[one] for name, column in found.items()} | {"rest": rest})
 
     return run
 
@@ -221,12 +236,12 @@ def _classes(docs: DataFrame, kind: Kind) -> DataFrame:
     """Anchors that are in repeats or may be, each with its class: first_doc, whole (all its windows are repeats), asks
     (one of each class whose windows must be compared), hot, more (others of the first document that fare like it)."""
     rows = docs.select("doc_id", F.hash("text").alias("h"), "text").where(F.octet_length("text") >= kind.window)
-    fields = "seed long, context long, doc_id long, h int, pos int, before short, upto short" + "".join(f", core_{k} int" for k in range(SEGMENTS))
+    fields = "seed long, context long, doc_id long, h int, pos int, before short, upto short" + "".join(f", core_{k} int" for k in range(SEGMENTS)) + ", rest array<int>"
     found = map_rows(rows, _scan(kind), fields).repartition("seed")
     # everything below is local to the partitions of seeds
     alike, seeded = W.partitionBy("seed", "context"), W.partitionBy("seed")
     order = alike.orderBy(F.col("doc_id").asc_nulls_last(), "h", "pos")
-    marked = found.withColumns({"place": F.row_number().over(order), "n": F.count(F.lit(1)).over(alike), "first_doc": F.min("doc_id").over(alike)})
+    marked = found.withColumns({"place": F.row_number().over(order), "n": F.sum(1 + F.size(F.coalesce("rest", F.array().cast("array<int>")))).over(alike), "first_doc": F.min("doc_id").over(alike)})
     one = F.col("place") == 1
     marked = marked.withColumn("k", F.count_if(one).over(seeded)).where("n > 1 or k > 1")
     shares = [(F.col(f"core_{k}") != 0) & (F.count_if(one).over(W.partitionBy("seed", f"core_{k}")) > 1) for k in range(SEGMENTS)]
@@ -239,7 +254,7 @@ def _classes(docs: DataFrame, kind: Kind) -> DataFrame:
     marked = marked.withColumns({"asks": one & F.col("shares"), "whole": F.coalesce(whole, F.lit(False))})
     marked = marked.withColumn("hot", F.count_if("asks").over(seeded) > HOT_CLASSES)
     more = ~one & F.col("shares") & F.coalesce(F.col("doc_id") == F.col("first_doc"), F.lit(False)) if kind.earliest else F.lit(False)
-    return written(marked.withColumn("more", more).where("asks or whole or more").select("seed", "context", "doc_id", "h", "pos", "before", "upto", "first_doc", "asks", "whole", "hot", "more"))
+    return written(marked.withColumn("more", more).where("asks or whole or more").select("seed", "context", "doc_id", "h", "pos", "before", "upto", "first_doc", "asks", "whole", "hot", "more", "rest"))
 
 
 def covered(docs: DataFrame, kind: Kind) -> DataFrame:
@@ -249,7 +264,9 @@ def covered(docs: DataFrame, kind: Kind) -> DataFrame:
     """
     classes = _classes(docs, kind)
     at = F.struct("doc_id", "h").alias("row")
-    parts = [classes.where("whole").select(at, F.array((F.col("pos") - F.col("before")).cast("long") * _PACK + F.col("before") + F.col("upto")).alias("ranges"))]
+    further = F.coalesce("rest", F.array().cast("array<int>"))
+    places = F.concat(F.array("pos"), further)
+    parts = [classes.where("whole").select(at, F.transform(places, lambda p: (p - F.col("before")).cast("long") * _PACK + F.col("before") + F.col("upto")).alias("ranges"))]
     n_asks, n_hot = classes.where("asks").select(F.count(F.lit(1)), F.count_if("hot")).first()
     if n_asks:
         nowhere = F.lit((1 << 63) - 1)
@@ -278,8 +295,9 @@ def covered(docs: DataFrame, kind: Kind) -> DataFrame:
         shift = lambda r: r + (F.col("pos") - kind.before).cast("long") * _PACK
         parts.append(runs.select(at, F.transform("runs", shift).alias("ranges")))
         if kind.earliest:
-            again = classes.where("more").select("seed", "context", "doc_id", "h", "pos")
-            parts.append(again.join(runs.select("seed", "context", "runs"), ["seed", "context"]).select(at, F.transform("runs", shift).alias("ranges")))
+            again = classes.where("more or asks and rest is not null").select("seed", "context", "doc_id", "h", F.when(F.col("more"), places).otherwise(further).alias("places"))
+            moved = F.transform("places", lambda p: F.transform("runs", lambda r: r + (p - kind.before).cast("long") * _PACK))
+            parts.append(again.join(runs.select("seed", "context", "runs"), ["seed", "context"]).select(at, F.flatten(moved).alias("ranges")))
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)

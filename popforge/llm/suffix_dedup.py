@@ -56,7 +56,9 @@ def merge_order(group: np.ndarray, matrix: np.ndarray, lengths: np.ndarray) -> n
     """Row order by group, then by bytes: bottom-up merges inside groups, each row ranked in the sibling run."""
     m = len(group)
     hashes = np.zeros((m, matrix.shape[1] + 1), np.uint64)
-    np.cumsum(_CODES[matrix] * powers(BASE, matrix.shape[1]), axis=1, out=hashes[:, 1:])
+    hashes[:, 1:] = _CODES[matrix]
+    hashes[:, 1:] *= powers(BASE, matrix.shape[1])
+    np.cumsum(hashes, axis=1, out=hashes)
     order = np.argsort(group, kind="stable")
     starts = np.flatnonzero(np.r_[True, group[order][1:] != group[order][:-1]])
     sizes = np.diff(np.r_[starts, m])
