@@ -406,6 +406,19 @@ def test_context_tree_base_and_coding(spark):
     assert context_tree.score(frame(spark, [])).count() == 0
 
 
+def test_context_tree_scores_partitions_with_the_same_rows(spark):
+    texts = ["one two three", "two three four", None]
+    docs = frame(spark, texts).coalesce(1)
+    counts = collections.Counter(x for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 10 for x in [*(t or "").split(), None] * 2)
+    got = context_tree.score(docs.unionAll(docs)).collect()
+    assert sorted(r.doc_id for r in got) == [0, 0, 1, 1, 2, 2]
+    scale = np.log10(sum(counts.values()) + 0.1 * (len(counts) + 1))
+    for r in got:
+        w = [*(texts[r.doc_id] or "").split(), None]
+        assert r.base_score == pytest.approx(sum(np.log10(counts[x] + 0.1) - scale for x in w))
+        assert r.n_known == sum(counts[x] > 0 for x in w)
+
+
 def brute_ctw(data, depth):
     """Weighted log probabilities and predictions from a plain recursive context tree."""
     pad = bytes([255]) * depth
