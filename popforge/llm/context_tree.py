@@ -29,6 +29,8 @@ from popforge.llm.textarrays import chunks, joined, mix, words
 
 #: Bytes of context, log2 of the scoring table's slots, text bytes scored or gathered at a time.
 DEPTH, SLOT_BITS, CHUNK, GATHER = 4, 22, 4_000_000, 24_000_000
+#: log2 of the slots that reach the driver in one row.
+BLOCK_BITS = 16
 #: Documents that one gathered posting can number.
 MOST_DOCS = 60_000
 END = 0xFF
@@ -126,6 +128,14 @@ def _to_slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf[["zeros", "ones", "weight"]].assign(slot=slots(pdf["depth"].to_numpy(), pdf["context"].to_numpy(), pdf["node"].to_numpy()))
 
 
+def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The slots of one block, at most 2**BLOCK_BITS rows, as two packed arrays."""
+    weight, one = np.zeros(1 << BLOCK_BITS, np.float32), np.full(1 << BLOCK_BITS, 0.5, np.float32)
+    at = pdf["slot"].to_numpy() & ((1 << BLOCK_BITS) - 1)
+    weight[at], one[at] = np.maximum(pdf["weight"].to_numpy(), 1e-6), pdf["one"].to_numpy()
+    return pd.DataFrame({"block": [pdf["block"].iat[0]], "weights": [weight.tobytes()], "ones": [one.tobytes()]})
+
+
 def fit(grams: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Per slot the weight of stopping (0: no node) and the estimate of a one."""
     every = None
@@ -133,10 +143,11 @@ def fit(grams: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         level = level.select("zeros", "ones", "weight", "context", "node", F.lit(d).alias("depth"))
         every = level if every is None else every.unionByName(level)
     met = every.mapInPandas(_to_slots, "zeros double, ones double, weight double, slot long").groupBy("slot").agg(F.sum("zeros").alias("a"), F.sum("ones").alias("b"), F.sum(F.col("weight") * (F.col("zeros") + F.col("ones"))).alias("w"))
-    rows = met.select(F.col("slot").cast("int"), (F.col("w") / (F.col("a") + F.col("b"))).cast("float").alias("weight"), ((F.col("b") + 0.5) / (F.col("a") + F.col("b") + 1)).cast("float").alias("one")).toPandas()
+    rows = met.select("slot", F.shiftright("slot", BLOCK_BITS).cast("int").alias("block"), (F.col("w") / (F.col("a") + F.col("b"))).cast("float").alias("weight"), ((F.col("b") + 0.5) / (F.col("a") + F.col("b") + 1)).cast("float").alias("one"))
     weight, one = np.zeros(1 << SLOT_BITS, np.float32), np.full(1 << SLOT_BITS, 0.5, np.float32)
-    at = rows["slot"].to_numpy()
-    weight[at], one[at] = np.maximum(rows["weight"].to_numpy(), 1e-6), rows["one"].to_numpy()
+    for block, weights, ones in rows.groupBy("block").applyInPandas(_pack, "block int, weights binary, ones binary").collect():
+        at = slice(block << BLOCK_BITS, block + 1 << BLOCK_BITS)
+        weight[at], one[at] = np.frombuffer(weights, np.float32), np.frombuffer(ones, np.float32)
     return weight, one
 
 
