@@ -33,32 +33,33 @@ def _side(df: DataFrame, small: bool) -> DataFrame:
 
 
 def item_words(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """item_id, terms, length (of its windows) for items(item_id, text) with words.
+    """item, item_id, terms, length (of its windows) for items(item_id, text) with words.
 
-    Windows are all runs of `window` words; an item of fewer words is one window.
+    Windows are all runs of `window` words; an item of fewer words is one window. Rows of one id and the same words
+    are one; `item` tells the others apart, whatever their ids.
     """
-    listed = items.select("item_id", words("text").alias("terms")).where(F.size("terms") > 0)
-    return written(listed.select("item_id", "terms", F.least(F.size("terms"), F.lit(window)).alias("length")))
+    listed = items.select("item_id", words("text").alias("terms")).where(F.size("terms") > 0).distinct()
+    return written(listed.select(F.monotonically_increasing_id().alias("item"), "item_id", "terms", F.least(F.size("terms"), F.lit(window)).alias("length")))
 
 
 def probes_of(items: DataFrame, df: DataFrame, probes: int) -> DataFrame:
-    """item_id, offset, term, need: places of an item that are among the rarest terms of one of its windows.
+    """item, offset, term, need: places of an item that are among the rarest terms of one of its windows.
 
     Windows with a term that no document has can't occur and ask for none.
     """
     starts = F.sequence(F.lit(0), F.size("terms") - F.col("length"))
-    windows = items.select("item_id", "length", F.explode(F.transform(starts, lambda i: F.struct(i.alias("i"), F.slice("terms", i + 1, F.col("length")).alias("terms")))).alias("w"))
-    placed = windows.select("item_id", "length", "w.i", F.posexplode("w.terms").alias("offset", "term")).join(df, "term", "left")
-    whole = Window.partitionBy("item_id", "i")
+    windows = items.select("item", "length", F.explode(F.transform(starts, lambda i: F.struct(i.alias("i"), F.slice("terms", i + 1, F.col("length")).alias("terms")))).alias("w"))
+    placed = windows.select("item", "length", "w.i", F.posexplode("w.terms").alias("offset", "term")).join(df, "term", "left")
+    whole = Window.partitionBy("item", "i")
     ranked = placed.withColumn("rank", F.row_number().over(whole.orderBy("df", "offset"))).withColumn("known", F.count("df").over(whole))
     chosen = ranked.where((F.col("known") == F.col("length")) & (F.col("rank") <= probes))
-    return chosen.select("item_id", (F.col("i") + F.col("offset")).alias("offset"), "term", F.least("length", F.lit(probes)).alias("need")).distinct()
+    return chosen.select("item", (F.col("i") + F.col("offset")).alias("offset"), "term", F.least("length", F.lit(probes)).alias("need")).distinct()
 
 
 def occurrences(docs: DataFrame, items: DataFrame, probes: int = PROBES) -> tuple[DataFrame, DataFrame]:
     """Exact occurrences (row, start, length, item_id) of windows of item_words() in docs(row, text), and (row, n_words).
 
-    `row` must tell rows apart. start counts words from 0.
+    `row` must tell rows apart. start counts words from 0. A place is listed for each item that holds its window.
     """
     vocabulary = written(items.select(F.explode("terms").alias("term")).distinct())
     seen = docs.select(F.explode(words("text")).alias("term"))
@@ -71,10 +72,10 @@ def occurrences(docs: DataFrame, items: DataFrame, probes: int = PROBES) -> tupl
     index = written(listed.join(_side(ends, small), "term"))
     counts = index.where(F.col("term") == "").select("row", F.col("pos").cast("long").alias("n_words"))
     # postings shifted back by the term's offset in the item: a window's terms meet at one shift
-    aligned = index.where(F.col("term") != "").join(_side(probing, small), "term").select("row", "item_id", "need", (F.col("pos") - F.col("offset")).alias("shift"))
-    met = written(aligned.groupBy("row", "item_id", "shift", "need").agg(F.count(F.lit(1)).alias("n")).where("n >= need").select("row", "item_id", "shift"))
+    aligned = index.where(F.col("term") != "").join(_side(probing, small), "term").select("row", "item", "need", (F.col("pos") - F.col("offset")).alias("shift"))
+    met = written(aligned.groupBy("row", "item", "shift", "need").agg(F.count(F.lit(1)).alias("n")).where("n >= need").select("row", "item", "shift"))
     # the few shifts left are compared word by word
-    claims = met.join(items, "item_id").groupBy("row").agg(F.collect_list(F.struct("shift", "item_id", "terms", "length")).alias("claims"))
+    claims = met.join(items, "item").groupBy("row").agg(F.collect_list(F.struct("shift", "item_id", "terms", "length")).alias("claims"))
     claimed = met.select("row").distinct()
     texts = docs.join(_side(claimed, fits(claimed, BROADCAST_ROWS)), "row", "left_semi").join(claims, "row")
     each = texts.select("row", words("text").alias("w"), "claims").select("row", F.explode(F.transform("claims", lambda c: _matches("w", c))).alias("c"))
@@ -92,19 +93,20 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, a row for each row of docs(doc_id, text).
 
     Null or empty texts have no words; rows that share an id are kept apart by their text, and rows that are
-    the same throughout are answered alike, one row each; no items: nothing is hit.
+    the same throughout are answered alike, one row each; no items: nothing is hit. Items without an id count as one
+    in n_items, as in the SQL, and have no name in items_sha256.
     """
     texts = docs.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("row"), "text")
     hits, counts = occurrences(texts, item_words(items, window))
     hits = written(hits)
     covered = hits.groupBy("row").agg(F.size(F.array_distinct(F.flatten(F.collect_list(F.sequence("start", F.col("start") + F.col("length") - 1))))).cast("long").alias("n_hit"))
     named = hits.select("row", F.col("item_id").cast("string").alias("item")).distinct()
-    named = named.groupBy("row").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    named = named.groupBy("row").agg(F.count(F.lit(1)).alias("n_items"), F.sort_array(F.collect_list("item")).alias("items"))
     found = covered.join(named, "row")
     empty = F.lit(0).cast("long")
     return (
         counts.join(found, "row", "left")
-        .select("row.doc_id", "n_words", F.coalesce("n_hit", empty).alias("n_hit"), F.coalesce(F.size("items").cast("long"), empty).alias("n_items"), F.sha2(F.coalesce(F.concat_ws(",", "items"), F.lit("")), 256).alias("items_sha256"))
+        .select("row.doc_id", "n_words", F.coalesce("n_hit", empty).alias("n_hit"), F.coalesce("n_items", empty).alias("n_items"), F.sha2(F.coalesce(F.concat_ws(",", "items"), F.lit("")), 256).alias("items_sha256"))
         .withColumn("contaminated", F.col("n_hit") > 0)
     )
 

@@ -240,6 +240,22 @@ def test_decontamination(spark, monkeypatch):
     assert decontamination.contamination(docs.limit(0), bench).count() == 0
 
 
+def test_decontamination_with_repeated_items_and_ids(spark):
+    texts = corpus(4) + ["q one two three four five six seven eight nine ten", "only a short one here", "eins zwei drei"]
+    passage = lambda i, a, b: " ".join(texts[i].split()[a:b])
+    items = [(1, passage(3, 33, 60))] * 3 + [(2, passage(0, 5, 17)), (2, passage(0, 15, 40)), (2, texts[-3][2:])]
+    items += [(None, passage(0, 0, 12)), (None, "a short one"), (None, "a short one"), (3, "drei"), (3, "Drei!"), (4, "eins")]
+    docs, bench = frame(spark, texts), spark.createDataFrame(items, "item_id long, text string")
+    # a null id is one item and has no name
+    want = {}
+    for i, (n, hit, found, _, dirty) in leaks(texts, items, 10).items():
+        names = ",".join(sorted(str(k) for k in {k for k, _ in items if k is not None} if leaks([texts[i]], [x for x in items if x[0] == k], 10)[0][4]))
+        want[i] = (n, hit, found, hashlib.sha256(names.encode()).hexdigest(), dirty)
+    got = {r[0]: tuple(r)[1:] for r in decontamination.contamination(docs, bench).collect()}
+    assert got == want and all(want[i][4] for i in (0, 3, len(texts) - 3, len(texts) - 2, len(texts) - 1))
+    assert sorted(r.doc_id for r in decontamination.uncontaminated(docs, bench).collect()) == [i for i, x in want.items() if not x[4]]
+
+
 def test_proximity(spark):
     docs = frame(spark, ["a x b c y", "c x x x x x a b", "a b", None])
     got = {(r.doc_id, r.start, r.end) for r in decontamination.proximity(docs, ["c", "a", "b"], 1).collect()}
