@@ -6,12 +6,12 @@ Krichevsky-Trofimov's. Weighting runs from the deepest contexts up, P = (P_kt +
 and leaves each node the weight of stopping there. A text's probability mixes the estimates of all depths
 along its contexts with those weights. Texts are A-Z folded and end with a byte that no text has.
 
-Counts cover all training documents and are made by Spark, exactly, level by level. For scoring, nodes are
-hashed into 2**SLOT_BITS slots (nodes that meet in a slot share counts and weights), so the model that tasks
-get has a fixed size.
+Counts cover all training documents and are made by Spark, exactly, level by level. The model is the written
+levels, every node under its own key. The distinct byte grams of the documents are joined to them from the deepest
+level up, and each group of documents gets the chances of its own grams.
 
 Beside it: an additive-smoothed word model as a base score. Its word counts are joined to the words of
-documents, never sent whole to anyone.
+documents. Neither model is ever sent whole to anyone.
 """
 
 from __future__ import annotations
@@ -25,12 +25,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from popforge.llm.shared import crc_mod, map_rows, written
-from popforge.llm.textarrays import chunks, joined, mix, words
+from popforge.llm.textarrays import chunks, joined, words
 
-#: Bytes of context, log2 of the scoring table's slots, text bytes scored or gathered at a time.
-DEPTH, SLOT_BITS, CHUNK, GATHER = 4, 22, 4_000_000, 24_000_000
-#: log2 of the slots that reach the driver in one row.
-BLOCK_BITS = 16
+#: Bytes of context, text bytes scored or gathered at a time.
+DEPTH, CHUNK, GATHER = 4, 4_000_000, 24_000_000
 #: Documents that one gathered posting can number.
 MOST_DOCS = 60_000
 END = 0xFF
@@ -119,56 +117,35 @@ def weighted_nodes(grams: DataFrame, depth: int = DEPTH) -> list[DataFrame]:
     return levels
 
 
-def slots(depth: np.ndarray | int, context: np.ndarray, node: np.ndarray) -> np.ndarray:
-    return (mix((context.astype(np.uint64) << np.uint64(11)) + (np.asarray(node).astype(np.uint64) << np.uint64(3)) + np.asarray(depth).astype(np.uint64)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-
-
-def _to_slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        yield pdf[["zeros", "ones", "weight"]].assign(slot=slots(pdf["depth"].to_numpy(), pdf["context"].to_numpy(), pdf["node"].to_numpy()))
-
-
-def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The slots of one block, at most 2**BLOCK_BITS rows, as two packed arrays."""
-    weight, one = np.zeros(1 << BLOCK_BITS, np.float32), np.full(1 << BLOCK_BITS, 0.5, np.float32)
-    at = pdf["slot"].to_numpy() & ((1 << BLOCK_BITS) - 1)
-    weight[at], one[at] = np.maximum(pdf["weight"].to_numpy(), 1e-6), pdf["one"].to_numpy()
-    return pd.DataFrame({"block": [pdf["block"].iat[0]], "weights": [weight.tobytes()], "ones": [one.tobytes()]})
-
-
-def fit(grams: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Per slot the weight of stopping (0: no node) and the estimate of a one."""
-    every = None
-    for d, level in zip(range(DEPTH, -1, -1), weighted_nodes(grams), strict=True):
-        level = level.select("zeros", "ones", "weight", "context", "node", F.lit(d).alias("depth"))
-        every = level if every is None else every.unionByName(level)
-    met = every.mapInPandas(_to_slots, "zeros double, ones double, weight double, slot long").groupBy("slot").agg(F.sum("zeros").alias("a"), F.sum("ones").alias("b"), F.sum(F.col("weight") * (F.col("zeros") + F.col("ones"))).alias("w"))
-    rows = met.select("slot", F.shiftright("slot", BLOCK_BITS).cast("int").alias("block"), (F.col("w") / (F.col("a") + F.col("b"))).cast("float").alias("weight"), ((F.col("b") + 0.5) / (F.col("a") + F.col("b") + 1)).cast("float").alias("one"))
-    weight, one = np.zeros(1 << SLOT_BITS, np.float32), np.full(1 << SLOT_BITS, 0.5, np.float32)
-    for block, weights, ones in rows.groupBy("block").applyInPandas(_pack, "block int, weights binary, ones binary").collect():
-        at = slice(block << BLOCK_BITS, block + 1 << BLOCK_BITS)
-        weight[at], one[at] = np.frombuffer(weights, np.float32), np.frombuffer(ones, np.float32)
-    return weight, one
-
-
-def log10_chances(grams: np.ndarray, model: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """log10 probability of each gram's byte after its context."""
-    weight, one = model
-    symbol, total = (grams & np.uint64(255)).astype(np.int64), np.zeros(len(grams))
-    contexts = [grams >> np.uint64(8) & np.uint64((1 << 8 * d) - 1) for d in range(DEPTH + 1)]
-    for k in range(8):
-        node, bit = 1 << k | symbol >> (8 - k), symbol >> (7 - k) & 1
-        chance, found = np.full(len(grams), 0.5), np.zeros(len(grams), bool)
-        for d in range(DEPTH, -1, -1):
-            at = slots(d, contexts[d], node)
-            w, p = weight[at], one[at]
-            # the deepest context known stands for those beyond it
-            w = np.where(found, w, 1.0)
-            here = weight[at] > 0
-            chance = np.where(here, w * p + (1 - w) * chance, chance)
-            found |= here
-        total += np.log10(np.where(bit == 1, chance, 1 - chance))
-    return total
+def fit(grams: DataFrame) -> list[DataFrame]:
+    """Nodes (context, node, one) of depths DEPTH to 0: the chance of a one where the node is the deepest known."""
+    levels: list[DataFrame] = []
+    for d, nodes in enumerate(reversed(weighted_nodes(grams))):
+        own = nodes.select("context", "node", "weight", ((F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)).alias("p"))
+        if d:  # what the shallower nodes say and leave; each node's parent is a node
+            above = levels[-1].select(F.col("context").alias("up"), "node", "said", "left")
+            own = own.withColumn("up", F.col("context").bitwiseAND((1 << 8 * (d - 1)) - 1)).join(above, ["up", "node"])
+        else:
+            own = own.withColumn("said", F.lit(0.0)).withColumn("left", F.lit(1.0))
+        now = F.col("left") * F.col("weight") * F.col("p")
+        levels.append(written(own.select("context", "node", (F.col("said") + F.col("left") * F.col("p")).alias("one"), (F.col("said") + now).alias("said"), (F.col("left") * (1 - F.col("weight"))).alias("left"))))
+    return [level.select("context", "node", "one") for level in reversed(levels)]
+
+
+def log10_chances(asked: DataFrame, model: list[DataFrame]) -> DataFrame:
+    """key, chance: log10 probability of the byte of each of the distinct grams asked(key) after its context."""
+    symbol = F.col("key").bitwiseAND(255).cast("int")
+    bits = F.array(*[F.struct((F.lit(1 << k).bitwiseOR(F.shiftright(symbol, 8 - k))).alias("node"), F.shiftright(symbol, 7 - k).bitwiseAND(1).alias("bit")) for k in range(8)])
+    rest = asked.select("key", F.explode(bits).alias("b")).select("key", "b.node", "b.bit")
+    found = None
+    for d, level in zip(range(DEPTH, -1, -1), model, strict=True):
+        # the deepest context known stands for those beyond it
+        met = written(rest.withColumn("context", F.shiftright("key", 8).bitwiseAND((1 << 8 * d) - 1)).join(level, ["context", "node"], "left").select("key", "node", "bit", "one"))
+        known = met.where("one is not null").select("key", "bit", "one")
+        found = known if found is None else found.unionByName(known)
+        rest = met.where("one is null").select("key", "node", "bit")
+    found = found.unionByName(rest.select("key", "bit", F.lit(0.5).alias("one")))
+    return found.groupBy("key").agg(F.sum(F.log10(F.when(F.col("bit") == 1, F.col("one")).otherwise(1 - F.col("one")))).alias("chance"))
 
 
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -184,62 +161,79 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found, place
 
 
-def text_scores(held: list[bytes], model: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+def _summed(held: list[bytes], keys: np.ndarray, chances: np.ndarray) -> np.ndarray:
+    """Scores of texts from the chances of their grams, keys sorted."""
     grams, bounds = byte_grams(held)
     found, place = _distinct(grams)
-    return np.add.reduceat(log10_chances(found, model)[place], bounds[:-1])
-
-
-def _gather(model_of):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = model_of.value
-        keys: list[np.ndarray] = []
-        docs: list[np.ndarray] = []
-        rows: list[tuple] = []
-        # told apart by their partition: what is in them may occur in other tasks too
-        group, size = TaskContext.get().partitionId() << 32, 0
-
-        def flush() -> Iterator[pd.DataFrame]:
-            nonlocal size, group
-            if not rows:
-                return
-            k, d = np.concatenate(keys), np.concatenate(docs)
-            order = np.argsort(k, kind="stable")
-            k, d = k[order], d[order]
-            pair = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (d[1:] != d[:-1])])
-            times = np.diff(np.r_[pair, len(k)])
-            packed = np.stack([d[pair], np.minimum(times, 65535)], axis=1).astype(np.uint16)
-            if (times > 65535).any():  # more pairs for what one can't hold
-                whole, rest = np.divmod(times, 65535)
-                many = np.repeat(np.arange(len(pair)), whole + (rest > 0))
-                last = np.r_[many[1:] != many[:-1], True]
-                packed = np.stack([d[pair][many], np.where(last & (rest[many] > 0), rest[many], 65535)], axis=1).astype(np.uint16)
-                pair = pair[many]
-            own = k[pair]
-            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-            data, ends = packed.tobytes(), np.r_[first[1:], len(own)]
-            yield pd.DataFrame({"group": group, "key": own[first].view(np.int64), "pairs": [data[4 * a : 4 * b] for a, b in zip(first.tolist(), ends.tolist(), strict=True)], "doc": np.int32(-1), "doc_id": None, "held_out": False, "n_tokens": np.int64(0), "score": 0.0})
-            told = pd.DataFrame(rows, columns=["doc_id", "held_out", "n_tokens", "score"])
-            yield told.assign(group=group, key=np.int64(0), pairs=None, doc=np.arange(len(rows), dtype=np.int32))[["group", "key", "pairs", "doc", "doc_id", "held_out", "n_tokens", "score"]]
-            for held in (keys, docs, rows):
-                held.clear()
-            group, size = group + 1, 0
-
-        for pdf in batches:
-            ids, out = pdf["doc_id"].tolist(), pdf["held_out"].tolist()
-            for at, held in chunks(pdf["text"], CHUNK):
-                if size + sum(map(len, held)) > GATHER or len(rows) + len(held) > MOST_DOCS:
-                    yield from flush()
-                score = text_scores(held, model)
-                k, d = _word_keys(held)
-                n = np.bincount(d, minlength=len(held)).tolist()
-                keys.append(k)
-                docs.append(d + len(rows))
-                rows += [(ids[row], out[row], n[j], score[j]) for j, row in enumerate(at)]
-                size += sum(map(len, held))
-        yield from flush()
+    return np.add.reduceat(chances[np.searchsorted(keys, found)][place], bounds[:-1])
+
+
+def text_scores(held: list[bytes], model: list[DataFrame]) -> np.ndarray:
+    asked = model[0].sparkSession.createDataFrame(pd.DataFrame({"key": np.unique(byte_grams(held)[0]).view(np.int64)}))
+    rows = log10_chances(asked, model).toPandas().sort_values("key")
+    return _summed(held, rows["key"].to_numpy().view(np.uint64), rows["chance"].to_numpy())
+
 
-    return run
+def _scored(texts: pd.DataFrame, chances: pd.DataFrame) -> pd.DataFrame:
+    """group, doc, score of a group's texts, from the chances of all its grams."""
+    order = np.argsort(chances["key"].to_numpy())
+    keys, values = chances["key"].to_numpy()[order].astype(np.uint64), chances["chance"].to_numpy()[order]
+    score = np.zeros(len(texts))
+    for rows, held in chunks(texts["text"], CHUNK):
+        score[rows] = _summed(held, keys, values)
+    return pd.DataFrame({"group": texts["group"], "doc": texts["doc"], "score": score})
+
+
+def _gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Groups of documents: the postings of their words (doc -1), their distinct byte grams (doc -2), the documents."""
+    keys: list[np.ndarray] = []
+    docs: list[np.ndarray] = []
+    grams: list[np.ndarray] = []
+    rows: list[tuple] = []
+    # told apart by their partition: what is in them may occur in other tasks too
+    group, size = TaskContext.get().partitionId() << 32, 0
+
+    def flush() -> Iterator[pd.DataFrame]:
+        nonlocal size, group
+        if not rows:
+            return
+        k, d = np.concatenate(keys), np.concatenate(docs)
+        order = np.argsort(k, kind="stable")
+        k, d = k[order], d[order]
+        pair = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (d[1:] != d[:-1])])
+        times = np.diff(np.r_[pair, len(k)])
+        packed = np.stack([d[pair], np.minimum(times, 65535)], axis=1).astype(np.uint16)
+        if (times > 65535).any():  # more pairs for what one can't hold
+            whole, rest = np.divmod(times, 65535)
+            many = np.repeat(np.arange(len(pair)), whole + (rest > 0))
+            last = np.r_[many[1:] != many[:-1], True]
+            packed = np.stack([d[pair][many], np.where(last & (rest[many] > 0), rest[many], 65535)], axis=1).astype(np.uint16)
+            pair = pair[many]
+        own = k[pair]
+        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        data, ends = packed.tobytes(), np.r_[first[1:], len(own)]
+        yield pd.DataFrame({"group": group, "key": own[first].view(np.int64), "pairs": [data[4 * a : 4 * b] for a, b in zip(first.tolist(), ends.tolist(), strict=True)], "doc": np.int32(-1), "doc_id": None, "held_out": False, "n_tokens": np.int64(0), "text": None})
+        own = np.unique(np.concatenate(grams)).view(np.int64)
+        yield pd.DataFrame({"group": group, "key": own, "pairs": None, "doc": np.int32(-2), "doc_id": None, "held_out": False, "n_tokens": np.int64(0), "text": None})
+        told = pd.DataFrame(rows, columns=["doc_id", "held_out", "n_tokens", "text"])
+        yield told.assign(group=group, key=np.int64(0), pairs=None, doc=np.arange(len(rows), dtype=np.int32))[["group", "key", "pairs", "doc", "doc_id", "held_out", "n_tokens", "text"]]
+        for held in (keys, docs, grams, rows):
+            held.clear()
+        group, size = group + 1, 0
+
+    for pdf in batches:
+        ids, out, texts = pdf["doc_id"].tolist(), pdf["held_out"].tolist(), pdf["text"].tolist()
+        for at, held in chunks(pdf["text"], CHUNK):
+            if size + sum(map(len, held)) > GATHER or len(rows) + len(held) > MOST_DOCS:
+                yield from flush()
+            grams.append(np.unique(byte_grams(held)[0]))
+            k, d = _word_keys(held)
+            n = np.bincount(d, minlength=len(held)).tolist()
+            keys.append(k)
+            docs.append(d + len(rows))
+            rows += [(ids[row], out[row], n[j], texts[row]) for j, row in enumerate(at)]
+            size += sum(map(len, held))
+    yield from flush()
 
 
 def _sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -278,10 +272,13 @@ def score(docs: DataFrame) -> DataFrame:
     known = counts.where("kind = 1").select("key", F.col("n").alias("c"))
     tokens, distinct = known.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     model = fit(counts.where("kind = 0").select("key", "n"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    fields = "group long, key long, pairs binary, doc int, doc_id long, held_out boolean, n_tokens long, score double"
-    found = written(map_rows(marked.select("doc_id", "text", F.coalesce("held_out", F.lit(False)).alias("held_out")), _gather(shared), fields))
-    posted = found.where("doc < 0").select("group", "key", "pairs").join(known, "key", "left").select("group", "pairs", F.coalesce("c", F.lit(0)).alias("c"))
+    fields = "group long, key long, pairs binary, doc int, doc_id long, held_out boolean, n_tokens long, text string"
+    found = written(map_rows(marked.select("doc_id", "text", F.coalesce("held_out", F.lit(False)).alias("held_out")), _gather, fields))
+    posted = found.where("doc = -1").select("group", "key", "pairs").join(known, "key", "left").select("group", "pairs", F.coalesce("c", F.lit(0)).alias("c"))
     sums = posted.mapInPandas(_sums, "group long, doc int, logs double, known long").groupBy("group", "doc").agg(F.sum("logs").alias("logs"), F.sum("known").alias("n_known"))
+    asked = found.where("doc = -2").select("group", "key")
+    chances = asked.withColumnRenamed("group", "own").join(written(log10_chances(asked.select("key").distinct(), model)), "key")
+    texts = found.where("doc >= 0")
+    scores = texts.select("group", "doc", "text").groupBy("group").cogroup(chances.groupBy("own")).applyInPandas(_scored, "group long, doc int, score double")
     scale = float(np.log10(tokens + SMOOTHING * (distinct + 1)))
-    return found.where("doc >= 0").join(sums, ["group", "doc"]).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), (F.col("logs") - F.col("n_tokens") * scale).alias("base_score"), "score")
+    return texts.drop("key", "pairs", "text").join(sums, ["group", "doc"]).join(scores, ["group", "doc"]).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), (F.col("logs") - F.col("n_tokens") * scale).alias("base_score"), "score")

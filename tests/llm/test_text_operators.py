@@ -485,6 +485,43 @@ def test_context_tree_equals_a_plain_tree(spark):
         assert score == pytest.approx(total, rel=1e-4)
 
 
+def test_context_tree_keeps_every_node_apart(spark):
+    rng = random.Random(3)
+    letters = "".join(map(chr, range(97, 123))) + " 0123456789"
+    data = ["".join(rng.choice(letters) for _ in range(6000)).encode(), b"never seen " * 3]
+    rows = spark.createDataFrame([(t.decode(),) for t in data], "text string")
+    grams = rows.mapInPandas(context_tree._count, "kind int, key long, n long").where("kind = 0").groupBy("key").agg(F.sum("n").alias("n"))
+    depth, counts = context_tree.DEPTH, collections.defaultdict(lambda: [0, 0])
+    steps = lambda full: ((full[i - depth : i], 1 << k | full[i] >> 8 - k, full[i] >> 7 - k & 1) for i in range(depth, len(full)) for k in range(8))
+    for t in data:
+        for context, node, bit in steps(b"\xff" * depth + t + b"\xff"):
+            for d in range(depth + 1):
+                counts[context[depth - d :], node][bit] += 1
+    from math import exp, lgamma, log
+
+    weight, below = {}, collections.defaultdict(float)
+    for (c, n), (a, b) in sorted(counts.items(), key=lambda x: -len(x[0][0])):
+        own = total = lgamma(a + 0.5) + lgamma(b + 0.5) - lgamma(a + b + 1) - log(np.pi)
+        weight[c, n] = 1.0
+        if len(c) < depth:
+            total = np.logaddexp(own, below[c, n]) - log(2)
+            weight[c, n] = exp(own - log(2) - total)
+        if c:
+            below[c[1:], n] += total
+    held = ["".join(rng.choice(letters) for _ in range(500)).encode(), b"\xc3\xa9 never seen", b""]
+    for text, score in zip(held, context_tree.text_scores(held, context_tree.fit(grams)), strict=True):
+        want = 0.0
+        for context, node, bit in steps(b"\xff" * depth + text + b"\xff"):
+            chance, known = 0.5, False
+            for d in range(depth, -1, -1):
+                c = context[depth - d :]
+                if (c, node) in counts:
+                    p = (counts[c, node][bit] + 0.5) / (sum(counts[c, node]) + 1)
+                    chance, known = (weight[c, node] * p + (1 - weight[c, node]) * chance if known else p), True
+            want += np.log10(chance)
+        assert score == pytest.approx(want, rel=1e-6)
+
+
 PAGE = """<html><head><title>t</title><style>p{}</style><script>var a="<p>no</p>"</script></head><body>
 <nav><a href=x>Home</a><a href=y>About</a></nav><div class="cookie-notice">We use cookies.</div>
 <article><h1>The   title</h1><p>First &amp; foremost,
