@@ -406,6 +406,21 @@ def test_nested_thresholds_only_add(spark):
     assert low < high
 
 
+def test_quality_rules_see_small_shares_of_repeats(spark):
+    rng = random.Random(9)
+    word = lambda: rng.choice(["alpha", "omega", "gamma", "delta"]) + str(rng.randrange(100, 999))
+    texts = []
+    for k in range(440):
+        w = [word() for _ in range(120)]
+        if k >= 400:  # 18 of 120 words repeat, less than any base rule takes
+            w[60:63] = w[70:73] = w[80:83] = w[90:93] = w[100:103] = w[110:113] = [word(), word(), word()]
+        texts.append(" ".join(w))
+    labels = spark.createDataFrame([(k, int(k < 400)) for k in range(440)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality_rules.judge(frame(spark, texts), labels).collect()}
+    assert all(got[k].n_repeat_words == 18 and not got[k].base_failed for k in range(400, 440))
+    assert not any(got[k].kept for k in range(400, 440)) and all(got[k].kept for k in range(400))
+
+
 def test_context_tree_base_and_coding(spark):
     texts = corpus(11, 80)
     ids = list(range(len(texts) - 1)) + [None]
