@@ -466,8 +466,8 @@ def weight_total_preserve(spark, sf_dir):
 
 @query()
 def apg_calibrate(spark, sf_dir):
-    """unit, w after five iterations; iterative, so without SQL."""
-    return K.calibrate(_matrix(spark, sf_dir), _weights(spark, sf_dir), _targets(spark, sf_dir), K.Settings(max_iter=5, power_rounds=3))[0]
+    """unit, w where the loss has converged; iterative, so without SQL."""
+    return K.calibrate(_matrix(spark, sf_dir), _weights(spark, sf_dir), _targets(spark, sf_dir), K.Settings())[0]
 
 
 @query(f"WITH {_CELLS} SELECT region, bracket, count(*) AS n FROM cells GROUP BY ROLLUP (region, bracket)")

@@ -68,3 +68,15 @@ def test_pruning_and_pushdown_reach_the_scan(spark):
     assert "GreaterThan(l_quantity,45.0)" in plan
     schema = plan.split("ReadSchema: ")[1].split("\n")[0]
     assert "l_tax" not in schema and "l_extendedprice" in schema
+
+
+@needs_data
+def test_registered_calibration_converges(spark, monkeypatch):
+    from popforge.operators import calibrate
+    from popforge.plans import queries
+
+    runs, settings, whole = [], calibrate.Settings(), calibrate.calibrate
+    monkeypatch.setattr(calibrate, "calibrate", lambda *a: runs.append(whole(*a)) or runs[-1])
+    assert queries.apg_calibrate(spark, DATA).columns == ["unit", "w"]
+    losses = runs[0][1]
+    assert losses[-2] - losses[-1] <= settings.tol * losses[-2] and len(losses) <= settings.max_iter
