@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from popforge.llm import decontamination, jaccard_join, language_id, mixing, pii
 from popforge.llm.shared import crc_mod, table, written
 
+#: Near duplicates: words of a shingle, and the least percentage of common shingles.
+SHINGLE, PERCENT = 5, 80
 #: A prediction with less than this share of the evidence is no language.
 LEAST_LANGUAGE_SCORE = 0.5
 
@@ -31,7 +33,7 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest doc_id, of each group of near duplicates."""
-    return jaccard_join.representatives(docs)
+    return jaccard_join.representatives(docs, SHINGLE, PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
