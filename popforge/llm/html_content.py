@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popforge.llm.shared import map_rows
+from popforge.llm.shared import map_rows, mapped
 
 SAMPLE_PAGES = 2000
 #: Smoothness of neighbours in page order and of blocks under one parent, against costs in nats.
@@ -199,7 +199,7 @@ def _labelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> np.ndarray:
     """Classifier weights from the blocks of a bounded sample of pages(page_id, html)."""
     chosen = pages.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample_pages)
-    rows = pages.select("page_id", "html").join(F.broadcast(chosen), "page_id", "left_semi").mapInPandas(_labelled, "label double, row array<double>")
+    rows = mapped(pages.select("page_id", "html").join(F.broadcast(chosen), "page_id", "left_semi"), _labelled, "label double, row array<double>")
     got = rows.toPandas()
     if got["label"].nunique() < 2:
         return PRIOR

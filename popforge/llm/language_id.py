@@ -3,11 +3,11 @@
 Each language has a codeword of bits. For each bit a naive-Bayes classifier over hashed byte n-grams
 (pairs and triples, A-Z folded) separates the languages whose bit is 1 from the others. A document's
 evidence for a bit is its mean log-likelihood ratio a gram. Decoding is loss-weighted: each bit's logistic
-loss counts by how well that bit did on the documents it was learned from, and the language with the
+loss counts by how clearly the counted languages lie on their sides of that bit, and the language with the
 smallest loss wins. A document whose two best codewords are close is flagged ambiguous.
 
-n-gram counts cover all training documents: they are summed by Spark into languages x BUCKETS numbers,
-which is what the driver sees, however large the corpus.
+n-gram counts cover all training documents and any number of labels: Spark sums them by label and bucket, then
+by bit and bucket. The driver gets the labels and BUCKETS numbers a bit, and bits grow with the labels' logarithm.
 """
 
 from __future__ import annotations
@@ -20,13 +20,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popforge.llm.shared import crc_mod, map_rows
+from popforge.llm.shared import crc_mod, map_rows, mapped, written
 from popforge.llm.textarrays import chunks, joined
 
 #: n-gram hash buckets; the model is this many numbers a code bit.
 BUCKETS = 1 << 14
-#: More labels than this are refused: the counts of all of them go to the driver.
-MAX_LANGUAGES = 512
+#: Labels whose counts a task holds at a time, and text bytes it works on at a time.
+HELD_LANGUAGES, CHUNK = 64, 1 << 18
 SHARPNESS = 40.0
 AMBIGUOUS = 0.6
 UNKNOWN = "und"
@@ -63,49 +63,84 @@ def codewords(n: int) -> np.ndarray:
 
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     totals: dict[str, np.ndarray] = {}
+
+    def flush() -> Iterator[pd.DataFrame]:
+        for lang, total in totals.items():
+            at = np.flatnonzero(total)
+            yield pd.DataFrame({"lang": lang, "bucket": at, "n": total[at]})
+        totals.clear()
+
     for pdf in batches:
         for lang, part in pdf.groupby("lang", sort=False):
+            if lang not in totals and len(totals) >= HELD_LANGUAGES:
+                yield from flush()
             total = totals.setdefault(lang, np.zeros(BUCKETS, np.int64))
-            for _, held in chunks(part["text"]):
-                total += np.bincount(gram_buckets(joined(held)[0]).ravel(), minlength=BUCKETS) if sum(map(len, held)) > 2 else 0
-    for lang, total in totals.items():
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"lang": lang, "bucket": at, "n": total[at]})
+            for _, held in chunks(part["text"], CHUNK):
+                if sum(map(len, held)) > 2:
+                    total += np.bincount(gram_buckets(joined(held)[0]).ravel(), minlength=BUCKETS)
+    yield from flush()
 
 
 def bit_evidence(weights: np.ndarray, texts: list[bytes]) -> np.ndarray:
-    """Mean evidence of each document for each bit; zeros for documents of no gram."""
+    """Mean evidence of each document for each bit; zeros for documents of no gram. Works through CHUNK bytes at a
+    time, so a long text needs no more memory than a chunk's grams."""
     buf, starts = joined(texts)
     if len(buf) < 3:
         return np.zeros((len(texts), weights.shape[1]))
-    scored = weights[gram_buckets(np.concatenate([buf, buf[:2]]))].sum(1)
-    sums = np.add.reduceat(scored, starts[:-1], axis=0)
+    buf = np.concatenate([buf, buf[:2]])
+    sums = np.zeros((len(texts), weights.shape[1]))
+    for at in range(0, starts[-1], CHUNK):
+        grams = gram_buckets(buf[at : at + CHUNK + 2])
+        first, last = np.searchsorted(starts, [at, at + len(grams) - 1], side="right") - 1
+        bounds = np.maximum(starts[first : last + 1] - at, 0)
+        for bit in range(weights.shape[1]):
+            own = weights[:, bit]
+            sums[first : last + 1, bit] += np.add.reduceat(own[grams[:, 0]] + own[grams[:, 1]], bounds, dtype=np.float64)
     return sums / np.maximum(2 * np.diff(starts), 1)[:, None]
 
 
 def fit(docs: DataFrame) -> dict:
-    """Learn from docs(text, lang); rows with a null in either are ignored. No rows: a model that answers `und`."""
+    """Learn from docs(text, lang); rows with a null in either are ignored. No rows: a model that answers `und`.
+
+    Counts stay in Spark; the driver gets the labels' names, and for each bit BUCKETS sums of either side.
+    """
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
-    grams = known.mapInPandas(_counts, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    langs = sorted(r.lang for r in grams.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    counts = np.zeros((len(langs), BUCKETS))
-    for r in grams.toPandas().itertuples(index=False):
-        counts[langs.index(r.lang), r.bucket] = r.n
+    grams = written(mapped(known, _counts, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
+    totals = written(grams.groupBy("lang").agg((F.sum("n") + 0.5 * BUCKETS).alias("total")))
+    langs = sorted(r.lang for r in totals.select("lang").collect())
     code = codewords(len(langs))
-    share = (counts + 0.5) / (counts + 0.5).sum(1, keepdims=True)
-    weights = np.zeros((BUCKETS, code.shape[1]), np.float32)
-    if len(langs) > 1:
-        for bit in range(code.shape[1]):
-            yes, no = share[code[:, bit] > 0].mean(0), share[code[:, bit] < 0].mean(0)
-            weights[:, bit] = np.log(yes / no)
-        # how sharply each bit tells its own languages apart, by the learned distributions themselves
-        margin = (share @ weights) * code
-        bit_weight = np.maximum(margin.min(0), 1e-6)
-    else:
-        bit_weight = np.ones(code.shape[1])
-    return {"langs": langs, "code": code, "weights": weights, "bit_weight": bit_weight / bit_weight.sum()}
+    bits = code.shape[1]
+    if len(langs) < 2:
+        return {"langs": langs, "code": code, "weights": np.zeros((BUCKETS, bits), np.float32), "bit_weight": np.full(bits, 1 / bits)}
+    words = totals.sparkSession.createDataFrame([(lang, word.tolist()) for lang, word in zip(langs, code, strict=True)], "lang string, word array<double>")
+    told = totals.join(words, "lang")
+    shares = grams.join(told, "lang").select("lang", "bucket", (F.col("n") / F.col("total")).alias("share"), "word")
+    side = lambda sign: F.sum(F.when(F.col("word") == sign, F.col("share")).otherwise(0.0))
+    sums = shares.select("bucket", "share", F.posexplode("word").alias("bit", "word")).groupBy("bucket", "bit").agg(side(1.0).alias("yes"), side(-1.0).alias("no")).toPandas()
+    # every bucket of every language has half a gram more than were counted
+    spare = pd.DataFrame(told.select(F.posexplode("word").alias("bit", "word"), (0.5 / F.col("total")).alias("share")).groupBy("bit").agg(side(1.0).alias("yes"), side(-1.0).alias("no")).orderBy("bit").toPandas())
+    yes, no = (np.tile(spare[c].to_numpy(), (BUCKETS, 1)) for c in ("yes", "no"))
+    yes[sums["bucket"], sums["bit"]] += sums["yes"]
+    no[sums["bucket"], sums["bit"]] += sums["no"]
+    weights = np.log(yes / (code > 0).sum(0) / (no / (code < 0).sum(0))).astype(np.float32)
+    return {"langs": langs, "code": code, "weights": weights, "bit_weight": _bit_weights(grams, told, weights)}
+
+
+def _bit_weights(grams: DataFrame, told: DataFrame, weights: np.ndarray) -> np.ndarray:
+    """How clearly each bit tells its languages apart: the least mean evidence, over the languages as they were
+    counted, for the side that the codeword puts them on."""
+    shared, flat = grams.sparkSession.sparkContext.broadcast(weights), weights.sum(0, dtype=np.float64)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for lang, part in pdf.groupby("lang", sort=False):
+                yield pd.DataFrame({"lang": lang, "bit": range(weights.shape[1]), "sum": part["n"].to_numpy(float) @ shared.value[part["bucket"].to_numpy()]})
+
+    sums = mapped(grams, run, "lang string, bit int, sum double").groupBy("lang", "bit").agg(F.sum("sum").alias("sum"))
+    margin = (F.col("sum") + 0.5 * F.element_at(F.lit(flat.tolist()), F.col("bit") + 1)) / F.col("total") * F.element_at("word", F.col("bit") + 1)
+    least = sums.join(told, "lang").groupBy("bit").agg(F.min(margin).alias("least")).orderBy("bit").toPandas()["least"].to_numpy()
+    least = np.maximum(least, 1e-6)
+    return least / least.sum()
 
 
 def predict(docs: DataFrame, model: dict, carry: list[str] | None = None) -> DataFrame:
@@ -120,7 +155,7 @@ def predict(docs: DataFrame, model: dict, carry: list[str] | None = None) -> Dat
         for pdf in batches:
             texts = pdf["text"].tolist()
             best, score, doubt = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
-            for rows, held in chunks(texts):
+            for rows, held in chunks(texts, CHUNK):
                 if not langs:
                     continue
                 evidence = bit_evidence(weights.value, held)
@@ -138,7 +173,7 @@ def predict(docs: DataFrame, model: dict, carry: list[str] | None = None) -> Dat
     fields = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in columns)
     asked = docs.select([f"`{c}`" for c in dict.fromkeys([*columns, "text"])])
     fields += "lang_pred string, score double, ambiguous boolean"
-    return map_rows(asked, run, fields) if "doc_id" in columns else asked.mapInPandas(run, fields)
+    return map_rows(asked, run, fields) if "doc_id" in columns else mapped(asked, run, fields)
 
 
 def identify(docs: DataFrame) -> DataFrame:

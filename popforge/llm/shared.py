@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from popforge.sources.storage import fits, shared_dir, written
 
-__all__ = ["crc_mod", "fits", "map_rows", "shared_dir", "table", "written"]
+__all__ = ["crc_mod", "fits", "map_rows", "mapped", "shared_dir", "table", "written"]
 
 #: Stands for a null id inside pandas, where a null would turn a batch's ids into floats.
 _NO_ID = -(1 << 63)
+#: Bytes of rows that a Python worker gets at a time; a larger row comes alone.
+BATCH_BYTES = 4 << 20
+_BATCH_OPTION = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,8 +25,17 @@ def crc_mod(column: str, mod: int):
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(mod))
 
 
+def mapped(df: DataFrame, run, fields: str) -> DataFrame:
+    """mapInPandas whose batches are bounded by bytes too, unless the session sets that bound itself: a batch of long
+    texts would else take a worker's memory."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_OPTION, None) is None:
+        conf.set(_BATCH_OPTION, BATCH_BYTES)
+    return df.mapInPandas(run, fields)
+
+
 def map_rows(df: DataFrame, run, fields: str, key: str = "doc_id") -> DataFrame:
-    """mapInPandas with a long id column that may be null: ids come back exact, nulls as nulls."""
+    """mapped() with a long id column that may be null: ids come back exact, nulls as nulls."""
     filled = df.withColumn(key, F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)))
-    out = filled.mapInPandas(run, fields)
+    out = mapped(filled, run, fields)
     return out.withColumn(key, F.nullif(F.col(key), F.lit(_NO_ID))) if key in out.columns else out
