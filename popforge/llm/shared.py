@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from popforge.sources.storage import fits, shared_dir, written
+from popforge.sources.storage import discard, fits, shared_dir, written
 
-__all__ = ["crc_mod", "fits", "map_rows", "mapped", "shared_dir", "table", "written"]
+__all__ = ["NO_ID", "crc_mod", "discard", "fits", "hash_sample", "map_rows", "mapped", "shared_dir", "table", "thinned", "written"]
 
 #: Stands for a null id inside pandas, where a null would turn a batch's ids into floats.
-_NO_ID = -(1 << 63)
+NO_ID = -(1 << 63)
 #: Bytes of rows that a Python worker gets at a time; a larger row comes alone.
 BATCH_BYTES = 4 << 20
 _BATCH_OPTION = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -36,6 +36,19 @@ def mapped(df: DataFrame, run, fields: str) -> DataFrame:
 
 def map_rows(df: DataFrame, run, fields: str, key: str = "doc_id") -> DataFrame:
     """mapped() with a long id column that may be null: ids come back exact, nulls as nulls."""
-    filled = df.withColumn(key, F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)))
+    filled = df.withColumn(key, F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)))
     out = mapped(filled, run, fields)
-    return out.withColumn(key, F.nullif(F.col(key), F.lit(_NO_ID))) if key in out.columns else out
+    return out.withColumn(key, F.nullif(F.col(key), F.lit(NO_ID))) if key in out.columns else out
+
+
+def thinned(df: DataFrame, size: int, *columns: str) -> DataFrame:
+    """The rows of df with the smallest hashes of the columns: size of them and some more, or all where there are fewer. A
+    filter, so no partition sends `size` rows anywhere. Rows that are equal in the columns stay or go together."""
+    n = df.count()
+    rate = (size + 8 * size**0.5 + 20) / max(n, 1)
+    return df if rate >= 1 else df.where(F.xxhash64(*columns) < F.lit(int(rate * 2.0**64) - (1 << 63)))
+
+
+def hash_sample(df: DataFrame, size: int, key: str) -> DataFrame:
+    """About `size` rows of df, one for each of the keys with the smallest hashes; partial aggregation takes the repeats."""
+    return thinned(df, size, key).dropDuplicates([key])
