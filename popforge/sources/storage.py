@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_OWN = "popforge.shared.dir"
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where that is unset, as in tests, a temporary folder."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("popforge.shared.dir", None)
+    """spark.checkpoint.dir. Where it is unset, a local session, as in tests, gets a temporary folder; a cluster gets an
+    error, since a machine's own folder hides one executor's files from the others."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN, None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="popforge-")
-        spark.conf.set("popforge.shared.dir", path)
+        spark.conf.set(_OWN, path)
     return path
 
 
@@ -22,7 +28,18 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/popforge-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes the files of written() frames that nothing will read any more. Other frames are left alone."""
+    for df in frames:
+        if path := getattr(df, "_written_to", None):
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
