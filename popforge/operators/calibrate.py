@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from popforge.functions.rng import uniform
-from popforge.sources.storage import written
+from popforge.sources.storage import discard, written
 
 
 def loss_matrix(units: DataFrame, key: str, cells: dict[str, tuple[Column, Column]]) -> DataFrame:
@@ -47,14 +48,41 @@ def msre(scored: DataFrame) -> DataFrame:
     return scored.agg(F.avg(F.pow("residual", F.lit(2))).alias("msre"))
 
 
+def losses_by_split(scored: DataFrame, split: str) -> DataFrame:
+    """split, n_targets, loss: sum of squared relative errors of scored(split, residual) by split; null residuals count 0."""
+    return scored.groupBy(split).agg(F.count(F.lit(1)).alias("n_targets"), F.sum(F.col("residual") * F.col("residual")).alias("loss"))
+
+
+def select_targets(targets: DataFrame, country: str, model_year: int, profile: str, scope: str = "all", state: str | None = None) -> DataFrame:
+    """Targets of targets(target_id, country, model_year, profile, geo_level, state_fips, ...) that a run asks for: scope
+    "all", "national" or "state", the latter of one state where it is given."""
+    if scope not in ("all", "national", "state"):
+        raise ValueError(f"unknown scope {scope!r}")
+    found = targets.where((F.col("country") == country) & (F.col("model_year") == model_year) & (F.col("profile") == profile))
+    if scope != "all":
+        found = found.where(F.col("geo_level") == scope)
+    return found.where(F.col("state_fips") == state) if state is not None else found
+
+
+def target_counts(cells: DataFrame, levels: Sequence[str]) -> DataFrame:
+    """levels, n: rows of each cell and of each total over the later levels."""
+    return cells.rollup(*levels).agg(F.count(F.lit(1)).alias("n"))
+
+
 def holdout(name: str | Column, fraction: float, seed: int) -> Column:
     """Whether a target is held out, by a seeded draw on its name."""
     return uniform(seed, name) < fraction
 
 
 def matched_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """A uniform sample of n rows: those with the smallest hashes of their key."""
-    return df.withColumn("_u", uniform(seed, key)).orderBy("_u", key).limit(n).drop("_u")
+    """A uniform sample of n rows: those with the smallest hashes of their key. Rows beyond a threshold that surely leaves
+    enough are filtered first, so that partitions don't send n rows each."""
+    drawn = df.withColumn("_u", uniform(seed, key))
+    total = df.count()
+    threshold = (n + 8 * n**0.5 + 20) / max(total, 1)
+    if threshold < 1 and drawn.where(F.col("_u") < threshold).count() >= n:
+        drawn = drawn.where(F.col("_u") < threshold)
+    return drawn.orderBy("_u", key).limit(n).drop("_u")
 
 
 def preserve_total(weights: DataFrame, before: DataFrame) -> DataFrame:
@@ -64,27 +92,38 @@ def preserve_total(weights: DataFrame, before: DataFrame) -> DataFrame:
     return weights.crossJoin(F.broadcast(totals)).select("unit", (F.col("w") * scale).alias("w"))
 
 
-def simplex_projection(weights: DataFrame, total: float, tol: float = 1e-10, rounds: int = 80) -> DataFrame:
-    """The nearest non-negative weights with a given total: w - t clipped at 0, t found by bisection on sums.
+def simplex_projection(weights: DataFrame, total: float, bins: int = 1024, rounds: int = 8) -> DataFrame:
+    """The nearest non-negative weights with a given total: w - t clipped at 0.
 
-    Each round is one aggregate, so nothing is sorted or gathered.
+    t is found by histograms: counts and sums of weights by bin tell which bin it lies in, and only that bin is cut again,
+    until it holds no weight that could matter. Nothing is sorted or gathered, and few passes are made.
     """
     n, low, high = weights.agg(F.count(F.lit(1)), F.min("w"), F.max("w")).first()
     if not n:
         return weights
-    low, high = low - total / n, high
+    low, high = low - total / n, high + max(abs(high), 1.0) * 1e-12
+    more, above = 0, 0.0  # weights of high or more: their number and sum
     for _ in range(rounds):
-        mid = (low + high) / 2
-        now = weights.agg(F.sum(F.greatest(F.col("w") - mid, F.lit(0.0)))).first()[0]
-        low, high = (mid, high) if now > total else (low, mid)
-        if abs(now - total) <= tol * max(1.0, abs(total)):
+        width = (high - low) / bins
+        place = F.least(F.floor((F.col("w") - low) / width), F.lit(bins - 1)).cast("int")
+        found = weights.where((F.col("w") >= low) & (F.col("w") < high)).groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("s"))
+        cells = {r.bin: (r.n, r.s) for r in found.collect()}
+        for k in range(bins - 1, -1, -1):
+            n_bin, s_bin = cells.get(k, (0, 0.0))
+            edge = low + k * width
+            if k == 0 or above + s_bin - (more + n_bin) * edge >= total:
+                break
+            more, above = more + n_bin, above + s_bin
+        low, high = edge, edge + width
+        if not n_bin or width <= 1e-15 * max(abs(low), abs(high)):
             break
-    return weights.select("unit", F.greatest(F.col("w") - F.lit(mid), F.lit(0.0)).alias("w"))
+    t = (above - total) / more if more else low
+    return weights.select("unit", F.greatest(F.col("w") - F.lit(float(t)), F.lit(0.0)).alias("w"))
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Calibration parameters. Gates and L0 penalties are not supported and refused."""
+    """Calibration parameters. Gates, L0 penalties, rescoring by a model and skipped targets are not supported and refused."""
 
     max_iter: int = 200
     tol: float = 1e-8
@@ -94,10 +133,13 @@ class Settings:
     use_gates: bool = False
     projection: str = "rescale"
     power_rounds: int = 6
+    exact_rescore: bool = False
+    skip_tax_expenditure_targets: bool = False
 
     def __post_init__(self):
-        if self.lambda_l0 or self.use_gates:
-            raise ValueError("L0 penalties and gates are not supported")
+        asked = [name for name in ("lambda_l0", "use_gates", "exact_rescore", "skip_tax_expenditure_targets") if getattr(self, name)]
+        if asked:
+            raise ValueError(f"not supported: {', '.join(asked)}")
         if self.projection not in ("rescale", "simplex"):
             raise ValueError(f"unknown projection {self.projection!r}")
 
@@ -148,6 +190,7 @@ def calibrate(matrix: DataFrame, weights: DataFrame, targets: DataFrame, setting
 
     The matrix stays sparse; each iteration is two grouped joins and writes the unit weights to the shared folder.
     """
+    matrix, targets, weights = written(matrix), written(targets), written(weights)  # read in every iteration
     total = weights.agg(F.sum("w")).first()[0] or 0.0
     bound = curvature(matrix, targets, settings.power_rounds) + settings.lambda_l2
 
@@ -172,11 +215,14 @@ def calibrate(matrix: DataFrame, weights: DataFrame, targets: DataFrame, setting
                 size /= 2
                 if size < 1e-12 / bound:
                     break
+            discard(new, *([ahead] if ahead is not now else []))
             ahead, momentum = now, 1.0
             continue
         following = (1 + (1 + 4 * momentum**2) ** 0.5) / 2
         pace = (momentum - 1) / following
+        old = [x for x in (ahead, now) if x is not weights]
         ahead = written(new.join(now.withColumnRenamed("w", "old"), "unit").select("unit", F.greatest(F.col("w") + F.lit(pace) * (F.col("w") - F.col("old")), F.lit(0.0)).alias("w")))
+        discard(*old)
         now, momentum = new, following
         losses.append(loss)
         if losses[-2] - loss <= settings.tol * max(losses[-2], 1e-300):

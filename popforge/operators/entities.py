@@ -21,11 +21,12 @@ def orphans(child: DataFrame, link: str, parent: DataFrame, key: str) -> DataFra
 def household_counts(persons: DataFrame, household: str, age: str | Column, limits: Mapping[str, int], size: str = "household_size") -> DataFrame:
     """Each person with its household's size and members under each age limit.
 
-    Counts are aggregated before they are joined back, so a household of any size never sits in one task.
+    Counts are aggregated before they are joined back, so a household of any size never sits in one task. Persons without
+    a household (null) stay, and are counted as one household, as a window would.
     """
     age = F.col(age) if isinstance(age, str) else age
-    counts = persons.groupBy(household).agg(F.count(F.lit(1)).alias(size), *[F.count_if(age < limit).alias(name) for name, limit in limits.items()])
-    return persons.join(counts, household)
+    counts = persons.groupBy(F.col(household).alias("_household")).agg(F.count(F.lit(1)).alias(size), *[F.count_if(age < limit).alias(name) for name, limit in limits.items()])
+    return persons.join(counts, F.col(household).eqNullSafe(F.col("_household"))).drop("_household")
 
 
 def allocate(members: DataFrame, group: str, amount: str, weight: str | Column, order: Sequence[str], name: str, method: str = "share") -> DataFrame:

@@ -66,6 +66,12 @@ def status(candidate: DataFrame, contract: DataFrame) -> DataFrame:
     return both.select("column", verdict.alias("status"))
 
 
+def failing(candidate: DataFrame, contract: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Required columns of contract(column, list) that candidate(column) lacks, and forbidden ones that it has."""
+    listed = lambda name: contract.where(F.col("list") == name).select("column")
+    return listed("required").join(candidate, "column", "left_anti"), listed("forbidden").join(candidate, "column", "left_semi")
+
+
 def sanity_profile(df: DataFrame, columns: Sequence[str], scale: int = 100) -> DataFrame:
     """column, abs_sum, finite, nonzero_count, passed. Absolute sums are taken over integers (value * scale, rounded
     down), so that they don't depend on the order of rows."""

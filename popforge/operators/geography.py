@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from popforge.functions.rng import uniform
 from popforge.functions.scalars import fixed_width
+from popforge.operators.ranges import draw, shares
 
 #: Lengths of the codes, and of the block prefixes that give tract, county and state.
 WIDTHS = {"block": 15, "tract": 11, "county": 5, "state": 2, "congressional_district": 4}
@@ -20,23 +21,21 @@ def intervals(units: DataFrame, area: str, unit: str, size: str | Column) -> Dat
     The last interval of an area ends above 1, so that rounding leaves no gap. Units of no size have no interval.
     """
     size = F.col(size) if isinstance(size, str) else size
-    sized = units.select(area, unit, size.alias("_size")).where("_size > 0")
-    whole, upto = Window.partitionBy(area), Window.partitionBy(area).orderBy(unit)
-    total, running = F.sum("_size").over(whole), F.sum("_size").over(upto)
-    last = F.row_number().over(Window.partitionBy(area).orderBy(F.desc(unit))) == 1
-    return sized.select(area, unit, ((running - F.col("_size")) / total).alias("low"), F.when(last, F.lit(2.0)).otherwise(running / total).alias("high"))
+    return shares(units.select(area, unit, size.alias("_size")), [area], unit, "_size")
 
 
 def assign(records: DataFrame, key: str, area: str, shares: DataFrame, unit: str, seed: int) -> DataFrame:
-    """Records with a unit drawn within their area, by size and a seeded uniform of their key.
+    """Records with a unit drawn within their area, by size and a seeded uniform of their key: a join on area and the part
+    of it that the uniform falls in. Areas without units give null."""
+    return draw(records.withColumn("_u", uniform(seed, key)), "_u", [area], shares, unit).drop("_u")
 
-    An area's shares travel as one array (an area has at most some hundred thousand blocks) and are searched in the
-    row, so a populous area makes no pairs. Areas without units give null.
-    """
-    packed = shares.groupBy(area).agg(F.sort_array(F.collect_list(F.struct("low", "high", unit))).alias("_units"))
-    drawn = records.withColumn("_u", uniform(seed, key)).join(packed, area, "left")
-    hit = F.filter("_units", lambda x: (F.col("_u") >= x["low"]) & (F.col("_u") < x["high"]))
-    return drawn.withColumn(unit, F.get(hit, 0)[unit]).drop("_units", "_u")
+
+def with_district(records: DataFrame, block: str, crosswalk: DataFrame, code: str = "congressional_district_geoid") -> DataFrame:
+    """Records with the district of their block, from crosswalk(block_geoid, district), as a fixed-width code; null where
+    the crosswalk lacks the block. A block in several districts takes the smallest."""
+    side = crosswalk.groupBy(fixed_width("block_geoid", WIDTHS["block"]).alias("_block")).agg(F.min("district").alias("_district"))
+    district = fixed_width("_district", WIDTHS["congressional_district"])
+    return records.join(side, fixed_width(block, WIDTHS["block"]) == F.col("_block"), "left").withColumn(code, district).drop("_block", "_district")
 
 
 def encode(block: str | Column, district: str | Column | None = None) -> dict[str, Column]:

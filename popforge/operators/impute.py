@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from popforge.functions.rng import uniform
-from popforge.sources.storage import fits
+from popforge.functions.scalars import clipped, zero_where
+from popforge.operators.ranges import RANGE, draw, in_ranges, running_sums, shares
+from popforge.sources.storage import written
 
 
 @dataclass(frozen=True)
@@ -23,6 +25,12 @@ class Step:
     onto: str
     variables: tuple[str, ...]
     synthesize: bool
+    condition_on: tuple[str, ...] = ()
+    order: str = "spine_first"
+
+    def __post_init__(self):
+        if self.order != "spine_first":
+            raise ValueError(f"unknown order {self.order!r}")
 
 
 def spine_first(variables: Sequence[str], available: Sequence[str]) -> list[str]:
@@ -55,26 +63,33 @@ def nearest_donor(recipients: DataFrame, donors: DataFrame, key: str, donor: str
     where the cell has none.
 
     Donors and recipients of a cell are laid on one line and each recipient looks at the donors next to it on either
-    side, so the work is a sort, never cell x cell pairs.
+    side, so the work is a sort, never cell x cell pairs. A cell of any size is cut into ranges of values.
     """
-    line = recipients.select(cell, F.col(recipient_value).alias("_at"), F.col(key).alias("_key"), F.lit(None).cast("long").alias("_donor")).unionByName(
-        donors.groupBy(cell, F.col(donor_value).alias("_at")).agg(F.min(donor).cast("long").alias("_donor")).select(cell, "_at", F.lit(None).cast("long").alias("_key"), "_donor")
-    )
-    here = F.when(F.col("_donor").isNotNull(), F.struct(F.col("_at").alias("v"), F.col("_donor").alias("d")))
     # donors sort before recipients of the same value
-    order = Window.partitionBy(cell).orderBy("_at", F.col("_donor").isNull())
-    below = F.last(here, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    above = F.first(here, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
-    seen = line.withColumn("_below", below).withColumn("_above", above).where("_key is not null")
+    line = recipients.select(cell, F.col(recipient_value).alias("_at"), F.col(key).alias("_key"), F.lit(None).cast("long").alias("_donor"), F.lit(1).alias("_asks")).unionByName(
+        donors.groupBy(cell, F.col(donor_value).alias("_at")).agg(F.min(donor).cast("long").alias("_donor")).select(cell, "_at", F.lit(None).cast("long").alias("_key"), "_donor", F.lit(0).alias("_asks"))
+    )
+    line = in_ranges(line, [cell, "_at", "_asks"]).withColumn("_here", F.when(F.col("_asks") == 0, F.struct(F.col("_at").alias("v"), F.col("_donor").alias("d"))))
+    # the outermost donors of a range stand in for those of the ranges beside it
+    ends = line.groupBy(cell, RANGE).agg(F.max("_here").alias("_last"), F.min("_here").alias("_first"))
+    ranges, nearest = Window.partitionBy(cell).orderBy(RANGE), Window.partitionBy(cell).orderBy(F.desc(RANGE))
+    carried = [F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias(name) for c, w, name in (("_last", ranges, "_low"), ("_first", nearest, "_high"))]
+    ends = ends.select(F.col(cell).alias("_cell"), F.col(RANGE).alias("_r"), *carried)
+    # running values only: a frame that starts at the row would be read anew for each row
+    local = Window.partitionBy(cell, RANGE)
+    up, down = local.orderBy("_at", "_asks"), local.orderBy(F.desc("_at"), "_asks")
+    running = lambda w: F.last("_here", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    seen = line.withColumn("_below", running(up)).withColumn("_above", running(down)).where("_asks = 1")
+    seen = seen.join(ends, (F.col(RANGE) == F.col("_r")) & F.col(cell).eqNullSafe(F.col("_cell")))
+    seen = seen.withColumn("_below", F.coalesce("_below", "_low")).withColumn("_above", F.coalesce("_above", "_high"))
     sides = F.array_compact(F.array(*[F.when(F.col(s).isNotNull(), F.struct(F.abs(F.col("_at") - F.col(f"{s}.v")).alias("gap"), F.col(f"{s}.d").alias("d"))) for s in ("_below", "_above")]))
     return seen.select(F.col("_key").alias(key), F.get(F.sort_array(sides), 0)["d"].alias(donor))
 
 
 def weighted_quantile(df: DataFrame, group: str, value: str, weight: str, q: float, key: str, name: str) -> DataFrame:
     """group, name: the first value, by value and key, at which the running weight reaches q of the group's total."""
-    upto = F.sum(weight).over(Window.partitionBy(group).orderBy(value, key))
-    total = F.sum(weight).over(Window.partitionBy(group))
-    reached = df.withColumn("_upto", upto).withColumn("_total", total).where(F.col("_upto") >= F.lit(q) * F.col("_total"))
+    summed = running_sums(df.select(group, value, key, F.col(weight).alias("_w")), [group], [value, key], "_w", "_upto", "_total")
+    reached = summed.where(F.col("_upto") >= F.lit(q) * F.col("_total"))
     return reached.groupBy(group).agg(F.min(F.struct(value, key))[value].alias(name))
 
 
@@ -100,19 +115,67 @@ class ForestSampler:
         self.model = PipelineModel([assembler, forest.fit(assembler.transform(pinned))])
         weight = F.col(self.weight).cast("double") if self.weight else F.lit(1.0)
         leaves = self.model.transform(donors).select(F.col(self.key).alias("_donor"), weight.alias("_w"), F.posexplode(vector_to_array("_leaves")).alias("_tree", "_leaf"))
-        whole = Window.partitionBy("_tree", "_leaf")
-        total, upto = F.sum("_w").over(whole), F.sum("_w").over(whole.orderBy("_donor"))
-        self.leaves = leaves.withColumn("_low", (upto - F.col("_w")) / total).withColumn("_high", F.when(F.row_number().over(whole.orderBy(F.desc("_donor"))) == 1, 2.0).otherwise(upto / total))
+        self.leaves = written(shares(leaves, ["_tree", "_leaf"], "_donor", "_w"))
         return self
 
     def draw(self, recipients: DataFrame, key: str, donor: str = "donor_id") -> DataFrame:
-        """key, donor for each recipient; leaves travel as arrays of their donors' shares, searched in the row."""
+        """key, donor for each recipient, by a join on tree, leaf and the part of the leaf that the uniform falls in."""
         placed = self.model.transform(recipients).withColumn("_tree", F.floor(uniform(f"{self.seed}:tree", key) * self.trees).cast("int"))
         placed = placed.select(F.col(key), "_tree", F.get(vector_to_array("_leaves"), F.col("_tree")).alias("_leaf"), uniform(f"{self.seed}:donor", key).alias("_u"))
-        packed = self.leaves.groupBy("_tree", "_leaf").agg(F.sort_array(F.collect_list(F.struct("_low", "_high", "_donor"))).alias("_donors"))
-        side = F.broadcast(packed) if fits(packed, self.trees * 2**self.depth) and fits(self.leaves, 200_000) else packed
-        hit = F.filter("_donors", lambda x: (F.col("_u") >= x["_low"]) & (F.col("_u") < x["_high"]))
-        return placed.join(side, ["_tree", "_leaf"], "left").select(key, F.get(hit, 0)["_donor"].alias(donor))
+        return draw(placed, "_u", ["_tree", "_leaf"], self.leaves, "_donor").select(key, F.col("_donor").alias(donor))
+
+
+@dataclass(frozen=True)
+class Donors:
+    """Donor rows with their key and weight columns. Weights of None count 1."""
+
+    rows: DataFrame
+    key: str
+    weight: str | None = None
+
+
+def forest_draws(donors: Donors, recipients: DataFrame, key: str, variables: Sequence[str], predictors: Sequence[str], trees: int = 20, depth: int = 6, least: int = 5, seed: int = 20260529) -> DataFrame:
+    """key and a draw of each variable, in the order given: each has a forest of its own, fitted on the predictors and on
+    the variables drawn before it, so that draws of one recipient go together. Values are donors' own, booleans too.
+
+    Missing predictors count 0. Each forest's draws are written, so a long list of variables makes no long plan.
+    """
+    given, asked, have = donors.rows, recipients.select(key, *predictors), list(predictors)
+    weight = [donors.weight] if donors.weight else []
+    number = lambda df, names: [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x_{c}") for c in names]
+    for k, v in enumerate(variables):
+        known = given.where(F.col(v).isNotNull())
+        rows = known.select(donors.key, *weight, F.col(v).cast("double").alias("_y"), *number(given, have))
+        sampler = ForestSampler([f"_x_{c}" for c in have], "_y", donors.key, donors.weight, trees, depth, least, seed + k).fit(rows)
+        drawn = sampler.draw(asked.select(key, *number(asked, have)), key, "_donor")
+        side = known.select(F.col(donors.key).alias("_donor"), F.col(v))
+        asked = written(asked.join(drawn.join(side, "_donor", "left").select(key, v), key, "left"))
+        have.append(v)
+    return asked.select(key, *variables)
+
+
+def forest_steps(spine: DataFrame, steps: Sequence[Step], donors: Mapping[str, Donors] | Donors, key: str, groups: Mapping[str, Sequence[str]], **forest) -> DataFrame:
+    """Steps in list order, each drawn by forests from its donors (by half where a mapping is given). condition_on names
+    groups of predictors; variables that the spine has come before those it lacks."""
+    for step in steps:
+        own = donors[step.onto] if isinstance(donors, Mapping) else donors
+        predictors = list(dict.fromkeys(c for group in step.condition_on for c in groups[group]))
+        ordered = spine_first(step.variables, spine.columns)
+        here = spine.where(F.col("half") == step.onto)
+        spine = apply_step(spine, forest_draws(own, here, key, ordered, predictors, **forest), key, step)
+    return spine
+
+
+def weeks_unemployed(drawn: str | Column, compensation: str | Column) -> Column:
+    """Weeks as drawn, within 0 and 52, and 0 without unemployment compensation (null counts as none)."""
+    pay = F.col(compensation) if isinstance(compensation, str) else compensation
+    return zero_where(clipped(drawn, 0.0, 52.0), F.coalesce(pay, F.lit(0.0)) == 0)
+
+
+def draw_weeks_unemployed(donors: Donors, recipients: DataFrame, key: str, weeks: str, compensation: str, predictors: Sequence[str] = (), **forest) -> DataFrame:
+    """key, weeks: drawn conditional on compensation and the predictors, then held to the rule of weeks_unemployed()."""
+    drawn = forest_draws(donors, recipients, key, [weeks], [compensation, *predictors], **forest)
+    return drawn.join(recipients.select(key, compensation), key).select(key, weeks_unemployed(weeks, compensation).alias(weeks))
 
 
 def signed_components(df: DataFrame, signs: Mapping[str, int]) -> Column:

@@ -13,7 +13,8 @@ from popforge.functions import scalars as S
 
 @dataclass(frozen=True)
 class Block:
-    """What to do with a raw frame. Stages run in the order of the fields; each may use columns of those before it."""
+    """What to do with a raw frame, in three stages: columns made of raw ones; copies, the sex code and sums of these;
+    annualised and integer columns of both."""
 
     direct: Mapping[str, str] = field(default_factory=dict)  # canonical -> raw
     boolean: Mapping[str, str] = field(default_factory=dict)
@@ -67,3 +68,13 @@ def with_defaults(df: DataFrame, defaults: Mapping[str, object], mark: str = "is
     """Nulls filled from declared defaults, each with a column that says where it was."""
     filled = {name: F.coalesce(F.col(name), F.lit(value)) for name, value in defaults.items()}
     return df.select(*[filled.get(c, F.col(c)).alias(c) for c in df.columns], *[F.col(name).isNull().alias(f"{mark}{name}") for name in defaults])
+
+
+def coverage_flags(df: DataFrame, sources: Mapping[str, Sequence[str]], insured: str, uninsured: str, multiple: str | None = None) -> DataFrame:
+    """df with a flag for each kind of coverage (new name -> columns of which any counts), whether there is any, none, and
+    more than one. Nulls are no coverage."""
+    held = {name: F.exists(F.array(*[F.coalesce(F.col(c).cast("boolean"), F.lit(False)) for c in columns]), lambda x: x) for name, columns in sources.items()}
+    found = df.withColumns(held)
+    n = S.horizontal_sum([F.col(name).cast("int") for name in sources])
+    extra = {insured: n > 0, uninsured: n == 0} | ({multiple: n > 1} if multiple else {})
+    return found.withColumns(extra)
