@@ -15,8 +15,10 @@ from popforge.functions.rng import uniform
 from popforge.operators import calibrate as K
 from popforge.operators import entities, gates, geography, impute, normalize, spine
 from popforge.operators import takeup as T
+from popforge.plans.construct import CONTENT
+from popforge.plans.construct import construct as construct_all
 from popforge.plans.proxy import SEED, SOURCES, donors, households, persons, table
-from popforge.sources import registry
+from popforge.sources import manifests, registry
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -193,11 +195,8 @@ def passthrough_flags(spark, sf_dir):
 
 @query("SELECT user_id, a OR b OR c AS insured, NOT (a OR b OR c) AS uninsured, CAST(a AS INTEGER) + CAST(b AS INTEGER) + CAST(c AS INTEGER) > 1 AS multiple FROM (SELECT user_id, bool_or(event_type = 'click') AS a, bool_or(event_type = 'view') AS b, bool_or(event_type = 'purchase') AS c FROM events GROUP BY user_id)")
 def coverage_recode(spark, sf_dir):
-    flags = passthrough_flags(spark, sf_dir)
-    names = ["has_click", "has_view", "has_purchase"]
-    anyone = F.exists(F.array(*names), lambda x: x)
-    n = S.horizontal_sum([F.col(c).cast("int") for c in names])
-    return flags.select("user_id", anyone.alias("insured"), (~anyone).alias("uninsured"), (n > 1).alias("multiple"))
+    kinds = {"private": ["has_click"], "public": ["has_view"], "military": ["has_purchase"]}
+    return normalize.coverage_flags(passthrough_flags(spark, sf_dir), kinds, "insured", "uninsured", "multiple").select("user_id", "insured", "uninsured", "multiple")
 
 
 @query("SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'N' THEN 0.0 ELSE least(greatest(l_quantity * 2 - 10, 0), 52) END AS weeks FROM lineitem")
@@ -255,10 +254,14 @@ def seeded_split(spark, sf_dir):
     return spine.split_spine(households(spark, sf_dir), "household_id", SEED).select("household_id", "half")
 
 
-@query("SELECT 'income' AS variable, 0::BIGINT AS n UNION ALL SELECT 'status', 0::BIGINT")
+@query(f"WITH {_P}, cloned AS (SELECT income, status, 'keep' AS half FROM p UNION ALL SELECT NULL, NULL, 'synthetic' FROM p), split AS (SELECT income, CASE WHEN status = 'F' THEN status END AS status, {_u('person_id')} AS u FROM p) SELECT 'cloned' AS spine, 'income' AS variable, count(income) AS n FROM cloned WHERE half = 'synthetic' UNION ALL SELECT 'cloned', 'status', count(status) FROM cloned WHERE half = 'synthetic' UNION ALL SELECT 'split', 'income', count(income) FROM split WHERE u >= 0.5 UNION ALL SELECT 'split', 'status', count(status) FROM split WHERE u >= 0.5")
 def collision_guard(spark, sf_dir):
-    halves = spine.clone_spine(persons(spark, sf_dir), ["age"], {"person_id": 100_000_000, "household_id": 10_000_000})
-    return spine.collisions(halves, ["income", "status"])
+    """A cloned spine passes; one that was split without stripping does not."""
+    people = persons(spark, sf_dir)
+    cloned = spine.clone_spine(people, ["age"], {"person_id": 100_000_000, "household_id": 10_000_000})
+    split = spine.split_spine(people.withColumn("status", F.when(F.col("status") == "F", F.col("status"))), "person_id", SEED)
+    found = [spine.collisions(df, ["income", "status"]).select(F.lit(name).alias("spine"), "variable", "n") for name, df in (("cloned", cloned), ("split", split))]
+    return found[0].unionByName(found[1])
 
 
 # imputation
@@ -334,6 +337,66 @@ def qrf_sample(spark, sf_dir):
     return sampler.draw(asked, "household_id")
 
 
+def _demographics(spark, sf_dir):
+    """Halves of households and their tax donors, with nation and size as demographics."""
+    homes = households(spark, sf_dir).select("household_id", "nation", (F.col("household_id") % 3).alias("size"), F.when(F.col("balance") > 0, F.col("balance")).alias("balance"))
+    given = donors(spark, sf_dir).select("donor_id", "nation", (F.col("donor_id") % 3).alias("size"), F.col("donor_balance").alias("balance"), (F.col("donor_balance") < 0).alias("would_be_qualified"), "donor_weight")
+    return spine.clone_spine(homes, ["nation", "size"], {"household_id": 10_000_000}), impute.Donors(given, "donor_id", "donor_weight")
+
+
+@query()
+def impute_forest_steps(spark, sf_dir):
+    """household_id, half, balance, would_be_qualified: three steps drawn by chained forests; no SQL form."""
+    halves, given = _demographics(spark, sf_dir)
+    variables = ("balance", "would_be_qualified")
+    steps = [impute.Step("synthetic", variables, True, ("demographics",)), impute.Step("keep", variables, False, ("demographics",)), impute.Step("keep", ("would_be_qualified",), True, ("demographics",))]
+    found = impute.forest_steps(halves, steps, given, "household_id", {"demographics": ["nation", "size"]}, trees=10, depth=5, least=2)
+    return found.select("household_id", "half", "balance", "would_be_qualified")
+
+
+@query()
+def weeks_unemployed(spark, sf_dir):
+    """household_id, compensation, weeks: drawn conditional on compensation, clipped and masked; no SQL form."""
+    given = donors(spark, sf_dir).select("donor_id", F.when(F.col("donor_id") % 2 == 0, F.abs("donor_balance")).otherwise(F.lit(0.0)).alias("compensation"), (F.col("donor_balance") / 100).alias("weeks"), "donor_weight")
+    asked = households(spark, sf_dir).select("household_id", F.greatest(F.col("balance"), F.lit(0.0)).alias("compensation"))
+    drawn = impute.draw_weeks_unemployed(impute.Donors(given, "donor_id", "donor_weight"), asked, "household_id", "weeks", "compensation", trees=10, depth=5, least=2)
+    return asked.join(drawn, "household_id")
+
+
+def _blocks():
+    return manifests.load_blocks((CONTENT / "blocks.json").read_text())
+
+
+@query(f"WITH {_HH}, {_P}, t AS (SELECT *, CASE segment WHEN 'BUILDING' THEN 1 WHEN 'MACHINERY' THEN 1 WHEN 'AUTOMOBILE' THEN 2 WHEN 'HOUSEHOLD' THEN 0 END AS tenure FROM p LEFT JOIN hh USING (household_id)) SELECT person_id, household_id, weight, CAST(age AS DOUBLE) AS age, CAST(tenure AS DOUBLE) AS tenure, CAST(count(*) FILTER (age < 18) OVER w AS DOUBLE) AS count_under_18, CAST(count(*) OVER w AS DOUBLE) AS household_size, income + 0.0::DOUBLE AS income FROM t WINDOW w AS (PARTITION BY household_id)")
+def source_block_frame(spark, sf_dir):
+    """Predictors and targets of a block read by its manifest."""
+    block = _blocks()["homes"]
+    return block.model_frame(block.build(persons(spark, sf_dir), households(spark, sf_dir)))
+
+
+@query(f"WITH {_D} SELECT row_number() OVER (ORDER BY donor_id) AS household_id, nation, 0 AS tenure, donor_weight AS weight, donor_balance AS net_worth, donor_balance AS assets FROM d")
+def source_block_entities(spark, sf_dir):
+    """Households and persons of a block of single persons, joined again."""
+    block = _blocks()["wealth"]
+    homes, people = block.entities(block.build(donors(spark, sf_dir), order=["donor_id"]))
+    return homes.join(people, "household_id").drop("person_id")
+
+
+@query()
+def source_block_impute(spark, sf_dir):
+    """household_id, net_worth: drawn directly by a forest from a block's survey; no SQL form."""
+    block = _blocks()["wealth"]
+    given = block.model_frame(block.build(donors(spark, sf_dir), order=["donor_id"]))
+    asked = households(spark, sf_dir).select("household_id", *block.predictors)
+    return impute.forest_draws(impute.Donors(given, "person_id", "weight"), asked, "household_id", block.targets, block.predictors, trees=10, depth=5, least=2)
+
+
+@query()
+def construct(spark, sf_dir):
+    """The whole plan, from specification to gated export; no SQL form."""
+    return construct_all(spark, sf_dir)
+
+
 # geography and take-up
 
 
@@ -352,6 +415,13 @@ def _codes(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), *[c.alias(name) for name, c in codes.items()])
 
 
+@query("WITH x AS (SELECT lpad(CAST(s_suppkey * 7919 AS VARCHAR), 15, '0') AS block, lpad(CAST(s_nationkey AS VARCHAR), 4, '0') AS district FROM supplier) SELECT c_custkey AS household_id, district AS congressional_district_geoid FROM customer LEFT JOIN x ON block = lpad(CAST((c_custkey % 80) * 7919 AS VARCHAR), 15, '0')")
+def geo_district(spark, sf_dir):
+    crosswalk = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 7919).alias("block_geoid"), F.col("s_nationkey").alias("district"))
+    homes = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("household_id"), ((F.col("c_custkey") % 80) * 7919).alias("block"))
+    return geography.with_district(homes, "block", crosswalk).drop("block")
+
+
 @query(f"WITH {_GEO} SELECT id, block_geoid, substr(block_geoid, 1, 11) AS tract_geoid, substr(block_geoid, 1, 5) AS county_fips, substr(block_geoid, 1, 2) AS state_fips, congressional_district_geoid FROM g")
 def geoid_encode(spark, sf_dir):
     return _codes(spark, sf_dir)
@@ -411,7 +481,9 @@ def _scored(spark, sf_dir):
 
 @query(f"WITH {_SCORED} SELECT target_id, value FROM s WHERE bucket = 'region'")
 def target_select(spark, sf_dir):
-    return _targets(spark, sf_dir).where("bucket = 'region'").select("target_id", "value")
+    level = F.when(F.col("bucket") == "region", "state").otherwise(F.lit("national"))
+    given = _targets(spark, sf_dir).select("target_id", "value", level.alias("geo_level"), F.lit(None).cast("string").alias("state_fips"), F.lit("zz").alias("country"), F.lit(2024).alias("model_year"), F.explode(F.array(F.lit("proxy"), F.lit("other"))).alias("profile"))
+    return K.select_targets(given, "zz", 2024, "proxy", "state").select("target_id", "value")
 
 
 @query(f"WITH {_CELLS} SELECT target_id, unit, coef FROM m")
@@ -432,7 +504,7 @@ def huber_bucketed(spark, sf_dir):
 @query(f"WITH {_SCORED} SELECT {_u('target_id')} < 0.2 AS is_holdout, count(*) AS n_targets, CAST(sum(residual * residual) AS DECIMAL(20, 12))::DOUBLE AS loss FROM s GROUP BY 1")
 def loss_by_split(spark, sf_dir):
     scored = _scored(spark, sf_dir).withColumn("is_holdout", K.holdout("target_id", 0.2, SEED))
-    return scored.groupBy("is_holdout").agg(F.count(F.lit(1)).alias("n_targets"), F.sum(F.col("residual") * F.col("residual")).cast("decimal(20,12)").cast("double").alias("loss"))
+    return K.losses_by_split(scored, "is_holdout").withColumn("loss", F.col("loss").cast("decimal(20,12)").cast("double"))
 
 
 @query(f"WITH {_SCORED} SELECT CAST(avg(pow(residual, 2)) AS DECIMAL(20, 12))::DOUBLE AS msre FROM s")
@@ -472,15 +544,21 @@ def apg_calibrate(spark, sf_dir):
 
 @query(f"WITH {_CELLS} SELECT region, bracket, count(*) AS n FROM cells GROUP BY ROLLUP (region, bracket)")
 def target_counts_rollup(spark, sf_dir):
-    return _cells(spark, sf_dir).rollup("region", "bracket").agg(F.count(F.lit(1)).alias("n"))
+    return K.target_counts(_cells(spark, sf_dir), ["region", "bracket"])
 
 
 # gates
 
 
-@query("SELECT 'c_acctbal' AS \"column\", CAST(sum(floor(abs(c_acctbal) * 100)) AS DOUBLE) / 100 AS abs_sum, true AS finite, count(*) FILTER (c_acctbal <> 0) AS nonzero_count, true AS passed FROM customer UNION ALL SELECT 'zero', 0, true, 0, false")
+_PROFILE = "SELECT '{c}' AS \"column\", CAST(coalesce(sum(floor(abs({c}) * 100)) FILTER (isfinite({c})), 0) AS DOUBLE) / 100 AS abs_sum, coalesce(bool_and(coalesce(isfinite({c}), false)), false) AS finite, count(*) FILTER ({c} <> 0) AS nonzero_count, coalesce(bool_and(coalesce(isfinite({c}), false)), false) AND count(*) FILTER ({c} <> 0) > 0 AS passed FROM t"
+
+
+@query("WITH t AS (SELECT c_acctbal, c_acctbal * 0 AS zero, CASE WHEN c_custkey % 100 = 0 THEN 'inf'::DOUBLE ELSE c_acctbal END AS endless, CASE WHEN c_custkey % 100 <> 0 THEN c_acctbal END AS gappy FROM customer) " + " UNION ALL ".join(_PROFILE.format(c=c) for c in ("c_acctbal", "zero", "endless", "gappy")))
 def sanity_profile(spark, sf_dir):
-    return gates.sanity_profile(table(spark, sf_dir, "customer").select("c_acctbal", F.lit(0.0).alias("zero")), ["c_acctbal", "zero"])
+    """One column passes; all zeros, an infinity and nulls fail."""
+    balance, some = F.col("c_acctbal"), F.col("c_custkey") % 100 == 0
+    rows = table(spark, sf_dir, "customer").select(balance, (balance * 0).alias("zero"), F.when(some, float("inf")).otherwise(balance).alias("endless"), F.when(~some, balance).alias("gappy"))
+    return gates.sanity_profile(rows, ["c_acctbal", "zero", "endless", "gappy"])
 
 
 @query("SELECT sha256(string_agg(n_name, chr(10) ORDER BY n_name)) AS digest FROM (SELECT DISTINCT n_name FROM nation)")
@@ -499,13 +577,13 @@ def _contract(spark, sf_dir):
 @query(f"WITH {_CONTRACT} SELECT \"column\" FROM k WHERE list = 'required' AND \"column\" NOT IN (SELECT \"column\" FROM have)")
 def contract_missing(spark, sf_dir):
     contract, have = _contract(spark, sf_dir)
-    return contract.where("list = 'required'").join(have, "column", "left_anti").select("column")
+    return gates.failing(have, contract)[0]
 
 
 @query(f"WITH {_CONTRACT} SELECT \"column\" FROM k WHERE list = 'forbidden' AND \"column\" IN (SELECT \"column\" FROM have)")
 def contract_forbidden(spark, sf_dir):
     contract, have = _contract(spark, sf_dir)
-    return contract.where("list = 'forbidden'").join(have, "column", "left_semi").select("column")
+    return gates.failing(have, contract)[1]
 
 
 @query(f"WITH {_CONTRACT} SELECT coalesce(k.\"column\", have.\"column\") AS \"column\", CASE WHEN list = 'required' AND have.\"column\" IS NULL THEN 'missing' WHEN list = 'required' THEN 'ok' WHEN list = 'forbidden' AND have.\"column\" IS NOT NULL THEN 'forbidden' WHEN list = 'formula_owned' AND have.\"column\" IS NOT NULL THEN 'warn' WHEN list = 'optional' THEN 'ignored' WHEN list IS NULL THEN 'unknown' ELSE 'absent' END AS status FROM k FULL JOIN have ON k.\"column\" = have.\"column\"")

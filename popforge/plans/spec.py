@@ -7,8 +7,9 @@ asking for one raises, so nothing is defaulted in silence.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass, field
+from pathlib import Path
 
 import yaml
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,7 +55,8 @@ class Spec:
     sources: Mapping[str, tuple[str, str]]
     base: str
     seed: int
-    halves: tuple[tuple[str, str], ...]
+    #: name, column groups kept
+    halves: tuple[tuple[str, tuple[str, ...]], ...]
     imputation: tuple[ImputationStep, ...]
     variables: Mapping[str, Variable]
     targets: Mapping[str, object]
@@ -67,11 +69,31 @@ def _step(raw: Mapping) -> ImputationStep:
 
 
 def _variable(name: str, raw: Mapping) -> Variable:
-    operation = dict(raw["operation"])
-    provenance = {view: tuple((c.get("path", ""), str(c.get("lines", "")), c.get("symbol", ""), c.get("summary", "")) for c in calls) for view, calls in raw.get("provenance", {}).items()}
+    """A variable whose operation is its own or that of its one view that has one, and whose sources are listed by view,
+    under `provenance` or as the `code` of views beside it."""
+    views = {view: v for view, v in raw.items() if isinstance(v, Mapping) and "code" in v}
+    operations = [raw["operation"]] if "operation" in raw else [v["operation"] for v in views.values() if "operation" in v]
+    if len(operations) != 1:
+        raise SpecError(f"{name}: {len(operations)} operations")
+    operation = dict(operations[0])
+    listed = {**raw.get("provenance", {}), **{view: v["code"] for view, v in views.items()}}
+    provenance = {view: tuple((c.get("path", ""), str(c.get("lines", "")), c.get("symbol", ""), c.get("summary", "")) for c in calls) for view, calls in listed.items()}
     return Variable(name, raw["entity"], raw.get("role", ""), operation.pop("kind"), operation, bool(raw.get("temporary", False)), provenance)
 
 
+def _half(raw: Mapping) -> tuple[str, tuple[str, ...]]:
+    """Name of a half and the column groups it keeps: ("all",), or those it is stripped to."""
+    if "strip_to" in raw:
+        return raw["name"], tuple(raw["strip_to"])
+    return raw["name"], (raw["keep"],)
+
+
+def _targets(raw: Mapping) -> Mapping[str, object]:
+    """Target settings, which may lie under the name of the target store."""
+    nested = [v for v in raw.values() if isinstance(v, Mapping)]
+    return nested[0] if len(nested) == 1 and len(raw) == 1 else raw
+
+
 def load(text: str) -> Spec:
     """A validated spec from YAML text; unknown sources, entities, kinds and steps are errors."""
     raw = yaml.safe_load(text)
@@ -81,11 +103,11 @@ def load(text: str) -> Spec:
             int(raw["meta"]["model_year"]),
             {alias: (s["dataset"], s["role"]) for alias, s in raw["sources"].items()},
             raw["spine"]["base"],
-            int(raw["spine"]["seed"]),
-            tuple((h["name"], h["keep"]) for h in raw["spine"]["halves"]),
+            int(raw["spine"]["seed"] if "seed" in raw["spine"] else raw["spine"]["support"]["seed"]),
+            tuple(_half(h) for h in raw["spine"]["halves"]),
             tuple(_step(s) for s in raw.get("imputation", ())),
             {name: _variable(name, v) for name, v in raw["variables"].items()},
-            raw.get("targets", {}),
+            _targets(raw.get("targets", {})),
             raw.get("calibrate", {}).get("loss", ""),
             raw.get("calibrate", {}).get("method", ""),
         )
@@ -119,6 +141,17 @@ def lint(spec: Spec) -> dict[str, int]:
     return {"temporary": sum(v.temporary for v in spec.variables.values()), "open_decision": kinds["open_decision"]}
 
 
+def content_is_data(path: str) -> list[str]:
+    """Files under a content folder that are not declarations (YAML, JSON, Markdown), by relative path."""
+    root = Path(path)
+    return sorted(str(f.relative_to(root)) for f in root.rglob("*") if f.is_file() and f.suffix not in (".yaml", ".yml", ".json", ".md"))
+
+
+def untraced(spec: Spec, views: Collection[str]) -> list[str]:
+    """Variables that lack a source in one of the views, which must all have one for a spec to be traceable."""
+    return sorted(v.name for v in spec.variables.values() if any(not v.provenance.get(view) for view in views))
+
+
 def lineage(spark: SparkSession, spec: Spec) -> DataFrame:
     """variable, view, path, lines, symbol, summary: every provenance entry."""
     rows = [(v.name, view, *call) for v in spec.variables.values() for view, calls in v.provenance.items() for call in calls]
