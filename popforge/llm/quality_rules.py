@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popforge.llm.shared import map_rows, written
+from popforge.llm.shared import map_rows, thinned, written
 from popforge.llm.textarrays import encode
 
 SAMPLE_DOCS, TREES, SUBSAMPLES, SEED = 20_000, 100, (256, 128, 64, 32), 11
@@ -124,7 +124,7 @@ def measured(docs: DataFrame) -> DataFrame:
 
 def fit(stats: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[IsolationForest]:
     """Forests from measured(), one for each of SUBSAMPLES; none where no document has a word."""
-    rows = stats.where("n_words > 0").orderBy(F.xxhash64("doc_id"), "doc_id", *STATS).limit(sample_docs).toPandas()
+    rows = thinned(stats.where("n_words > 0"), sample_docs, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *STATS).limit(sample_docs).toPandas()
     return [IsolationForest(feature_matrix(rows), subsample=n) for n in SUBSAMPLES] if len(rows) else []
 
 
