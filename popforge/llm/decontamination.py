@@ -1,4 +1,4 @@
-"""Benchmark decontamination on a positional inverted index. DataFrame functions only.
+"""Benchmark decontamination on a positional inverted index, with exact phrase and proximity matches. DataFrame functions only.
 
 Index: term -> (document, position) postings. A test phrase is matched by intersecting the postings of its
 terms, each shifted back by the term's offset in the phrase, starting from the rarest terms of the corpus.
@@ -121,18 +121,27 @@ def uncontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> D
 
 
 def proximity(docs: DataFrame, phrase: list[str], slop: int) -> DataFrame:
-    """Places (doc_id, start, end) where every distinct term of the phrase occurs within len(terms) + slop words.
+    """doc_id, start, end: places where every distinct term of the phrase occurs within len(terms) + slop words; end is the
+    first place by which all have been met. Terms are matched as `words` makes them.
 
-    Postings of the rarest term are intersected with each other term's postings in the same document within
-    reach on either side; start and end are the outermost of the nearest ones. Terms are matched as `words` makes them.
+    Postings of all terms are counted over the corpus; only those within reach of a posting of the rarest one, on either
+    side, are looked at further. Rows of one id are kept apart by their text; a term that no document has gives no rows.
     """
     distinct = sorted(set(phrase))
+    nothing = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).alias("start"), F.lit(0).alias("end")).limit(0)
     if not distinct:
-        return docs.select("doc_id", F.lit(0).alias("start"), F.lit(0).alias("end")).limit(0)
+        return nothing
     span = len(distinct) + slop
-    listed = docs.select("doc_id", F.posexplode(words("text")).alias("pos", "term")).where(F.col("term").isin(distinct))
-    near = Window.partitionBy("doc_id").orderBy("pos").rangeBetween(0, span - 1)
-    found = listed.withColumn("n", F.size(F.collect_set("term").over(near))).withColumn("last", F.collect_list(F.struct("pos", "term")).over(near))
-    # the first place by which every term has been met
+    row = F.struct("doc_id", F.xxhash64("text").alias("h")).alias("row")
+    listed = written(docs.select(row, F.posexplode(words("text")).alias("pos", "term")).where(F.col("term").isin(distinct)))
+    counts = {r["term"]: r["count"] for r in listed.groupBy("term").count().collect()}
+    if len(counts) < len(distinct):
+        return nothing
+    rarest = F.when(F.col("term") == min(distinct, key=lambda t: (counts[t], t)), F.col("pos"))
+    reached = lambda order: F.last(rarest, ignorenulls=True).over(Window.partitionBy("row").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    beside = listed.withColumns({"before": reached(F.col("pos")), "after": reached(F.desc("pos"))})
+    beside = beside.where((F.col("pos") - F.col("before") < span) | (F.col("after") - F.col("pos") < span))
+    near = Window.partitionBy("row").orderBy("pos").rangeBetween(0, span - 1)
+    found = beside.withColumn("n", F.size(F.collect_set("term").over(near))).withColumn("last", F.collect_list(F.struct("pos", "term")).over(near))
     ends = F.array_max(F.transform(F.array(*[F.lit(t) for t in distinct]), lambda t: F.array_min(F.transform(F.filter("last", lambda p: p["term"] == t), lambda p: p["pos"]))))
-    return found.where(F.col("n") == len(distinct)).select("doc_id", F.col("pos").alias("start"), ends.alias("end"))
+    return found.where(F.col("n") == len(distinct)).select(F.col("row.doc_id").cast("long").alias("doc_id"), F.col("pos").alias("start"), ends.alias("end"))
