@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popforge.llm.shared import written
+from popforge.llm.shared import discard, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -24,5 +24,6 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         below = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(below, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(below.select("a", F.col("m").alias("b")))
-        stars = written(small.distinct())
+        before, stars = stars, written(small.distinct())
+        discard(before)
     return stars.select(F.col("a").alias("node"), F.col("b").alias("root"))

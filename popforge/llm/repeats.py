@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from popforge.llm.shared import fits, map_rows, mapped, written
+from popforge.llm.shared import discard, fits, map_rows, mapped, written
 from popforge.llm.textarrays import BASE, INVERSE, chunks, mix, powers
 
 #: Classes of one group that are sorted together in a task (some 7 KB each meanwhile), classes dealt to a task, and
@@ -257,7 +257,7 @@ def _asked(classes: DataFrame) -> DataFrame:
     each = classes.select("seed", "context", "check", F.explode(blocks).alias("b")).select("seed", "context", "check", "b.k", "b.core")
     met = each.groupBy("seed", "k", "core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     asking = written(each.join(met, ["seed", "k", "core"]).select("seed", "context", "check").distinct())
-    sizes = asking.groupBy("seed").agg(F.count(F.lit(1)).alias("size"))
+    sizes = written(asking.groupBy("seed").agg(F.count(F.lit(1)).alias("size")))
     return written(classes.drop("seed", "n", *(f"core_{k}" for k in range(BLOCKS))).join(asking.join(sizes, "seed"), ["context", "check"]))
 
 
@@ -270,8 +270,9 @@ def _compared(contexts: DataFrame, kind: Kind) -> list[DataFrame]:
         n, n_hot = pending.select(F.count(F.lit(1)), F.count_if(hot)).first()
         if n > n_hot:
             dealt = pending.where(~hot).withColumn("deal", F.pmod(F.xxhash64("group"), F.lit(1 + (n - n_hot) // TASK_CLASSES)))
-            out.append(dealt.groupBy("deal").applyInPandas(_within(kind), "context long, check long, runs array<long>"))
+            out.append(written(dealt.groupBy("deal").applyInPandas(_within(kind), "context long, check long, runs array<long>")))
         if not n_hot:
+            discard(pending)
             return out
         width = -(-width // WAYS)
         split = written(mapped(pending.where(hot), _split(kind, width), "group long, whole long, context long, check long, first_doc long, low int, high int, tokens binary"))
@@ -282,9 +283,11 @@ def _compared(contexts: DataFrame, kind: Kind) -> list[DataFrame]:
         told = split.join(alike, ["group", "whole"])
         hit = (F.col("least") < F.col("first_doc")) if kind.earliest else (F.col("n") > 1)
         packed = (F.lit(kind.before) - F.col("high")).cast("long") * _PACK + (F.col("high") - F.col("low") + kind.window).cast("long")
-        out.append(told.where(hit).select("context", "check", F.array(packed).alias("runs")))
+        out.append(written(told.where(hit).select("context", "check", F.array(packed).alias("runs"))))
         stays = (F.col("least") == F.col("first_doc")) if kind.earliest else (F.col("context") == F.col("chosen"))
-        pending = written(told.where(stays & (F.col("kinds") > 1)).select("group", "context", "check", "first_doc", "size", "low", "high", "tokens"))
+        narrower = written(told.where(stays & (F.col("kinds") > 1)).select("group", "context", "check", "first_doc", "size", "low", "high", "tokens"))
+        discard(pending, split, alike)
+        pending = narrower
 
 
 def _merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -312,6 +315,7 @@ def covered(docs: DataFrame, kind: Kind) -> DataFrame:
     seeds = written(every.groupBy("seed").agg(F.sum(F.lit(1) + F.coalesce(F.size("rest"), F.lit(0))).alias("n")).where("n > 1").select("seed"))
     few = fits(seeds, 5 * BROADCAST_ROWS)
     found = written(every.join(F.broadcast(seeds) if few else seeds, "seed", "left_semi"))
+    discard(every, seeds)
     classes = _classes(found, kind)
     further = F.coalesce("rest", F.array().cast("array<int>"))
     places = F.concat(F.array("pos"), further)
@@ -329,8 +333,7 @@ def covered(docs: DataFrame, kind: Kind) -> DataFrame:
         texts = texts.join(F.broadcast(side), "row", "left_semi") if fits(side, BROADCAST_ROWS) else texts
         texts = texts.join(wanted, "row").dropDuplicates(["row"]).select("text", "wanted")
         contexts = mapped(texts, _contexts(kind), "group long, context long, check long, first_doc long, size long, low int, high int, tokens binary")
-        runs = [written(r) for r in _compared(contexts, kind)]
-        runs = reduce(DataFrame.unionByName, runs)
+        runs = reduce(DataFrame.unionByName, _compared(contexts, kind))
         # the first document's places of a class fare as the compared one; the others are whole repeats
         own = found.join(asked.select("context", "check", "first_doc"), ["context", "check"])
         own = own.where(F.col("doc_id") == F.col("first_doc")) if kind.earliest else own
