@@ -4,11 +4,13 @@ Two documents link when 100 * common >= percent * union. The result is the linke
 until each component holds together, and pairs already connected are not compared again.
 
 1. Equal shingle sets collapse into one class (digest and size).
-2. Classes that can link are brought together. With sizes n and m, linked sets differ in at most
+2. Of n shingles a linked set holds few that no other set holds. Shingles are counted in packed buckets, those that
+   recur in a group of sets once a group, and classes that hold too many alone are done: most of a corpus is.
+3. Classes that can link are brought together. With sizes n and m, linked sets differ in at most
    (n + m) * (100 - p) / (100 + p) shingles. The hash range is cut into more parts than that, so linked sets
    agree in a whole part; classes are joined on part digests, and each connected family of candidates goes to
    one task (a family too large for one task is cut into blocks, and every pair of blocks is a task).
-3. Within a family runs the grouped prefix join. Shingles are ordered rarest first; sets with the same prefix
+4. Within a family runs the grouped prefix join. Shingles are ordered rarest first; sets with the same prefix
    and size form a group; groups meet on prefix shingles, pass size and position filters, and their members are
    expanded and verified exactly.
 """
@@ -21,19 +23,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from popforge.llm.graph import components
-from popforge.llm.shared import fits, map_rows, written
+from popforge.llm.shared import discard, fits, map_rows, mapped, written
 from popforge.llm.textarrays import chunks, joined, mix, shingles, words
 
 SHINGLE, PERCENT = 3, 90
 #: Shingles of a family that one task takes, shingles dealt to a task, rows of a side that may be broadcast.
 FAMILY_SHINGLES, TASK_SHINGLES, BROADCAST_ROWS = 2_000_000, 1_000_000, 200_000
-#: Empty parts that a set may have without offering them for a match.
-SPARE_PARTS = 2
+#: Text bytes worked on at a time, shingles of a group of sets, text bytes whose shingles make a bucket.
+CHUNK, GROUP_SHINGLES, BUCKET_BYTES = 512_000, 300_000, 24_000_000
+#: One shingle in so many (a power of two) is counted by the sets that hold it.
+TOLD = 2
+#: Parts beyond those that may differ: this many, and one more for so many of these. A set with no more empty parts than
+#: that need not offer them for a match, and sets with the same empty part are no candidates for it.
+SPARE_PARTS, SPARE_SHARE = 2, 8
 
 
 def least_common(n: int, m: int, percent: int) -> int:
@@ -41,15 +48,16 @@ def least_common(n: int, m: int, percent: int) -> int:
     return -(-percent * (n + m) // (100 + percent))
 
 
-def bands(n: int, percent: int) -> list[tuple[int, int]]:
-    """(number, parts) of the schemes a set of n shingles takes part in: its own size band, and the next, where
-    the larger partner may be. Parts exceed the differences between linked sets by SPARE_PARTS and one."""
+def bands(n: int, percent: int) -> list[tuple[int, int, int]]:
+    """(number, parts, spare parts) of the schemes a set of n shingles takes part in: its own size band, and the next, where
+    the larger partner may be. Parts exceed the differences between linked sets by the spare ones and one."""
     low, number, out = 1, 0, []
     while len(out) < 2:
         high = max(low + 1, (low - 1) * 100 // percent + 1)
         if high > n:
             most = 2 * (high - 1) * (100 - percent) // (100 + percent)
-            out.append((number, most + 1 + SPARE_PARTS))
+            spare = SPARE_PARTS + most // SPARE_SHARE
+            out.append((number, most + 1 + spare, spare))
         low, number = high, number + 1
     return out
 
@@ -58,12 +66,12 @@ def part_digests(own: np.ndarray, percent: int) -> np.ndarray:
     """Digests of the parts of a sorted shingle set under its schemes."""
     sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(own ^ np.uint64(0xA5A5A5A55A5A5A5A)), dtype=np.uint64)])
     out = []
-    for number, parts in bands(len(own), percent):
+    for number, parts, spare in bands(len(own), percent):
         edges = (np.arange(parts + 1, dtype=np.float64) * (2.0**64 / parts))[1:-1].astype(np.uint64)
         at = np.concatenate([[0], np.searchsorted(own, edges), [len(own)]])
         digest = mix(mix(sums[at[1:]] - sums[at[:-1]]) + np.arange(parts, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(number * 0xC2B2AE3D27D4EB4F % 2**64))
         empty = at[1:] == at[:-1]
-        out.append(digest if empty.sum() > SPARE_PARTS else digest[~empty])
+        out.append(digest if empty.sum() > spare else digest[~empty])
     return np.concatenate(out)
 
 
@@ -72,32 +80,142 @@ def set_key(own: np.ndarray) -> int:
 
 
 def _sets(texts, shingle: int) -> Iterator[tuple[int, np.ndarray]]:
-    for rows, held in chunks(texts):
+    for rows, held in chunks(texts, CHUNK):
         buf, starts = joined(held)
         hashes, _, _, first = words(buf, starts, fold=True)
         yield from zip(rows, shingles(hashes, first, shingle), strict=True)
 
 
-def _scan(shingle: int, percent: int):
+def _scan(shingle: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[int] = set()
         for pdf in batches:
-            out = []
-            for row, own in _sets(pdf["text"], shingle):
+            out = [(pdf["doc_id"].iat[row], pdf["h"].iat[row], len(own), set_key(own)) for row, own in _sets(pdf["text"], shingle)]
+            yield pd.DataFrame(out, columns=["doc_id", "h", "n_shingles", "key"])
+
+    return run
+
+
+def _tokens(shingle: int, buckets: int):
+    """Groups of sets by bucket of their told shingles: those that one set of the group holds, with its number, and those
+    that several hold; bucket -1: the sets' keys and sizes. Equal sets of a group count once."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, held, keys = TaskContext.get().partitionId() << 32, [], {}
+
+        def low(tokens: np.ndarray) -> bytes:
+            return np.ascontiguousarray(tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+
+        def flush() -> pd.DataFrame:
+            flat = np.concatenate([own[own & np.uint64(TOLD - 1) == 0] for own in held])
+            owner = np.repeat(np.arange(len(held)), [np.count_nonzero(own & np.uint64(TOLD - 1) == 0) for own in held]).astype(np.uint16)
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], owner[order]
+            first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]]) if len(flat) else np.empty(0, np.int64)
+            single = np.diff(np.r_[first, len(flat)]) == 1
+            # sorted tokens lie in rising buckets
+            parts = []
+            for tokens, own in ((flat[first[single]], owner[first[single]]), (flat[first[~single]], None)):
+                cut = np.searchsorted(tokens >> np.uint64(32), -(-np.arange(buckets + 1) * (1 << 32) // buckets))
+                parts.append((tokens, own, cut.tolist()))
+            (one, own, a), (more, _, b) = parts
+            rows = [(group, k, low(one[a[k] : a[k + 1]]), own[a[k] : a[k + 1]].tobytes(), low(more[b[k] : b[k + 1]])) for k in range(buckets) if a[k] < a[k + 1] or b[k] < b[k + 1]]
+            rows.append((group, -1, np.array(list(keys), np.int64).tobytes(), np.array([len(x) for x in held], np.int64).tobytes(), b""))
+            return pd.DataFrame(rows, columns=["group", "bucket", "singles", "owners", "several"])
+
+        size = 0
+        for pdf in batches:
+            for _, own in _sets(pdf["text"], shingle):
                 key = set_key(own)
-                parts = None
-                if len(own) and key not in seen:  # copies offer their parts once a task
-                    seen.add(key)
-                    parts = part_digests(own, percent).view(np.int64)
-                out.append((pdf["doc_id"].iat[row], pdf["h"].iat[row], len(own), key, parts))
-            yield pd.DataFrame(out, columns=["doc_id", "h", "n_shingles", "key", "parts"])
+                if not len(own) or key in keys:
+                    continue
+                if held and (size + len(own) > GROUP_SHINGLES or len(held) == 65535):
+                    yield flush()
+                    group, size = group + 1, 0
+                    held.clear()
+                    keys.clear()
+                keys[key] = None
+                held.append(own)
+                size += len(own)
+        if held:
+            yield flush()
 
     return run
 
 
+def _alone(pdf: pd.DataFrame) -> pd.DataFrame:
+    """group, counts: how many of a bucket's shingles each set of each group holds alone (pairs of numbers, 16 bits each)."""
+
+    def wide(data) -> np.ndarray:
+        rows = np.frombuffer(b"".join(data), np.uint8).reshape(-1, 5)
+        out = np.zeros((len(rows), 8), np.uint8)
+        out[:, :5] = rows
+        return out.view("<u8").ravel()
+
+    singles, several = wide(pdf["singles"]), wide(pdf["several"])
+    _, inverse, counts = np.unique(np.concatenate([singles, several, several]), return_inverse=True, return_counts=True)
+    alone = counts[inverse[: len(singles)]] == 1
+    out, at = [], 0
+    for group, owners in zip(pdf["group"], pdf["owners"], strict=True):
+        own = np.frombuffer(owners, np.uint16)
+        who, n = np.unique(own[alone[at : at + len(own)]], return_counts=True)
+        at += len(own)
+        out.append((group, np.stack([who, np.minimum(n, 65535)], axis=1).astype(np.uint16).tobytes()))
+    return pd.DataFrame(out, columns=["group", "counts"])
+
+
+def _left(percent: int):
+    """key of the sets of a group that hold few enough shingles alone to be linked with any other."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        named = pdf["keys"].notna()
+        keys, sizes = (np.frombuffer(pdf.loc[named, c].iat[0], np.int64) for c in ("keys", "sizes"))
+        alone = np.zeros(len(keys), np.int64)
+        for counts in pdf.loc[~named, "counts"]:
+            pairs = np.frombuffer(counts, np.uint16).reshape(-1, 2).astype(np.int64)
+            alone[pairs[:, 0]] += pairs[:, 1]
+        return pd.DataFrame({"key": keys[alone <= sizes * (100 - percent) // 100]})
+
+    return run
+
+
+def sharing(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """key of the sets of texts(text) that may be linked: of n shingles, linked sets hold n * (100 - percent) / 100 at most
+    that no other set holds. Counted are those of one shingle hash in TOLD, each by its exact number of sets or more."""
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    told = written(mapped(texts.select("text"), _tokens(shingle, 1 + size // BUCKET_BYTES), "group long, bucket int, singles binary, owners binary, several binary"))
+    counts = told.where("bucket >= 0").groupBy("bucket").applyInPandas(_alone, "group long, counts binary")
+    nothing = F.lit(None).cast("binary")
+    named = told.where("bucket < 0").select("group", nothing.alias("counts"), F.col("singles").alias("keys"), F.col("owners").alias("sizes"))
+    counts = counts.select("group", "counts", nothing.alias("keys"), nothing.alias("sizes"))
+    left = written(named.unionByName(counts).groupBy("group").applyInPandas(_left(percent), "key long").distinct())
+    discard(told)
+    return left
+
+
+def _offer(shingle: int, percent: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[int] = set()  # rows that are the same throughout are one
+        for pdf in batches:
+            pdf = _new(pdf, seen)
+            out = [(pdf["key"].iat[row], part_digests(own, percent).view(np.int64)) for row, own in _sets(pdf["text"], shingle)]
+            yield pd.DataFrame(out, columns=["key", "parts"])
+
+    return run
+
+
+def _new(pdf: pd.DataFrame, seen: set[int]) -> pd.DataFrame:
+    """The rows of a batch whose keys no earlier row of the task had."""
+    pdf = pdf.drop_duplicates("key")
+    pdf = pdf[~pdf["key"].isin(seen)]
+    seen.update(pdf["key"])
+    return pdf
+
+
 def _fetch(shingle: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[int] = set()
         for pdf in batches:
+            pdf = _new(pdf, seen)
             out = [(pdf["family"].iat[row], pdf["weight"].iat[row], pdf["key"].iat[row], own.tobytes()) for row, own in _sets(pdf["text"], shingle)]
             yield pd.DataFrame(out, columns=["family", "weight", "key", "own"])
 
@@ -198,25 +316,35 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
 
 def _components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    scanned = map_rows(docs.select("doc_id", F.xxhash64("text").alias("h"), "text"), _scan(shingle, percent), "doc_id long, h long, n_shingles long, key long, parts array<long>")
+    scanned = map_rows(docs.select("doc_id", F.xxhash64("text").alias("h"), "text"), _scan(shingle), "doc_id long, h long, n_shingles long, key long")
     found = written(scanned)
-    classes = found.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.min(F.struct("doc_id", "h")).alias("row"), F.first("n_shingles").alias("n"))
-    offered = found.where("parts is not null").select("key", F.explode("parts").alias("part"))
-    nearest = F.min("key").over(W.partitionBy("part"))
-    met = offered.select("key", nearest.alias("least")).where("key <> least")
+    # firsts of one aggregate come from one row
+    classes = found.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.first("doc_id").alias("doc_id"), F.first("h").alias("h"), F.first("n_shingles").alias("n"))
+    classes = written(classes.select("key", "first_doc", F.struct("doc_id", "h").alias("row"), "n"))
+
+    def texts_of(rows: DataFrame) -> DataFrame:
+        side = F.broadcast(rows) if fits(rows, BROADCAST_ROWS) else rows
+        return docs.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("row"), "text").join(side, "row")
+
+    # twice: copies make shingles look shared until they are counted as one
+    left = classes.join(sharing(docs, shingle, percent), "key")
+    left = written(left.select("key", "row"))
+    left = written(left.join(sharing(texts_of(left), shingle, percent), "key"))
+    offers = written(mapped(texts_of(left).select("key", "text"), _offer(shingle, percent), "key long, parts array<long>"))
+    offered = offers.select("key", F.explode("parts").alias("part"))
+    nearest = offered.groupBy("part").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least <> most").drop("most")
+    met = offered.join(nearest, "part").where("key <> least")
     families = components(met.select(F.col("key").alias("a"), F.col("least").alias("b")))
+    discard(offers)
     families = families.unionByName(families.select(F.col("root").alias("node"), "root").distinct())
-    classes = written(classes)
     placed = classes.join(families.select(F.col("node").alias("key"), F.col("root").alias("family")), "key")
     weights = placed.groupBy("family").agg(F.sum("n").alias("weight"))
     placed = written(placed.join(weights, "family").select("row", "key", "family", "n", "weight"))
     total = placed.agg(F.sum("n")).first()[0] or 0
     links = None
     if total:
-        side = placed.select("row", "key", "family", "weight")
-        side = F.broadcast(side) if fits(placed, BROADCAST_ROWS) else side
-        texts = docs.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("row"), "text").join(side, "row")
-        sets = texts.select("family", "weight", "key", "text").mapInPandas(_fetch(shingle), "family long, weight long, key long, own binary")
+        texts = texts_of(placed.select("row", "key", "family", "weight"))
+        sets = mapped(texts.select("family", "weight", "key", "text"), _fetch(shingle), "family long, weight long, key long, own binary")
         tasks = max(1, total // TASK_SHINGLES)
         whole = sets.where(F.col("weight") <= FAMILY_SHINGLES).select("family", "key", "own", F.pmod(F.xxhash64("family"), F.lit(tasks)).alias("deal"), F.lit(0).alias("other"))
         blocks = F.ceil(F.col("weight") * 2 / FAMILY_SHINGLES).cast("int")
