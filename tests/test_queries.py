@@ -80,3 +80,36 @@ def test_registered_calibration_converges(spark, monkeypatch):
     assert queries.apg_calibrate(spark, DATA).columns == ["unit", "w"]
     losses = runs[0][1]
     assert losses[-2] - losses[-1] <= settings.tol * losses[-2] and len(losses) <= settings.max_iter
+
+
+@needs_data
+def test_constructed_population(spark):
+    from popforge.operators import calibrate
+    from popforge.plans.construct import construct
+
+    homes = spark.read.parquet(f"{DATA}/customer.parquet").collect()
+    rows = construct(spark, DATA, calibrate.Settings(max_iter=8)).collect()
+    assert len(rows) == 2 * len(homes) and list(rows[0].asDict()) == sorted(rows[0].asDict())
+    assert sum(r.weight for r in rows) == pytest.approx(sum(1 + h.c_custkey % 7 for h in homes)) and min(r.weight for r in rows) >= 0
+    kept = {h.c_custkey: h.c_acctbal for h in homes}
+    blocks = {r.s_nationkey for r in spark.read.parquet(f"{DATA}/supplier.parquet").collect()}
+    for r in rows:
+        # nations without a supplier have no block
+        assert (len(r.block_geoid) == 15 if r.nation in blocks else r.block_geoid is None) and len(r.state_fips) == 2 and r.in_city == (r.nation in (3, 5, 11))
+        assert r.balance is not None and r.is_in_debt is not None
+        if kept.get(r.household_id, -1) > 0:
+            assert r.balance == kept[r.household_id]
+
+
+@needs_data
+def test_imputed_values_are_donors_own(spark):
+    donors = {r.s_acctbal for r in spark.read.parquet(f"{DATA}/supplier.parquet").collect()}
+    homes = {r.c_custkey: r.c_acctbal for r in spark.read.parquet(f"{DATA}/customer.parquet").collect()}
+    for r in QUERIES["impute_forest_steps"](spark, DATA).collect():
+        kept = r.half == "keep" and homes[r.household_id] > 0
+        assert r.balance == homes[r.household_id] if kept else r.balance in donors
+        assert r.would_be_qualified is not None
+    found = QUERIES["source_block_impute"](spark, DATA).collect()
+    assert {r.household_id for r in found} == set(homes) and {r.net_worth for r in found} <= donors
+    for r in QUERIES["weeks_unemployed"](spark, DATA).collect():
+        assert r.weeks == 0 if r.compensation == 0 else 0 <= r.weeks <= 52
