@@ -33,9 +33,9 @@ from popforge.llm.textarrays import chunks, joined, mix, shingles, words
 
 SHINGLE, PERCENT = 3, 90
 #: Shingles of a family that one task takes, shingles dealt to a task, rows of a side that may be broadcast.
-FAMILY_SHINGLES, TASK_SHINGLES, BROADCAST_ROWS = 2_000_000, 1_000_000, 200_000
+FAMILY_SHINGLES, TASK_SHINGLES, BROADCAST_ROWS = 2_000_000, 500_000, 200_000
 #: Text bytes worked on at a time, shingles of a group of sets, text bytes whose shingles make a bucket.
-CHUNK, GROUP_SHINGLES, BUCKET_BYTES = 512_000, 300_000, 24_000_000
+CHUNK, GROUP_SHINGLES, BUCKET_BYTES = 512_000, 200_000, 10_000_000
 #: One shingle in so many (a power of two) is counted by the sets that hold it.
 TOLD = 2
 #: Parts beyond those that may differ: this many, and one more for so many of these. A set with no more empty parts than
