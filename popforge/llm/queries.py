@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from popforge.llm import context_tree, decontamination, html_content, jaccard_join, language_id, mixing, pii, quality_rules, substring_dedup, suffix_dedup
+from popforge.llm import context_tree, decontamination, html_content, jaccard_join, language_id, mixing, periodic_runs, pii, quality_rules, substring_dedup, suffix_dedup
 from popforge.llm.shared import table
 
 
@@ -53,6 +53,10 @@ def op10_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_content.extract(pages, html_content.fit(pages))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.scan(table(spark, sf_dir, "documents"), plant=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
@@ -64,4 +68,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_html_content": op10_html_content,
+    "op13_periodic_runs": op13_periodic_runs,
 }
