@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from popforge.llm import context_tree, decontamination, html_content, jaccard_join, language_id, mixing, periodic_runs, pii, quality_rules, substring_dedup, suffix_dedup
+from popforge.llm import context_tree, decontamination, hard_negatives, html_content, jaccard_join, language_id, mixing, periodic_runs, pii, quality_rules, substring_dedup, suffix_dedup
 from popforge.llm.shared import table
 
 
@@ -53,6 +54,12 @@ def op10_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_content.extract(pages, html_content.fit(pages))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(moved, F.col("vec_id") % 50 == 0)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.scan(table(spark, sf_dir, "documents"), plant=True)
 
@@ -68,5 +75,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_html_content": op10_html_content,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_periodic_runs": op13_periodic_runs,
 }
