@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from popforge.llm import context_tree, decontamination, hard_negatives, html_content, jaccard_join, language_id, mixing, periodic_runs, pii, quality_rules, substring_dedup, suffix_dedup
-from popforge.llm.shared import table
+from popforge.llm import context_tree, decontamination, hard_negatives, html_content, jaccard_join, language_id, mixing, periodic_runs, pii, quality_rules, substring_dedup, suffix_dedup, toxicity
+from popforge.llm.shared import crc_mod, table
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,12 @@ def op10_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_content.extract(pages, html_content.fit(pages))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), crc_mod("doc_id", 3) != 1)
+    held_out = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False))
+    return judged.select("doc_id", held_out.alias("held_out"), "score", "predicted", "n_words", F.size("words").alias("n_telling"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     moved = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
@@ -75,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_html_content": op10_html_content,
+    "op11_toxicity": op11_toxicity,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_periodic_runs": op13_periodic_runs,
 }
