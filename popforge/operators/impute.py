@@ -60,16 +60,23 @@ def run_steps(spine: DataFrame, steps: Sequence[Step], draw: Callable[[DataFrame
 
 def nearest_donor(recipients: DataFrame, donors: DataFrame, key: str, donor: str, cell: str, recipient_value: str, donor_value: str) -> DataFrame:
     """key, donor: the donor of the same cell with the nearest value, of equals the one with the smallest key; null
-    where the cell has none.
+    where the cell has none or is null.
+
+    Null values are nearest to nothing: donors of null value come after all others, and a recipient of null value takes the
+    smallest donor of its cell. Donors with a null key or cell take no part.
 
     Donors and recipients of a cell are laid on one line and each recipient looks at the donors next to it on either
-    side, so the work is a sort, never cell x cell pairs. A cell of any size is cut into ranges of values.
+    side, so the work is a sort, never cell x cell pairs. A cell of any size is cut into ranges of values, and recipients of
+    one value by their keys.
     """
+    donors = donors.where(F.col(donor).isNotNull() & F.col(cell).isNotNull())
+    valued = donors.where(F.col(donor_value).isNotNull())
     # donors sort before recipients of the same value
-    line = recipients.select(cell, F.col(recipient_value).alias("_at"), F.col(key).alias("_key"), F.lit(None).cast("long").alias("_donor"), F.lit(1).alias("_asks")).unionByName(
-        donors.groupBy(cell, F.col(donor_value).alias("_at")).agg(F.min(donor).cast("long").alias("_donor")).select(cell, "_at", F.lit(None).cast("long").alias("_key"), "_donor", F.lit(0).alias("_asks"))
+    line = recipients.where(F.col(recipient_value).isNotNull() & F.col(cell).isNotNull())
+    line = line.select(cell, F.col(recipient_value).alias("_at"), F.col(key).alias("_key"), F.lit(None).cast("long").alias("_donor"), F.lit(1).alias("_asks")).unionByName(
+        valued.groupBy(cell, F.col(donor_value).alias("_at")).agg(F.min(donor).cast("long").alias("_donor")).select(cell, "_at", F.lit(None).cast("long").alias("_key"), "_donor", F.lit(0).alias("_asks"))
     )
-    line = in_ranges(line, [cell, "_at", "_asks"]).withColumn("_here", F.when(F.col("_asks") == 0, F.struct(F.col("_at").alias("v"), F.col("_donor").alias("d"))))
+    line = in_ranges(line, [cell, "_at", "_asks", "_key"]).withColumn("_here", F.when(F.col("_asks") == 0, F.struct(F.col("_at").alias("v"), F.col("_donor").alias("d"))))
     # the outermost donors of a range stand in for those of the ranges beside it
     ends = line.groupBy(cell, RANGE).agg(F.max("_here").alias("_last"), F.min("_here").alias("_first"))
     ranges, nearest = Window.partitionBy(cell).orderBy(RANGE), Window.partitionBy(cell).orderBy(F.desc(RANGE))
@@ -83,7 +90,10 @@ def nearest_donor(recipients: DataFrame, donors: DataFrame, key: str, donor: str
     seen = seen.join(ends, (F.col(RANGE) == F.col("_r")) & F.col(cell).eqNullSafe(F.col("_cell")))
     seen = seen.withColumn("_below", F.coalesce("_below", "_low")).withColumn("_above", F.coalesce("_above", "_high"))
     sides = F.array_compact(F.array(*[F.when(F.col(s).isNotNull(), F.struct(F.abs(F.col("_at") - F.col(f"{s}.v")).alias("gap"), F.col(f"{s}.d").alias("d"))) for s in ("_below", "_above")]))
-    return seen.select(F.col("_key").alias(key), F.get(F.sort_array(sides), 0)["d"].alias(donor))
+    near = seen.select(F.col("_key"), F.get(F.sort_array(sides), 0)["d"].alias("_near"))
+    least = donors.groupBy(F.col(cell).alias("_cell")).agg(F.min(donor).cast("long").alias("_least"))
+    found = recipients.select(key, cell).join(near, F.col(key) == F.col("_key"), "left").join(least, F.col(cell) == F.col("_cell"), "left")
+    return found.select(key, F.coalesce("_near", "_least").alias(donor))
 
 
 def weighted_quantile(df: DataFrame, group: str, value: str, weight: str, q: float, key: str, name: str) -> DataFrame:

@@ -15,6 +15,7 @@ from popforge.functions.rng import uniform
 from popforge.operators import calibrate as K
 from popforge.operators import entities, gates, geography, impute, normalize, spine
 from popforge.operators import takeup as T
+from popforge.plans import declared, execute
 from popforge.plans.construct import CONTENT
 from popforge.plans.construct import construct as construct_all
 from popforge.plans.proxy import SEED, SOURCES, donors, households, persons, table
@@ -301,6 +302,15 @@ def impute_donor_match(spark, sf_dir):
     return impute.nearest_donor(households(spark, sf_dir), donors(spark, sf_dir), "household_id", "donor_id", "nation", "balance", "donor_balance")
 
 
+@query(f"WITH {_HH}, {_D}, a AS (SELECT household_id, CASE WHEN household_id % 50 > 1 THEN nation % 2 END AS cell, CASE WHEN household_id % 13 > 0 THEN CASE WHEN household_id % 5 > 0 THEN 0 ELSE balance END END AS wealth FROM hh), b AS (SELECT donor_id, CASE WHEN donor_id % 9 > 0 THEN nation % 2 END AS cell, CASE WHEN donor_id % 4 > 0 THEN CASE WHEN donor_id % 5 > 0 THEN 0 ELSE donor_balance END END AS net_worth FROM d) SELECT household_id, donor_id FROM (SELECT household_id, donor_id, row_number() OVER (PARTITION BY household_id ORDER BY abs(wealth - net_worth) NULLS LAST, donor_id) AS r FROM a LEFT JOIN b USING (cell)) WHERE r = 1")
+def impute_donor_match_sparse(spark, sf_dir):
+    """Values that are mostly zero, as survey amounts are, or missing; two cells, some of them unknown."""
+    sparse = lambda key, value, gaps: F.when(F.col(key) % gaps > 0, F.when(F.col(key) % 5 > 0, F.lit(0)).otherwise(F.col(value)))
+    asked = households(spark, sf_dir).select("household_id", F.when(F.col("household_id") % 50 > 1, F.col("nation") % 2).alias("cell"), sparse("household_id", "balance", 13).alias("wealth"))
+    given = donors(spark, sf_dir).select("donor_id", F.when(F.col("donor_id") % 9 > 0, F.col("nation") % 2).alias("cell"), sparse("donor_id", "donor_balance", 4).alias("net_worth"))
+    return impute.nearest_donor(asked, given, "household_id", "donor_id", "cell", "wealth", "net_worth")
+
+
 @query(f"WITH {_HH}, c AS (SELECT nation, household_id, balance, sum(weight) OVER (PARTITION BY nation ORDER BY balance, household_id) AS cw, sum(weight) OVER (PARTITION BY nation) AS tw FROM hh) SELECT nation, arg_min(balance, cw) AS median_balance FROM c WHERE cw >= 0.5 * tw GROUP BY nation")
 def weighted_quantile(spark, sf_dir):
     return impute.weighted_quantile(households(spark, sf_dir), "nation", "balance", "weight", 0.5, "household_id", "median_balance")
@@ -407,6 +417,62 @@ def geo_assign(spark, sf_dir):
     return geography.assign(households(spark, sf_dir).select("household_id", "nation"), "household_id", "nation", shares, "block", SEED)
 
 
+_STATE = "CAST(30 + {} % 10 AS VARCHAR)"
+_SUFFIX = "lpad(CAST([5, 47, 61, 81, 85, 1, 3, 7][CAST({} % 8 AS INTEGER) + 1] AS VARCHAR), 3, '0')"
+_BLOCKS = f"blocks AS (SELECT {_STATE.format('s_nationkey')} || {_SUFFIX.format('s_suppkey')} || lpad(CAST(s_suppkey % 1000000 AS VARCHAR), 6, '0') || lpad(CAST(s_suppkey // 1000000 AS VARCHAR), 4, '0') AS block, CAST(1 + s_suppkey % 5 AS BIGINT) AS n, {_STATE.format('s_nationkey')} || lpad(CAST(s_suppkey % 7 AS VARCHAR), 2, '0') AS district FROM supplier)"
+_HOMES = f"homes AS (SELECT c_custkey + k * 10000000 AS household_id, (1 + c_custkey % 7) / 2.0::DOUBLE AS household_weight, CASE WHEN c_custkey % 30 = 0 THEN '99999' WHEN c_custkey % 3 = 0 THEN {_STATE.format('c_nationkey')} || {_SUFFIX.format('c_custkey')} END AS known_county, CASE WHEN c_custkey % 3 <> 2 THEN {_STATE.format('c_nationkey')} END AS known_state FROM customer, (VALUES (0), (1)) v(k))"
+_LOWEST = f"{_BLOCKS}, {_HOMES}, areas AS (SELECT l.level, CASE l.level WHEN 'county' THEN substr(block, 1, 5) WHEN 'state' THEN substr(block, 1, 2) ELSE '' END AS area, block, n, district FROM blocks, (VALUES ('county'), ('state'), ('all')) l(level)), i AS (SELECT level, area, block, district, (sum(n) OVER w - n) / CAST(sum(n) OVER (PARTITION BY level, area) AS DOUBLE) AS low, CASE WHEN row_number() OVER (PARTITION BY level, area ORDER BY block DESC) = 1 THEN 2.0::DOUBLE ELSE sum(n) OVER w / CAST(sum(n) OVER (PARTITION BY level, area) AS DOUBLE) END AS high FROM areas WINDOW w AS (PARTITION BY level, area ORDER BY block)), placed AS (SELECT household_id, household_weight, CASE WHEN known_county IN (SELECT area FROM areas WHERE level = 'county') THEN 'county' WHEN known_state IN (SELECT area FROM areas WHERE level = 'state') THEN 'state' ELSE 'all' END AS level, CASE WHEN known_county IN (SELECT area FROM areas WHERE level = 'county') THEN known_county WHEN known_state IN (SELECT area FROM areas WHERE level = 'state') THEN known_state ELSE '' END AS area, {_u('household_id')} AS u FROM homes), found AS (SELECT household_id, household_weight, placed.level AS known_at, block, district FROM placed LEFT JOIN i ON placed.level = i.level AND placed.area = i.area AND u >= low AND u < high)"
+
+
+@query(f"WITH {_LOWEST} SELECT household_id, block AS block_geoid, substr(block, 1, 11) AS tract_geoid, substr(block, 1, 5) AS county_fips, substr(block, 1, 2) AS state_fips, district AS congressional_district_geoid, known_at AS block_known_at FROM found")
+def geo_assign_lowest(spark, sf_dir):
+    """Blocks drawn in the county where it is known and exists, else in the state, else anywhere."""
+    homes = declared.halves(spark, sf_dir)["household"].select("household_id", "known_county", "known_state")
+    found = declared.census(spark, sf_dir).checked().attach(homes, "household_id", {"county": "known_county", "state": "known_state"}, SEED)
+    return found.drop("known_county", "known_state")
+
+
+@query(f"WITH {_BLOCKS} SELECT 'block' AS \"column\", count(*) FILTER (length(block) <> 15) AS n_bad FROM blocks UNION ALL SELECT 'congressional_district', count(*) FILTER (length(district) <> 4) FROM blocks")
+def geo_crosswalk_gate(spark, sf_dir):
+    return declared.census(spark, sf_dir).violations()
+
+
+def _declared(spark, sf_dir, *entities):
+    """Entities of the declared specification, without what is drawn by forests."""
+    spec, given = declared.load(), declared.inputs(spark, sf_dir)
+    wanted = [v.name for v in spec.variables.values() if v.entity in entities and v.kind != "impute"]
+    made = execute.execute(spec, given, execute.plan(spec, given, wanted))
+    return [made[entity] for entity in entities]
+
+
+@query(f"WITH {_LOWEST} SELECT household_id, household_weight, block AS block_geoid, substr(block, 1, 11) AS tract_geoid, substr(block, 1, 5) AS county_fips, substr(block, 1, 2) AS state_fips, district AS congressional_district_geoid, coalesce(substr(block, 1, 5) IN ('36005', '36047', '36061', '36081', '36085'), false) AS in_nyc FROM found")
+def declared_households(spark, sf_dir):
+    """Households as a specification of the full layout declares them: halves, geography by source, derived places."""
+    return _declared(spark, sf_dir, "household")[0]
+
+
+_PEOPLE = "people AS (SELECT o_orderkey + k * 1000000000 AS person_id, o_custkey + k * 10000000 AS person_household_id, CAST(floor(o_totalprice / 5000) AS INTEGER) AS age, CASE WHEN k = 0 THEN o_orderstatus = 'F' END AS reported_insured FROM orders, (VALUES (0), (1)) v(k))"
+
+
+@query(f"WITH {_PEOPLE} SELECT person_id, person_household_id, person_household_id * 10 + person_id % 3 AS person_tax_unit_id, person_household_id * 10 AS person_spm_unit_id, person_household_id * 10 + person_id % 2 AS person_family_id, person_household_id * 10 + person_id % 4 AS person_marital_unit_id, age, reported_insured, {_u('person_id', f'{SEED}:takes_up_coverage')} < 0.6 AS takes_up_coverage FROM people")
+def declared_persons(spark, sf_dir):
+    return _declared(spark, sf_dir, "person")[0]
+
+
+@query(f"WITH {_PEOPLE}, t AS (SELECT DISTINCT person_household_id * 10 + person_id % 3 AS id FROM people), s AS (SELECT DISTINCT person_household_id * 10 AS id FROM people) SELECT 'tax_unit' AS entity, id AS unit_id, {_u('id', f'{SEED}:files_voluntarily')} < 0.25 AS takes_part FROM t UNION ALL SELECT 'spm_unit', id, {_u('id', f'{SEED}:takes_up_meals')} < 0.8 FROM s")
+def declared_units(spark, sf_dir):
+    """Two of the other entities, with the programs that are drawn for them."""
+    tax, spm = _declared(spark, sf_dir, "tax_unit", "spm_unit")
+    one = lambda df, entity, taken: df.select(F.lit(entity).alias("entity"), F.col(f"{entity}_id").alias("unit_id"), F.col(taken).alias("takes_part"))
+    return one(tax, "tax_unit", "files_voluntarily").unionByName(one(spm, "spm_unit", "takes_up_meals"))
+
+
+@query()
+def construct_declared(spark, sf_dir):
+    """The calibrated households of the declared specification, all draws included; no SQL form."""
+    return declared.construct(spark, sf_dir)["household"]
+
+
 _GEO = "g AS (SELECT s_suppkey AS id, lpad(CAST(s_suppkey * 7919 AS VARCHAR), 15, '0') AS block_geoid, lpad(CAST(s_nationkey AS VARCHAR), 4, '0') AS congressional_district_geoid FROM supplier)"
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from popforge.functions import scalars as S
 from popforge.functions.rng import uniform
 from popforge.operators import calibrate, entities, gates, geography, impute, normalize, spine, takeup
+from popforge.operators.ranges import RANGE, in_ranges
 from popforge.plans import spec as specs
 from popforge.sources import registry
 
@@ -98,6 +99,29 @@ def test_nearest_donor_by_brute_force(spark):
     assert {r.k: r.d for r in got.collect()} == want
 
 
+def test_nearest_donor_with_nulls_by_brute_force(spark):
+    rng = np.random.default_rng(2)
+    some = lambda x, k: None if k % 5 == 0 else x
+    asked = [(i, some(int(rng.integers(0, 3)), i // 7), some(float(rng.choice([0.0, 0.0, 0.0, 5.0, 30.0, -4.0])), i)) for i in range(300)]
+    given = [(some(i, i + 1), some(int(rng.integers(0, 2)), i // 3), some(float(rng.choice([0.0, 6.0, -3.0, 30.0])), i)) for i in range(2, 60)]
+    given += [(5, 2, None), (4, 2, None), (7, 4, None), (6, 4, 30.0)]
+    asked += [(900, 2, 1.0), (901, 2, None), (902, 4, 5.0), (903, 4, None)]
+    got = impute.nearest_donor(spark.createDataFrame(asked, "k long, c int, v double"), spark.createDataFrame(given, "d long, c int, x double"), "k", "d", "c", "v", "x")
+    far = lambda v, x: (1, 0.0) if v is None or x is None else (0, abs(v - x))
+    want = {k: min(((*far(v, x), d) for d, cc, x in given if cc is not None and cc == c and d is not None), default=(0, 0, None))[2] for k, c, v in asked}
+    assert {r.k: r.d for r in got.collect()} == want
+
+
+def test_nearest_donor_splits_one_value_over_ranges(spark):
+    """Most recipients have the value 0; no range has most of them."""
+    asked = spark.range(20_000).select(F.col("id").alias("k"), F.lit(1).alias("c"), F.when(F.col("id") % 5 > 0, F.lit(0.0)).otherwise(F.col("id").cast("double")).alias("v"))
+    given = spark.range(50).select(F.col("id").alias("d"), F.lit(1).alias("c"), (F.col("id") * 10.0).alias("x"))
+    line = in_ranges(asked.select("c", F.col("v").alias("at"), "k"), ["c", "at", "k"])
+    sizes = sorted(r["count"] for r in line.groupBy(RANGE).count().collect())
+    assert sizes[-1] < 3 * sizes[len(sizes) // 2]
+    assert impute.nearest_donor(asked, given, "k", "d", "c", "v", "x").where("d is null").count() == 0
+
+
 def test_allocate_adds_up(spark):
     df = spark.createDataFrame([(1, 1, 10.0, 1.0), (1, 2, 10.0, 3.0), (2, 3, 8.0, 0.0), (2, 4, 8.0, 0.0)], "g long, k long, amount double, w double")
     got = {r.k: r.share for r in entities.allocate(df, "g", "amount", "w", ["k"], "share").collect()}
