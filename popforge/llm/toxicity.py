@@ -53,8 +53,10 @@ ORDER, SHORT, LEAN, MOST_GRAMS = 5, 3, 4.0, 1 << 18
 _DECORATION = re.compile(r"([^\w\s])\1{2,}(?!\w)|(?<!\w)([^\w\s])\2{2,}")
 _TOKEN = re.compile(r"""[^\s"#%&),:;=>?\[\\\]^`{}~]+""")
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W_]|[@$!|+€*])(?:[ .\-_*/]{1,2}(?:[^\W_]|[@$!|+€*])){2,}(?![^\W_])")
+#: The last two of three characters that stand apart: where this isn't found, _SPACED isn't either.
+_APART = re.compile(r"[ .\-_*/][^\s.\-_*/][ .\-_*/]{1,2}[^\s.\-_*/](?!\w)")
 _WORD = re.compile(r"[^\W\d_]+")
-_REPEATED = re.compile(r"(.)\1")
+_REPEATED = re.compile(r"(.)\1+")
 #: Distinct tokens whose reading a task remembers.
 _REMEMBERED = 1 << 18
 
@@ -226,19 +228,25 @@ class Restorer:
             self.known[token] = out
         return out
 
+    def core(self, token: str) -> str:
+        """A token without what ends a sentence or a quotation and without symbols that only decorate."""
+        if token.isalpha():
+            return token
+        return _DECORATION.sub(" ", token).strip().rstrip(".!-_/'*·").lstrip(".-_/'·")
+
+    def joined(self, text: str | None) -> str:
+        """The text in lower case, with words whose letters stand apart joined."""
+        low = (text or "").lower()
+        return _SPACED.sub(lambda m: decode(m[0], self.model) if _WORD.search(m[0]) else m[0], low) if _APART.search(low) else low
+
     def text(self, text: str | None) -> str:
-        """The text in lower case, spaced letters joined first, then each token read."""
-        low = _DECORATION.sub(" ", (text or "").lower())
-        low = _SPACED.sub(lambda m: self._spaced(m[0]), low)
-        return _TOKEN.sub(lambda m: self._edges(m[0]), low)
+        """The text in lower case, letters that stand apart joined first, then each token read."""
 
-    def _spaced(self, span: str) -> str:
-        return decode(span, self.model) if _WORD.search(span) else span
+        def read(m: re.Match) -> str:
+            core = self.core(m[0])
+            return self.token(core) if core else m[0]
 
-    def _edges(self, token: str) -> str:
-        # what ends a sentence or a quotation is no look-alike
-        core = token.rstrip(".!-_/'*·").lstrip(".-_/'·")
-        return self.token(core) if core else token
+        return _TOKEN.sub(read, self.joined(text))
 
 
 @dataclass(frozen=True)
@@ -265,40 +273,77 @@ def terms(words: set[str]) -> set[str]:
     return seen | {term + "+" for term in shared}
 
 
+def _bare(text: str) -> str:
+    """Without repeats of letters."""
+    return _REPEATED.sub(r"\1", text)
+
+
 class Judge:
-    """Features of restored texts, with what words say remembered."""
+    """Features of texts, with what each token says remembered.
 
-    def __init__(self, evidence: dict[str, float]) -> None:
-        self.evidence = evidence
+    A token of plain letters, some of them doubled, is only read where a reading could tell something: its readings differ
+    in doubled letters, so what they tell is told by terms that are alike without repeats.
+    """
+
+    def __init__(self, evidence: dict[str, float], restorer: Restorer) -> None:
+        self.evidence, self.restorer = evidence, restorer
         self.shared = {t[:-1]: e for t, e in evidence.items() if t.endswith("+")}
-        self.known: dict[str, tuple[float, list[str]] | None] = {}
+        least = min(BEGINNINGS)
+        self.heads = {t[:least] for t in evidence}
+        self.bare = {_bare(h) for h in self.heads}
+        #: token -> the number of its words where they tell nothing, else each word, what it tells, its shared beginnings
+        self.known: dict[str, int | list[tuple[str, float, list[str]]]] = {}
 
-    def word(self, word: str) -> tuple[float, list[str]] | None:
+    def word(self, word: str) -> tuple[str, float, list[str]] | None:
         """The most that a word's terms say, and those of its beginnings that say something when shared."""
-        if word in self.known:
-            return self.known[word]
+        if (word + " ")[: min(BEGINNINGS)] not in self.heads:
+            return None
         of = terms_of(word)
         most, shared = max(self.evidence.get(t, 0.0) for t in of), [t for t in of if t in self.shared]
-        out = (most, shared) if most or shared else None
+        return (word, most, shared) if most or shared else None
+
+    def _may_tell(self, word: str) -> bool:
+        bare = _bare(word + " ")
+        return any(bare[:k] in self.bare for k in range(1, min(BEGINNINGS) + 1))
+
+    def token(self, token: str) -> int | list[tuple[str, float, list[str]]]:
+        core = self.restorer.core(token)
+        if core.isalpha():
+            if _REPEATED.search(core) and self._may_tell(core):
+                core = self.restorer.token(core)
+            out = 1 if (told := self.word(core)) is None else [told]
+        else:
+            words = _WORD.findall(self.restorer.token(core)) if core else []
+            all_told = [self.word(w) for w in words]
+            out = [t or (w, 0.0, []) for t, w in zip(all_told, words, strict=True)] if any(all_told) else len(words)
         if len(self.known) >= _REMEMBERED:
             self.known.clear()
-        self.known[word] = out
+        self.known[token] = out
         return out
 
-    def __call__(self, restored: str) -> tuple[tuple[float, ...], int, dict[str, float]]:
+    def __call__(self, text: str | None) -> tuple[tuple[float, float, float], int, dict[str, float]]:
         """A text's strongest term, the sum over its distinct words, and its length, on scales of logarithms; the number of
         its words; and the words that say something."""
-        words = _WORD.findall(restored)
+        n_words = 0
         found: dict[str, float] = {}
-        seen: dict[str, int] = {}
-        for word in set(words):
-            if (of := self.word(word)) is not None:
-                found[word] = of[0]
-                for t in of[1]:
-                    seen[t] = seen.get(t, 0) + 1
-        strong = max((self.shared[t] for t, n in seen.items() if n > 1), default=0.0)
-        x = (max(strong, max(found.values(), default=0.0)), math.log1p(strong + sum(found.values())), math.log1p(len(words)) / 10)
-        return x, len(words), {w: e for w, e in found.items() if e}
+        shared: dict[str, set[str]] = {}
+        get = self.known.get
+        for token, times in Counter(_TOKEN.findall(self.restorer.joined(text))).items():
+            told = get(token)
+            if told is None:
+                told = self.token(token)
+            if told.__class__ is int:
+                n_words += told * times
+                continue
+            n_words += len(told) * times
+            for word, says, beginnings in told:
+                if says:
+                    found[word] = says
+                for t in beginnings:
+                    shared.setdefault(t, set()).add(word)
+        strong = max((self.shared[t] for t, words in shared.items() if len(words) > 1), default=0.0)
+        x = (max(strong, max(found.values(), default=0.0)), math.log1p(strong + sum(sorted(found.values()))), math.log1p(n_words) / 10)
+        return x, n_words, found
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, learn: Column | None) -> DataFrame:
@@ -381,7 +426,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> Mode
     evidence = _evidence(restored)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        judged = Judge(evidence)
+        judged = Judge(evidence, Restorer(model))
         for f in frames:
             yield pd.DataFrame({"doc_id": f["doc_id"], "y": f["toxic"], "x": [judged(t)[0] for t in f["text"]]})
 
@@ -407,15 +452,15 @@ def score(docs: DataFrame, model: Model, with_text: bool = False) -> DataFrame:
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        restorer, judged = Restorer(model.language), Judge(model.evidence)
+        restorer = Restorer(model.language)
+        judged = Judge(model.evidence, restorer)
         for f in frames:
             out = []
             for doc_id, text in zip(f["doc_id"], f["text"], strict=True):
-                restored = restorer.text(text)
-                x, n, found = judged(restored)
+                x, n, found = judged(text)
                 z = float(model.weights[0] + model.weights[1:] @ np.array(x))
                 telling = sorted(found, key=lambda w: (-found[w], w))
-                out.append((doc_id, 1 / (1 + math.exp(-max(min(z, 30.0), -30.0))), n, telling, restored if with_text else None))
+                out.append((doc_id, 1 / (1 + math.exp(-max(min(z, 30.0), -30.0))), n, telling, restorer.text(text) if with_text else None))
             yield pd.DataFrame(out, columns=["doc_id", "score", "n_words", "words", "restored"])
 
     found = map_rows(docs.select("doc_id", "text"), run, "doc_id long, score double, n_words long, words array<string>, restored string")
