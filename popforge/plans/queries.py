@@ -5,6 +5,7 @@ Amounts are summed as integer cents wherever a sum's order could show in the las
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,7 +20,8 @@ from popforge.plans import declared, execute
 from popforge.plans.construct import CONTENT
 from popforge.plans.construct import construct as construct_all
 from popforge.plans.proxy import SEED, SOURCES, donors, households, persons, table
-from popforge.sources import manifests, registry
+from popforge.sources import arrays, manifests, registry, target_store
+from popforge.sources.storage import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,6 +72,30 @@ def load_household_rows(spark, sf_dir):
     return registry.household_rows(persons(spark, sf_dir), households(spark, sf_dir), "household_id", "household_id", {"state": "nation", "weight": "weight"})
 
 
+def _exported(spark, sf_dir):
+    """Households and persons exported as named arrays; the path."""
+    path = f"{shared_dir(spark)}/export-{uuid.uuid4().hex}"
+    arrays.export_population({"household": households(spark, sf_dir), "person": persons(spark, sf_dir)}, path)
+    return path
+
+
+@query(f"WITH {_HH}, {_P} SELECT person_id, p.household_id, age, income, status, nation AS state, weight FROM p LEFT JOIN hh USING (household_id)")
+def named_arrays_household_rows(spark, sf_dir):
+    """Persons and households exported as named arrays, committed at once, and read back in slices that are verified."""
+    path = _exported(spark, sf_dir)
+    people = arrays.read_arrays(spark, path, "person", verify=True)
+    homes = arrays.read_arrays(spark, path, "household", columns=["household_id", "nation", "weight"], verify=True)
+    return registry.household_rows(people, homes, "household_id", "household_id", {"state": "nation", "weight": "weight"})
+
+
+@query("SELECT 'household' AS entity, count(*) AS n_rows, CAST(sum(c_custkey) AS BIGINT) AS key_sum FROM customer UNION ALL SELECT 'person', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders")
+def export_population(spark, sf_dir):
+    """Rows of each entity and the sum of its keys, as a reader of the export finds them."""
+    path = _exported(spark, sf_dir)
+    found = [arrays.read_arrays(spark, path, e, columns=[f"{e}_id"]).agg(F.lit(e).alias("entity"), F.count(F.lit(1)).alias("n_rows"), F.sum(f"{e}_id").alias("key_sum")) for e in ("household", "person")]
+    return found[0].unionByName(found[1])
+
+
 @query("SELECT row_number() OVER (ORDER BY s_suppkey) AS household_id, row_number() OVER (ORDER BY s_suppkey) AS person_id, s_suppkey AS donor_id, s_acctbal AS donor_balance FROM supplier")
 def load_single_person(spark, sf_dir):
     return registry.single_person_households(donors(spark, sf_dir), ["donor_id"]).select("household_id", "person_id", "donor_id", "donor_balance")
@@ -469,8 +495,11 @@ def declared_units(spark, sf_dir):
 
 @query()
 def construct_declared(spark, sf_dir):
-    """The calibrated households of the declared specification, all draws included; no SQL form."""
-    return declared.construct(spark, sf_dir)["household"]
+    """The calibrated households of the declared specification, all draws included, as a reader of the export of all six
+    entities finds them; no SQL form."""
+    path = f"{shared_dir(spark)}/export-{uuid.uuid4().hex}"
+    arrays.export_population(declared.construct(spark, sf_dir), path)
+    return arrays.read_arrays(spark, path, "household", verify=True)
 
 
 _GEO = "g AS (SELECT s_suppkey AS id, lpad(CAST(s_suppkey * 7919 AS VARCHAR), 15, '0') AS block_geoid, lpad(CAST(s_nationkey AS VARCHAR), 4, '0') AS congressional_district_geoid FROM supplier)"
@@ -552,6 +581,16 @@ def target_select(spark, sf_dir):
     return K.select_targets(given, "zz", 2024, "proxy", "state").select("target_id", "value")
 
 
+@query(f"WITH {_SCORED} SELECT target_id, value, 'state' AS geo_level FROM s WHERE bucket = 'region'")
+def target_store_select(spark, sf_dir):
+    """Targets written to a store, read back by ranges of row ids once the fingerprint is found right, and selected."""
+    level = F.when(F.col("bucket") == "region", "state").otherwise(F.lit("national"))
+    given = _targets(spark, sf_dir).select("target_id", "value", level.alias("geo_level"), F.lit(None).cast("string").alias("state_fips"), F.lit("zz").alias("country"), F.lit(2024).alias("model_year"), F.explode(F.array(F.lit("proxy"), F.lit("other"))).alias("profile"))
+    path = f"{shared_dir(spark)}/targets-{uuid.uuid4().hex}.db"
+    found = target_store.read_store(spark, path, sha256=target_store.write_store(given, path), rows=5)
+    return K.select_targets(found, "zz", 2024, "proxy", "state").select("target_id", "value", "geo_level")
+
+
 @query(f"WITH {_CELLS} SELECT target_id, unit, coef FROM m")
 def loss_matrix(spark, sf_dir):
     return _matrix(spark, sf_dir)
