@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from popforge.functions import scalars as S
 from popforge.functions.rng import uniform
 from popforge.operators import calibrate as K
-from popforge.operators import entities, gates, geography, impute, normalize, spine
+from popforge.operators import entities, gates, geography, impute, lineage, normalize, spine
 from popforge.operators import takeup as T
 from popforge.plans import declared, execute
 from popforge.plans.construct import CONTENT
@@ -261,6 +261,21 @@ def allocate_to_members(spark, sf_dir):
     return entities.allocate(rows, "household_id", "balance", F.col("age").cast("double"), ["person_id"], "share").select("person_id", "household_id", "share")
 
 
+@query("WITH g AS (SELECT s_nationkey AS nation, CAST(sum(CAST(round(s_acctbal * 100) AS BIGINT)) AS BIGINT) AS cents FROM supplier GROUP BY 1), m AS (SELECT c_custkey AS household_id, c_nationkey AS nation, cents, CASE WHEN c_nationkey % 5 > 0 THEN c_custkey % 7 ELSE 0 END AS w FROM customer LEFT JOIN g ON nation = c_nationkey), t AS (SELECT *, sum(w) OVER p AS total, count(*) OVER p AS n FROM m WINDOW p AS (PARTITION BY nation)), d AS (SELECT *, CASE WHEN total = 0 THEN n ELSE total END AS whole, abs(cents)::HUGEINT * CASE WHEN total = 0 THEN 1 ELSE w END AS part FROM t), r AS (SELECT *, part // whole AS down, part % whole AS rest FROM d), k AS (SELECT *, row_number() OVER (PARTITION BY nation ORDER BY rest DESC, household_id) AS rank, abs(cents) - sum(down) OVER (PARTITION BY nation) AS left_over FROM r) SELECT household_id, nation, CAST(sign(cents) * (down + CASE WHEN rank <= left_over THEN 1 ELSE 0 END) AS BIGINT) AS cents FROM k")
+def allocate_exactly(spark, sf_dir):
+    """Each nation's cents dealt to its households in whole cents that add up; a fifth of the nations by heads."""
+    cents = donors(spark, sf_dir).groupBy("nation").agg(F.sum(F.round(F.col("donor_balance") * 100).cast("long")).alias("whole"))
+    members = households(spark, sf_dir).join(cents, "nation", "left").withColumn("w", F.when(F.col("nation") % 5 > 0, F.col("household_id") % 7).otherwise(F.lit(0)))
+    return entities.allocate_exact(members, "nation", "whole", "w", "household_id", "cents").select("household_id", "nation", "cents")
+
+
+@query("WITH RECURSIVE e AS (SELECT DISTINCT p_partkey AS node, p_partkey // k AS needs FROM part, (VALUES (2), (3)) v(k) WHERE p_partkey // k > 0), r AS (SELECT node, needs AS origin, 1 AS steps FROM e UNION SELECT r.node, e.needs, steps + 1 FROM r JOIN e ON e.node = r.origin) SELECT node, origin, CAST(min(steps) AS INTEGER) AS steps FROM r GROUP BY ALL")
+def lineage_closure(spark, sf_dir):
+    """All that each part is made from, where a part is made from those at a half and a third of its number."""
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("node"), F.explode(F.array(F.lit(2), F.lit(3))).alias("k"))
+    return lineage.closure(parts.select("node", F.floor(F.col("node") / F.col("k")).alias("needs")).where("needs > 0"))
+
+
 @query(f"WITH {_P} SELECT person_id, household_id, age FROM p")
 def spine_strip(spark, sf_dir):
     return spine.strip(persons(spark, sf_dir), ["person_id", "household_id", "age"])

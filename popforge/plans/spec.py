@@ -158,6 +158,23 @@ def lineage(spark: SparkSession, spec: Spec) -> DataFrame:
     return spark.createDataFrame(rows, "variable string, view string, path string, lines string, symbol string, summary string")
 
 
+def edges(spark: SparkSession, spec: Spec) -> DataFrame:
+    """node, needs: what each variable, step, source and dataset of a spec is directly made from. Nodes are named by their
+    kind, as in variable:age, step:0, source:survey, dataset:orders, code:some/path."""
+    rows = {(f"source:{alias}", f"dataset:{dataset}") for alias, (dataset, _) in spec.sources.items()}
+    rows |= {(f"step:{i}", f"source:{s.source}") for i, s in enumerate(spec.imputation)}
+    rows |= {(f"step:{i}", f"source:{spec.base}") for i, _ in enumerate(spec.imputation)}
+    for v in spec.variables.values():
+        node = f"variable:{v.name}"
+        steps = [i for i, s in enumerate(spec.imputation) if v.kind == "impute" and v.name in s.variables and s.source == v.parameters.get("source")]
+        rows |= {(node, f"step:{i}") for i in steps}
+        rows |= {(node, f"variable:{x}") for x in v.parameters.get("depends_on", ())}
+        if not steps and "source" in v.parameters:
+            rows.add((node, f"source:{v.parameters['source']}"))
+        rows |= {(node, f"code:{path}") for calls in v.provenance.values() for path, *_ in calls if path}
+    return spark.createDataFrame(sorted(rows), "node string, needs string")
+
+
 #: handler or transform name -> builder of a column from (parameters, seed)
 Handlers = Mapping[str, Callable[[Mapping[str, object], int], Column]]
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from popforge.functions import scalars as S
 from popforge.functions.rng import uniform
-from popforge.operators import calibrate, entities, gates, geography, impute, normalize, spine, takeup
+from popforge.operators import calibrate, entities, gates, geography, impute, lineage, normalize, spine, takeup
 from popforge.operators.ranges import RANGE, in_ranges
 from popforge.plans import spec as specs
 from popforge.sources import registry
@@ -229,3 +229,42 @@ def test_spec_loads_covers_and_builds_columns(spark):
 def test_bad_specs_are_refused(old, new):
     with pytest.raises(specs.SpecError):
         specs.load(SPEC.replace(old, new))
+
+
+def test_allocate_exactly_adds_up_by_brute_force(spark):
+    rng = np.random.default_rng(4)
+    amounts = {0: 100, 1: -7, 2: 0, 3: 10**17 + 1, 4: 5, 5: None, None: 9}
+    given = [(k, g, amounts[g], w) for k, g, w in ((k, [0, 1, 2, 3, 4, 5, None][k % 7], None if k % 11 == 0 else int(rng.integers(-2, 9))) for k in range(200))]
+    given = [(k, g, a, 0 if g == 4 else w) for k, g, a, w in given]
+    got = {r.k: r.cents for r in entities.allocate_exact(spark.createDataFrame(given, "k long, g int, a long, w long"), "g", "a", "w", "k", "cents").collect()}
+    want = {k: None for k, *_ in given}
+    for g, a in amounts.items():
+        if g is None or a is None:
+            continue
+        own = {k: max(w or 0, 0) for k, gg, _, w in given if gg == g}
+        own = own if sum(own.values()) else dict.fromkeys(own, 1)
+        down = {k: divmod(abs(a) * w, sum(own.values())) for k, w in own.items()}
+        more = sorted(down, key=lambda k: (-down[k][1], k))[: abs(a) - sum(q for q, _ in down.values())]
+        want |= {k: (1 if a > 0 else -1 if a < 0 else 0) * (q + (k in more)) for k, (q, _) in down.items()}
+        assert sum(want[k] for k in own) == a
+    assert got == want
+
+
+def test_lineage_closure(spark):
+    edges = spark.createDataFrame([("c", "b"), ("b", "a"), ("c", "b"), ("d", "a"), ("d", "c"), (None, "a"), ("a", None)], "node string, needs string")
+    assert rows(lineage.closure(edges)) == [("b", "a", 1), ("c", "a", 2), ("c", "b", 1), ("d", "a", 1), ("d", "b", 2), ("d", "c", 1)]
+    assert rows(lineage.closure(edges.limit(0))) == []
+    for more, looped in ([("a", "a")], "'a'"), ([("a", "d")], "'a', 'd'"):
+        with pytest.raises(lineage.CycleError, match=looped):
+            lineage.closure(edges.union(spark.createDataFrame(more, edges.schema)))
+
+
+def test_lineage_of_a_spec(spark):
+    from popforge.plans import declared
+
+    made_from = {}
+    for r in lineage.closure(specs.edges(spark, declared.load())).collect():
+        made_from.setdefault(r.node, {})[r.origin] = r.steps
+    assert made_from["variable:in_nyc"] == {"variable:county_fips": 1, "source:geography": 2, "code:content/declared.yaml": 1}
+    assert made_from["variable:owes_tax"]["dataset:supplier"] == 3 and made_from["variable:owes_tax"]["dataset:orders"] == 3
+    assert made_from["variable:tip_income"]["dataset:lineitem"] == 2
