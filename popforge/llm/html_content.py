@@ -19,6 +19,7 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -41,7 +42,10 @@ MOST_NAMED, HINT, OUTWARDS = 4.0, 2.5, 0.7
 
 # HTML element names.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
-HIDDEN = frozenset("script style noscript template head title textarea select button svg math iframe object canvas audio video datalist".split())
+HIDDEN = frozenset("script style noscript template head title textarea select button svg annotation annotation-xml iframe canvas audio video datalist".split())
+HEAD = frozenset("head base basefont bgsound link meta title noscript noframes style script template".split())
+FOREIGN = frozenset("svg math".split())
+NESTED = frozenset("template svg annotation-xml".split())
 RAW = frozenset("script style textarea title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BOILER = frozenset("nav header footer aside form menu dialog fieldset".split())
@@ -50,7 +54,7 @@ CONTENT = frozenset("article main".split())
 BOILER_WORDS = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus disclaimer footer form header login menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted related reply replies respond search share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar widget".split())
 CONTENT_WORDS = frozenset("article body content entry main post story text".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'){0,20000}+)>|[^<]+|<", re.DOTALL)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*(?:\"[^\"]*\"|'[^']*')?)*+)>|[^<]+|<", re.DOTALL)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 _SPACE = re.compile(r"\s+")
 _PART = re.compile(r"[a-z]+")
@@ -103,7 +107,10 @@ def _node(number: int, tag: str, attributes: str, around: Node) -> Node:
 def blocks_of(page: str | None) -> list[Block]:
     """The non-empty text blocks of a page, in order, outside scripts, styles and other hidden elements.
 
-    Unclosed and stray tags, comments and elements are tolerated; a null page has no block. Linear in the page.
+    Unclosed and stray tags, comments and elements are tolerated; a null page has no block. Linear in the page. The head ends
+    at its end tag or at the first thing that can't be in it. A hidden element that nothing closes before another of its
+    kind, or at all, ends at the next block. Only void elements, and those within drawings and formulas, close themselves.
+    A quotation mark that is never closed is part of its tag, which ends at the next >.
     """
     page = page or ""
     stack = [Node(0, 0, "", (), None, None)]
@@ -111,6 +118,17 @@ def blocks_of(page: str | None) -> list[Block]:
     out: list[Block] = []
     nodes, links, hidden, at = 1, 0, 0, 0
     now: Block | None = None
+    loose: set[int] = set()  # hidden elements that nothing closes
+    marks: dict[str, tuple[list[int], list[int]]] = {}
+
+    def closed(name: str, at: int) -> bool:
+        """Whether a hidden element that begins before `at` is closed before another of its name begins."""
+        if name not in marks:
+            found = [(m.start(), m.group(1)) for m in re.finditer(f"<(/?){re.escape(name)}(?=[\\s/>])", page, re.IGNORECASE)]
+            marks[name] = [k for k, end in found if not end], [k for k, end in found if end]
+        starts, ends = marks[name]
+        start, end = bisect_left(starts, at), bisect_left(ends, at)
+        return end < len(ends) and (name in NESTED or start == len(starts) or ends[end] < starts[start])
 
     def close() -> None:
         nonlocal now
@@ -122,10 +140,12 @@ def blocks_of(page: str | None) -> list[Block]:
 
     def pop() -> str:
         nonlocal links, hidden
-        tag = stack.pop().tag
+        node = stack.pop()
+        tag = node.tag
         open_[tag] -= 1
         hidden -= tag in HIDDEN
         links -= tag == "a"
+        loose.discard(node.number)
         return tag
 
     size = len(page)
@@ -136,7 +156,11 @@ def blocks_of(page: str | None) -> list[Block]:
         at = m.end()
         token, name = m.group(), m.group(2)
         if name is None:
-            if hidden or token[:2] in ("<!", "<?"):
+            if token[:2] in ("<!", "<?"):
+                continue
+            if stack[-1].tag == "head" and not token.isspace():
+                pop()
+            if hidden:
                 continue
             if token == "<" and page[at : at + 1].isalpha() | (page[at : at + 1] == "/") and page.find(">", at) < 0:
                 break  # the page ends within a tag
@@ -153,11 +177,15 @@ def blocks_of(page: str | None) -> list[Block]:
                 while pop() != name:
                     pass
             continue
+        if stack[-1].tag == "head" and name not in HEAD:
+            pop()
+        while loose and name in BLOCKS and name != "option":
+            pop()
         if name in BLOCKS:
             close()
         elif name == "br" and now is not None:
             now.pieces.append(" ")
-        if name in VOID or m.group(3).endswith("/"):
+        if name in VOID or m.group(3).endswith("/") and (name in FOREIGN or any(open_[f] for f in FOREIGN)):
             continue
         # end tags that may be left out
         if name in BLOCKS and stack[-1].tag == "p":
@@ -169,6 +197,8 @@ def blocks_of(page: str | None) -> list[Block]:
         nodes += 1
         links += name == "a"
         hidden += name in HIDDEN
+        if name in HIDDEN and name not in RAW and name != "head" and not closed(name, at):
+            loose.add(nodes - 1)
         if name in RAW:
             end = re.compile(f"</{name}", re.IGNORECASE).search(page, at)
             at = end.start() if end else size
