@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from popforge.functions.rng import uniform
-from popforge.sources.storage import discard, written
+from popforge.sources.storage import bucketed, discard, fits, written
 
 
 def loss_matrix(units: DataFrame, key: str, cells: dict[str, tuple[Column, Column]]) -> DataFrame:
@@ -121,6 +121,10 @@ def simplex_projection(weights: DataFrame, total: float, bins: int = 1024, round
     return weights.select("unit", F.greatest(F.col("w") - F.lit(float(t)), F.lit(0.0)).alias("w"))
 
 
+#: Targets whose pulls every task may hold, and units of a bucket, at most.
+MOST_TARGETS, BUCKET_UNITS = 100_000, 1_000_000
+
+
 @dataclass(frozen=True)
 class Settings:
     """Calibration parameters. Gates, L0 penalties, rescoring by a model and skipped targets are not supported and refused."""
@@ -154,12 +158,13 @@ def total_loss(scored: DataFrame, delta: float) -> float:
     return bucketed_loss(scored, "bucket", delta).agg(F.coalesce(F.sum("loss"), F.lit(0.0))).first()[0]
 
 
-def gradient(matrix: DataFrame, weights: DataFrame, targets: DataFrame, delta: float) -> DataFrame:
-    """unit, g: gradient of the sum over buckets of mean Huber losses of relative errors."""
+def gradient(matrix: DataFrame, weights: DataFrame, targets: DataFrame, delta: float, few: bool = False) -> DataFrame:
+    """unit, g: gradient of the sum over buckets of mean Huber losses of relative errors. few: the targets are known to be
+    few enough for every task to hold."""
     scored = _scored(matrix, weights, targets).where("residual is not null")
     sizes = scored.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     pull = scored.join(sizes, "bucket").select("target_id", (huber_slope(F.col("residual"), delta) / (F.abs(F.col("value")) * F.col("n"))).alias("pull"))
-    return matrix.join(pull, "target_id").groupBy("unit").agg(F.sum(F.col("coef") * F.col("pull")).alias("g"))
+    return matrix.join(F.broadcast(pull) if few else pull, "target_id").groupBy("unit").agg(F.sum(F.col("coef") * F.col("pull")).alias("g"))
 
 
 def step(weights: DataFrame, slopes: DataFrame, size: float) -> DataFrame:
@@ -168,14 +173,15 @@ def step(weights: DataFrame, slopes: DataFrame, size: float) -> DataFrame:
     return weights.join(slopes, "unit", "left").select("unit", F.greatest(moved, F.lit(0.0)).alias("w"))
 
 
-def curvature(matrix: DataFrame, targets: DataFrame, rounds: int) -> float:
-    """Largest eigenvalue of the quadratic part, by power iteration."""
+def curvature(matrix: DataFrame, targets: DataFrame, rounds: int, buckets: int | None = None, few: bool = False) -> float:
+    """Largest eigenvalue of the quadratic part, by power iteration. buckets: those of units that the matrix lies in."""
     sizes = targets.where("value <> 0").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     scaled = targets.where("value <> 0").join(sizes, "bucket").select("target_id", (F.lit(1.0) / (F.col("value") * F.col("value") * F.col("n"))).alias("s"))
     vector, value = matrix.select("unit").distinct().withColumn("w", F.lit(1.0)), 0.0
     for _ in range(rounds):
-        image = matrix.join(estimates(matrix, vector).join(scaled, "target_id").select("target_id", (F.col("estimate") * F.col("s")).alias("e")), "target_id").groupBy("unit").agg(F.sum(F.col("coef") * F.col("e")).alias("w"))
-        image = written(image)
+        pull = estimates(matrix, vector).join(scaled, "target_id").select("target_id", (F.col("estimate") * F.col("s")).alias("e"))
+        image = matrix.join(F.broadcast(pull) if few else pull, "target_id").groupBy("unit").agg(F.sum(F.col("coef") * F.col("e")).alias("w"))
+        image = bucketed(image, "unit", buckets) if buckets else written(image)
         norm = image.agg(F.sqrt(F.sum(F.col("w") * F.col("w")))).first()[0] or 0.0
         if not norm:
             return 0.0
@@ -188,11 +194,16 @@ def calibrate(matrix: DataFrame, weights: DataFrame, targets: DataFrame, setting
     """Monotone accelerated projected gradient (Beck and Teboulle, 2009) on weights(unit, w) against
     targets(target_id, bucket, value). Returns weights and the loss after each accepted iteration, never rising.
 
-    The matrix stays sparse; each iteration is two grouped joins and writes the unit weights to the shared folder.
+    The matrix stays sparse. It and all weights lie in the same buckets of units, so that an iteration joins and groups by
+    unit without moving a row; what moves is the sums by target, and the targets' pulls to every task where they are
+    MOST_TARGETS at most. Each iteration writes the unit weights to the shared folder.
     """
-    matrix, targets, weights = written(matrix), written(targets), written(weights)  # read in every iteration
+    targets, few = written(targets), fits(targets, MOST_TARGETS)
+    # read in every iteration
+    buckets = max(int(matrix.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-weights.count() // BUCKET_UNITS))
+    matrix, weights = bucketed(matrix, "unit", buckets, deal=True), bucketed(weights, "unit", buckets, deal=True)
     total = weights.agg(F.sum("w")).first()[0] or 0.0
-    bound = curvature(matrix, targets, settings.power_rounds) + settings.lambda_l2
+    bound = curvature(matrix, targets, settings.power_rounds, buckets, few) + settings.lambda_l2
 
     def project(w: DataFrame) -> DataFrame:
         return simplex_projection(w, total) if settings.projection == "simplex" else preserve_total(w, weights)
@@ -205,10 +216,10 @@ def calibrate(matrix: DataFrame, weights: DataFrame, targets: DataFrame, setting
     losses = [loss_of(now)]
     size = 1.0 / bound if bound else 0.0
     for _ in range(settings.max_iter if bound else 0):
-        slopes = gradient(matrix, ahead, targets, settings.delta)
+        slopes = gradient(matrix, ahead, targets, settings.delta, few)
         if settings.lambda_l2:
             slopes = ahead.join(slopes, "unit", "left").select("unit", (F.coalesce("g", F.lit(0.0)) + settings.lambda_l2 * F.col("w")).alias("g"))
-        new = written(project(step(ahead, slopes, size)))
+        new = bucketed(project(step(ahead, slopes, size)), "unit", buckets)
         loss = loss_of(new)
         if loss > losses[-1]:
             if momentum == 1.0:  # a plain step that rises: too long
@@ -221,7 +232,7 @@ def calibrate(matrix: DataFrame, weights: DataFrame, targets: DataFrame, setting
         following = (1 + (1 + 4 * momentum**2) ** 0.5) / 2
         pace = (momentum - 1) / following
         old = [x for x in (ahead, now) if x is not weights]
-        ahead = written(new.join(now.withColumnRenamed("w", "old"), "unit").select("unit", F.greatest(F.col("w") + F.lit(pace) * (F.col("w") - F.col("old")), F.lit(0.0)).alias("w")))
+        ahead = bucketed(new.join(now.withColumnRenamed("w", "old"), "unit").select("unit", F.greatest(F.col("w") + F.lit(pace) * (F.col("w") - F.col("old")), F.lit(0.0)).alias("w")), "unit", buckets)
         discard(*old)
         now, momentum = new, following
         losses.append(loss)

@@ -33,9 +33,24 @@ def written(df: DataFrame) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, column: str, buckets: int, deal: bool = False) -> DataFrame:
+    """The frame written to the shared folder in buckets of a column, sorted within, and read back: joins and groupings by
+    that column with other frames of as many buckets move no rows. deal: the frame isn't dealt by the column yet."""
+    spark = df.sparkSession
+    name = f"popforge_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}"
+    dealt = df.repartition(buckets, column) if deal else df
+    dealt.write.format("parquet").bucketBy(buckets, column).sortBy(column).option("path", path).saveAsTable(name)
+    out = spark.table(name)
+    out._written_to, out._table = path, name
+    return out
+
+
 def discard(*frames: DataFrame) -> None:
-    """Deletes the files of written() frames that nothing will read any more. Other frames are left alone."""
+    """Deletes the files of written() and bucketed() frames that nothing will read any more. Other frames are left alone."""
     for df in frames:
+        if name := getattr(df, "_table", None):
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
         if path := getattr(df, "_written_to", None):
             spark = df.sparkSession
             at = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -135,3 +135,69 @@ def test_weeks_follow_compensation(spark):
     asked = spark.createDataFrame([(1, 0.0), (2, 100.0), (3, None)], "k long, pay double")
     got = {r.k: r.weeks for r in impute.draw_weeks_unemployed(given, asked, "k", "weeks", "pay", trees=4, depth=2, least=2).collect()}
     assert got == {1: 0.0, 2: 52.0, 3: 0.0}
+
+
+def test_an_iteration_moves_target_sums_only(spark):
+    """No row is dealt by unit again once matrix and weights lie in buckets of units."""
+    from popforge.sources.storage import bucketed, discard
+
+    units = spark.range(3000).select("id", (F.col("id") % 40).alias("a"), (F.col("id") % 7).alias("b"))
+    made = calibrate.loss_matrix(units, "id", {"a": (F.col("a"), F.lit(1.0)), "b": (F.col("b"), F.col("id").cast("double"))})
+    matrix = bucketed(made, "unit", 6, deal=True)
+    weights = bucketed(units.select(F.col("id").alias("unit"), F.lit(1.0).alias("w")), "unit", 6, deal=True)
+    targets = calibrate.estimates(made, units.select(F.col("id").alias("unit"), F.lit(2.0).alias("w"))).select("target_id", F.substring("target_id", 1, 1).alias("bucket"), F.col("estimate").alias("value"))
+    targets = targets.cache()
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = calibrate.step(weights, calibrate.gradient(matrix, weights, targets, 1.0, few=True), 0.1)
+        plan = moved._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(target_id" in plan and "Exchange hashpartitioning(unit" not in plan, plan
+        again = bucketed(moved, "unit", 6)
+        ahead = again.join(weights.withColumnRenamed("w", "old"), "unit")
+        assert "Exchange hashpartitioning" not in ahead._jdf.queryExecution().executedPlan().toString()
+        assert again.count() == 3000 and {r.unit: r.w for r in again.collect()} == {r.unit: r.w for r in moved.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    name = matrix._table
+    discard(matrix, weights, again)
+    assert not spark.catalog.tableExists(name)
+
+
+def test_losses_by_brute_force(spark):
+    """The series of losses is that of the same method on dense arrays."""
+    rng = np.random.default_rng(3)
+    n, m = 60, 5
+    dense = rng.random((m, n)) * (rng.random((m, n)) < 0.5)
+    start, value = rng.random(n) + 0.5, None
+    value = dense @ (start * rng.uniform(0.7, 1.4, n))
+    bucket = np.array([0, 0, 1, 1, 1])
+    entries = [(f"t{i}", j, float(dense[i, j])) for i in range(m) for j in range(n) if dense[i, j]]
+    matrix = spark.createDataFrame(entries, "target_id string, unit long, coef double")
+    weights = spark.createDataFrame([(j, float(w)) for j, w in enumerate(start)], "unit long, w double")
+    targets = spark.createDataFrame([(f"t{i}", str(bucket[i]), float(value[i])) for i in range(m)], "target_id string, bucket string, value double")
+    found, losses = calibrate.calibrate(matrix, weights, targets, calibrate.Settings(max_iter=5, power_rounds=3))
+
+    size_of = np.array([(bucket == b).sum() for b in bucket])
+    huber = lambda r: np.where(np.abs(r) <= 1, 0.5 * r * r, np.abs(r) - 0.5)
+    loss = lambda w: float((huber((dense @ w - value) / np.abs(value)) / size_of).sum())
+    slope = lambda w: dense.T @ (np.clip((dense @ w - value) / np.abs(value), -1, 1) / (np.abs(value) * size_of))
+    vector, bound = np.ones(n), 0.0
+    for _ in range(3):
+        image = dense.T @ ((dense @ vector) / (value * value * size_of))
+        bound, vector = np.linalg.norm(image) / np.linalg.norm(vector), image / np.linalg.norm(image)
+    now, ahead, momentum, want, size = start, start, 1.0, [loss(start)], 1 / bound
+    for _ in range(5):
+        new = np.maximum(ahead - size * slope(ahead), 0)
+        new = new * start.sum() / new.sum()
+        if loss(new) > want[-1]:
+            size = size / 2 if momentum == 1.0 else size
+            ahead, momentum = now, 1.0
+            continue
+        following = (1 + (1 + 4 * momentum**2) ** 0.5) / 2
+        ahead = np.maximum(new + (momentum - 1) / following * (new - now), 0)
+        now, momentum = new, following
+        want.append(loss(new))
+    assert np.allclose(losses, want, rtol=1e-9)
+    got = {r.unit: r.w for r in found.collect()}
+    assert np.allclose([got[j] for j in range(n)], now, rtol=1e-9)
