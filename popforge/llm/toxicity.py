@@ -230,8 +230,9 @@ class Restorer:
 
     def core(self, token: str) -> str:
         """A token without what ends a sentence or a quotation and without symbols that only decorate."""
-        if token.isalpha():
-            return token
+        plain = token.rstrip(".!")
+        if plain.isalpha():
+            return plain
         return _DECORATION.sub(" ", token).strip().rstrip(".!-_/'*·").lstrip(".-_/'·")
 
     def joined(self, text: str | None) -> str:
@@ -290,7 +291,8 @@ class Judge:
         self.shared = {t[:-1]: e for t, e in evidence.items() if t.endswith("+")}
         least = min(BEGINNINGS)
         self.heads = {t[:least] for t in evidence}
-        self.bare = {_bare(h) for h in self.heads}
+        self.bare = {_bare(t.removesuffix("+")) for t in evidence}
+        self.bare_lengths = sorted({len(t) for t in self.bare})
         #: token -> the number of its words where they tell nothing, else each word, what it tells, its shared beginnings
         self.known: dict[str, int | list[tuple[str, float, list[str]]]] = {}
 
@@ -304,10 +306,11 @@ class Judge:
 
     def _may_tell(self, word: str) -> bool:
         bare = _bare(word + " ")
-        return any(bare[:k] in self.bare for k in range(1, min(BEGINNINGS) + 1))
+        return any(bare[:k] in self.bare for k in self.bare_lengths)
 
     def token(self, token: str) -> int | list[tuple[str, float, list[str]]]:
         core = self.restorer.core(token)
+        out: int | list[tuple[str, float, list[str]]]
         if core.isalpha():
             if _REPEATED.search(core) and self._may_tell(core):
                 core = self.restorer.token(core)
