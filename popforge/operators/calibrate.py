@@ -55,13 +55,13 @@ def losses_by_split(scored: DataFrame, split: str) -> DataFrame:
 
 def select_targets(targets: DataFrame, country: str, model_year: int, profile: str, scope: str = "all", state: str | None = None) -> DataFrame:
     """Targets of targets(target_id, country, model_year, profile, geo_level, state_fips, ...) that a run asks for: scope
-    "all", "national" or "state", the latter of one state where it is given."""
+    "all", "national" or "state". A state, where it is given, leaves other states' targets out and national ones in."""
     if scope not in ("all", "national", "state"):
         raise ValueError(f"unknown scope {scope!r}")
     found = targets.where((F.col("country") == country) & (F.col("model_year") == model_year) & (F.col("profile") == profile))
     if scope != "all":
         found = found.where(F.col("geo_level") == scope)
-    return found.where(F.col("state_fips") == state) if state is not None else found
+    return found.where((F.col("state_fips") == state) | (F.col("geo_level") == "national")) if state is not None else found
 
 
 def target_counts(cells: DataFrame, levels: Sequence[str]) -> DataFrame:

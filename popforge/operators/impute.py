@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from popforge.functions.rng import uniform
 from popforge.functions.scalars import clipped, zero_where
+from popforge.operators.forest import Forest, Problem, grow, leaf_in, placed
 from popforge.operators.ranges import RANGE, draw, in_ranges, running_sums, shares
-from popforge.sources.storage import written
+from popforge.sources.storage import discard, written
 
 
 @dataclass(frozen=True)
@@ -108,31 +107,78 @@ class ForestSampler:
 
     A recipient's draw picks a tree by a hashed uniform, finds its leaf there, and takes the donor whose share of the
     leaf's weight holds a second uniform: a sample of the weighted conditional distribution that is always an observed
-    row, so zeros, booleans and the joint distribution survive. Fitting depends on data layout, which is pinned;
-    drawing does not.
+    row, so zeros, booleans and the joint distribution survive. Neither fitting nor drawing depends on data layout.
     """
 
-    def __init__(self, predictors: Sequence[str], target: str, key: str, weight: str | None = None, trees: int = 20, depth: int = 6, least: int = 5, seed: int = 20260529, partitions: int = 16):
+    def __init__(self, predictors: Sequence[str], target: str, key: str, weight: str | None = None, trees: int = 20, depth: int = 6, least: int = 5, seed: int = 20260529):
         self.predictors, self.target, self.key, self.weight = list(predictors), target, key, weight
-        self.trees, self.depth, self.least, self.seed, self.partitions = trees, depth, least, seed, partitions
-
-    def fit(self, donors: DataFrame) -> ForestSampler:
-        pinned = donors.repartition(self.partitions, self.key).sortWithinPartitions(self.key)
-        forest = RandomForestRegressor(featuresCol="_features", labelCol=self.target, leafCol="_leaves", numTrees=self.trees, maxDepth=self.depth, minInstancesPerNode=self.least, seed=self.seed)
-        if self.weight:
-            forest = forest.setWeightCol(self.weight)
-        assembler = VectorAssembler(inputCols=self.predictors, outputCol="_features")
-        self.model = PipelineModel([assembler, forest.fit(assembler.transform(pinned))])
+        self.trees, self.depth, self.least, self.seed = trees, depth, least, seed
+
+    def fit(self, donors: DataFrame, grown: Forest | None = None) -> ForestSampler:
+        """grown: a forest of these donors that has been grown already, as with those of other targets."""
+        self.forest = grown or grow(donors, [Problem(self.target, tuple(self.predictors), self.seed)], self.key, self.weight, self.trees, self.depth, self.least)[0]
         weight = F.col(self.weight).cast("double") if self.weight else F.lit(1.0)
-        leaves = self.model.transform(donors).select(F.col(self.key).alias("_donor"), weight.alias("_w"), F.posexplode(vector_to_array("_leaves")).alias("_tree", "_leaf"))
-        self.leaves = written(shares(leaves, ["_tree", "_leaf"], "_donor", "_w"))
+        rows = donors.where(F.col(self.target).isNotNull()).withColumns({"_donor": F.col(self.key), "_w": weight})
+        self.leaves = written(shares(placed(rows, self.forest, ["_donor", "_w"]), ["_tree", "_leaf"], "_donor", "_w"))
         return self
 
     def draw(self, recipients: DataFrame, key: str, donor: str = "donor_id") -> DataFrame:
         """key, donor for each recipient, by a join on tree, leaf and the part of the leaf that the uniform falls in."""
-        placed = self.model.transform(recipients).withColumn("_tree", F.floor(uniform(f"{self.seed}:tree", key) * self.trees).cast("int"))
-        placed = placed.select(F.col(key), "_tree", F.get(vector_to_array("_leaves"), F.col("_tree")).alias("_leaf"), uniform(f"{self.seed}:donor", key).alias("_u"))
-        return draw(placed, "_u", ["_tree", "_leaf"], self.leaves, "_donor").select(key, F.col("_donor").alias(donor))
+        asked = recipients.withColumn("_u", uniform(f"{self.seed}:donor", key))
+        at = leaf_in(asked, self.forest, F.floor(uniform(f"{self.seed}:tree", key) * self.trees), [key, "_u"])
+        return draw(at, "_u", ["_tree", "_leaf"], self.leaves, "_donor").select(key, F.col("_donor").alias(donor))
+
+
+#: Values of a leaf's sketch: ranks of quantiles are off by 1 / SKETCH at most.
+SKETCH = 64
+
+
+def leaf_sketches(leaves: DataFrame, points: int = SKETCH) -> DataFrame:
+    """_tree, _leaf, values: of leaves(_tree, _leaf, _donor, _y, _w) the weighted quantiles of _y at the middles of `points`
+    equal parts, repeated values as often as they hold a middle, so always `points` values. Leaves of any size are cut into
+    ranges of values."""
+    summed = running_sums(leaves.where("_w > 0 and _y is not null"), ["_tree", "_leaf"], ["_y", "_donor"], "_w", "_upto", "_total")
+    # middles (i + 0.5) / points below a share: the number of i that fit
+    below = lambda share: F.least(F.ceil(share * points - 0.5 - 1e-9), F.lit(points)).cast("int")
+    last = F.when(F.col("_upto") >= F.col("_total") * (1 - 1e-12), F.lit(points)).otherwise(below(F.col("_upto") / F.col("_total")))
+    held = summed.withColumn("_n", last - F.greatest(below((F.col("_upto") - F.col("_w")) / F.col("_total")), F.lit(0))).where("_n > 0")
+    lists = held.groupBy("_tree", "_leaf").agg(F.sort_array(F.collect_list(F.struct("_y", "_n"))).alias("of"))
+    return lists.select("_tree", "_leaf", F.flatten(F.transform("of", lambda x: F.array_repeat(x["_y"], x["_n"]))).alias("values"))
+
+
+def forest_quantiles(donors: Donors, recipients: DataFrame, key: str, target: str, predictors: Sequence[str], quantiles: Mapping[str, float], trees: int = 20, depth: int = 6, least: int = 5, seed: int = 20260529) -> DataFrame:
+    """key and a column for each quantile (name -> q) of the target's conditional distribution: donors count by their share of
+    weight in the recipient's leaf, averaged over the trees (Meinshausen, 2006). The rank of the value given is off by
+    1 / SKETCH at most.
+
+    A leaf is known by SKETCH values and there are trees x 2 ** depth leaves at most, whatever the number of donors, so every
+    task may hold all of them, and recipients are not moved. Missing predictors count 0. Without donors: nulls.
+    """
+    weight = [donors.weight] if donors.weight else []
+    number = lambda df: [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x_{c}") for c in predictors]
+    given = written(donors.rows.where(F.col(target).isNotNull()).select(donors.key, *weight, F.col(target).cast("double").alias("_y"), *number(donors.rows)))
+    names = tuple(f"_x_{c}" for c in predictors)
+    (grown,) = grow(given, [Problem("_y", names, seed)], donors.key, donors.weight, trees, depth, least)
+    w = F.col(donors.weight).cast("double") if donors.weight else F.lit(1.0)
+    leaves = placed(given.withColumns({"_donor": F.col(donors.key), "_w": w}), grown, ["_donor", "_y", "_w"])
+    known = {(r["_tree"], r["_leaf"]): r["values"] for r in leaf_sketches(leaves).collect()}
+    discard(given)
+    nodes = 2 ** (depth + 1) - 1
+    held = np.full((trees, nodes, SKETCH), np.nan)
+    for at, values in known.items():
+        held[at] = values
+    levels = list(quantiles.values())
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            bins = grown.bins(f)
+            found = np.sort(np.concatenate([held[t, grown.leaves(bins, t)] for t in range(trees)], axis=1), axis=1)
+            rank = [min(max(int(np.ceil(q * found.shape[1] - 1e-9)) - 1, 0), found.shape[1] - 1) for q in levels]
+            yield pd.concat([f[[key]], pd.DataFrame(found[:, rank], columns=list(quantiles), index=f.index)], axis=1)
+
+    fields = f"{key} {dict(recipients.dtypes)[key]}, " + ", ".join(f"`{n}` double" for n in quantiles)
+    out = recipients.select(key, *number(recipients)).mapInPandas(run, fields)
+    return out.select(key, *[F.nanvl(n, F.lit(None).cast("double")).alias(n) for n in quantiles])
 
 
 @dataclass(frozen=True)
@@ -146,21 +192,26 @@ class Donors:
 
 def forest_draws(donors: Donors, recipients: DataFrame, key: str, variables: Sequence[str], predictors: Sequence[str], trees: int = 20, depth: int = 6, least: int = 5, seed: int = 20260529) -> DataFrame:
     """key and a draw of each variable, in the order given: each has a forest of its own, fitted on the predictors and on
-    the variables drawn before it, so that draws of one recipient go together. Values are donors' own, booleans too.
+    the variables drawn before it, so that draws of one recipient go together. Values are donors' own, booleans too. What
+    forests are fitted on is donors' own too, so they all grow together; only draws wait for each other.
 
     Missing predictors count 0. Each forest's draws are written, so a long list of variables makes no long plan.
     """
-    given, asked, have = donors.rows, recipients.select(key, *predictors), list(predictors)
+    names = list(dict.fromkeys([*predictors, *variables]))
     weight = [donors.weight] if donors.weight else []
-    number = lambda df, names: [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x_{c}") for c in names]
-    for k, v in enumerate(variables):
-        known = given.where(F.col(v).isNotNull())
-        rows = known.select(donors.key, *weight, F.col(v).cast("double").alias("_y"), *number(given, have))
-        sampler = ForestSampler([f"_x_{c}" for c in have], "_y", donors.key, donors.weight, trees, depth, least, seed + k).fit(rows)
-        drawn = sampler.draw(asked.select(key, *number(asked, have)), key, "_donor")
-        side = known.select(F.col(donors.key).alias("_donor"), F.col(v))
-        asked = written(asked.join(drawn.join(side, "_donor", "left").select(key, v), key, "left"))
-        have.append(v)
+    number = lambda df, of: [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x_{c}") for c in of]
+    given = written(donors.rows.select(donors.key, *weight, *variables, *[F.col(v).cast("double").alias(f"_y_{v}") for v in variables], *number(donors.rows, names)))
+    before = [[*predictors, *variables[:k]] for k in range(len(variables))]
+    problems = [Problem(f"_y_{v}", tuple(f"_x_{c}" for c in dict.fromkeys(have)), seed + k) for k, (v, have) in enumerate(zip(variables, before, strict=True))]
+    forests = grow(given, problems, donors.key, donors.weight, trees, depth, least)
+    asked = recipients.select(key, *predictors)
+    for v, have, problem, grown in zip(variables, before, problems, forests, strict=True):
+        sampler = ForestSampler(problem.predictors, problem.target, donors.key, donors.weight, trees, depth, least, problem.seed).fit(given, grown)
+        drawn = sampler.draw(asked.select(key, *number(asked, dict.fromkeys(have))), key, "_donor")
+        side = given.select(F.col(donors.key).alias("_donor"), F.col(v))
+        last, asked = asked, written(asked.drop(v).join(drawn.join(side, "_donor", "left").select(key, v), key, "left"))
+        discard(last, sampler.leaves)
+    discard(given)
     return asked.select(key, *variables)
 
 

@@ -16,7 +16,7 @@ from popforge.functions.rng import uniform
 from popforge.operators import calibrate as K
 from popforge.operators import entities, gates, geography, impute, lineage, normalize, spine
 from popforge.operators import takeup as T
-from popforge.plans import declared, execute
+from popforge.plans import declared, execute, scoring
 from popforge.plans.construct import CONTENT
 from popforge.plans.construct import construct as construct_all
 from popforge.plans.proxy import SEED, SOURCES, donors, households, persons, table
@@ -379,6 +379,14 @@ def net_worth_rebalance(spark, sf_dir):
     return found.select("l_orderkey", *[c.alias(name) for name, c in scaled.items()])
 
 
+@query()
+def forest_quantile(spark, sf_dir):
+    """household_id, lower, median, upper of the donors' balance given nation and size; within 1/64 of their ranks, so without SQL."""
+    given = donors(spark, sf_dir).withColumn("size", F.col("donor_id") % 3)
+    asked = households(spark, sf_dir).select("household_id", "nation", (F.col("household_id") % 3).alias("size"))
+    return impute.forest_quantiles(impute.Donors(given, "donor_id", "donor_weight"), asked, "household_id", "donor_balance", ["nation", "size"], {"lower": 0.25, "median": 0.5, "upper": 0.75}, trees=10, depth=5, least=2)
+
+
 @query()
 def qrf_sample(spark, sf_dir):
     """household_id, donor_id drawn from forest leaves; no SQL form."""
@@ -596,6 +604,21 @@ def target_select(spark, sf_dir):
     return K.select_targets(given, "zz", 2024, "proxy", "state").select("target_id", "value")
 
 
+_PARTS = "SELECT target_id, CASE WHEN bucket = 'region' THEN 'state' ELSE 'national' END AS geo_level, residual, CASE WHEN abs(residual) <= 1 THEN 0.5 * residual * residual ELSE abs(residual) - 0.5 END / count(*) OVER (PARTITION BY bucket) AS part FROM {} WHERE residual IS NOT NULL"
+
+
+@query(f"WITH {_SCORED}, late AS (SELECT target_id, split_part(target_id, '/', 1) AS bucket, (sum(coef * (w + 1)) - sum(coef * 4.0)) / nullif(abs(sum(coef * 4.0)), 0) AS residual FROM m GROUP BY target_id), b AS ({_PARTS.format('s')}), a AS ({_PARTS.format('late')}), h AS (SELECT *, {_u('target_id')} < 0.2 AS held FROM a), f AS (SELECT 'initial_loss' AS name, 0.9::DOUBLE AS baseline, true AS less, (SELECT coalesce(sum(part), 0) FROM b) AS candidate UNION ALL SELECT 'total_loss', 1.2, true, coalesce(sum(part), 0) FROM h UNION ALL SELECT 'train_loss', 0.6, true, coalesce(sum(part) FILTER (NOT held), 0) FROM h UNION ALL SELECT 'holdout_loss', 0.4, true, coalesce(sum(part) FILTER (held), 0) FROM h UNION ALL SELECT 'unweighted_msre', 0.5, true, coalesce(avg(residual * residual), 0) FROM h UNION ALL SELECT 'n_national_targets', 5, false, count(*) FILTER (geo_level = 'national') FROM h UNION ALL SELECT 'n_state_targets', 5, false, count(*) FILTER (geo_level = 'state') FROM h UNION ALL SELECT 'n_targets_kept', 10, false, count(*) FROM h), p AS (SELECT 'balance' AS name, 100000.0::DOUBLE AS baseline, sum(CAST(floor(abs(balance) * 100) AS BIGINT)) / 100.0::DOUBLE AS candidate, count(*) FILTER (balance <> 0) > 0 AS passed FROM hh UNION ALL SELECT 'nothing', 1.0, 0.0, false) SELECT 'measure' AS kind, name, baseline, candidate, candidate - baseline AS delta, CASE WHEN less THEN candidate <= baseline ELSE candidate = baseline END AS passed FROM f UNION ALL SELECT 'column', name, baseline, candidate, candidate - baseline, passed FROM p")
+def score_against_baseline(spark, sf_dir):
+    """A candidate, every weight one more than before, held against the figures of content/scoring.json."""
+    frozen = manifests.load_scoring((CONTENT / "scoring.json").read_text())
+    level = F.when(F.col("bucket") == "region", "state").otherwise(F.lit("national"))
+    scored = lambda weights: K._scored(_matrix(spark, sf_dir), weights, _targets(spark, sf_dir)).withColumn("geo_level", level)
+    before = _weights(spark, sf_dir)
+    figures = scoring.measured(scored(before), scored(before.withColumn("w", F.col("w") + 1)), frozen.holdout_fraction, frozen.holdout_seed, frozen.settings.delta)
+    profile = gates.sanity_profile(households(spark, sf_dir).select("balance", F.lit(0.0).alias("nothing")), ["balance", "nothing"])
+    return scoring.verdict(figures, profile, frozen)
+
+
 @query(f"WITH {_SCORED} SELECT target_id, value, 'state' AS geo_level FROM s WHERE bucket = 'region'")
 def target_store_select(spark, sf_dir):
     """Targets written to a store, read back by ranges of row ids once the fingerprint is found right, and selected."""
