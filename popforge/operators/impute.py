@@ -200,15 +200,17 @@ def forest_draws(donors: Donors, recipients: DataFrame, key: str, variables: Seq
     names = list(dict.fromkeys([*predictors, *variables]))
     weight = [donors.weight] if donors.weight else []
     number = lambda df, of: [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x_{c}") for c in of]
-    given = written(donors.rows.select(donors.key, *weight, *variables, *[F.col(v).cast("double").alias(f"_y_{v}") for v in variables], *number(donors.rows, names)))
+    # rows that share a key are donors of their own; rows that are equal in all are told apart by nothing and needn't be
+    every = F.concat_ws("-", F.col(donors.key).cast("string"), F.xxhash64(*[F.col(c) for c in (*weight, *names)]).cast("string")).alias("_row")
+    given = written(donors.rows.select(every, *weight, *variables, *[F.col(v).cast("double").alias(f"_y_{v}") for v in variables], *number(donors.rows, names)))
     before = [[*predictors, *variables[:k]] for k in range(len(variables))]
     problems = [Problem(f"_y_{v}", tuple(f"_x_{c}" for c in dict.fromkeys(have)), seed + k) for k, (v, have) in enumerate(zip(variables, before, strict=True))]
-    forests = grow(given, problems, donors.key, donors.weight, trees, depth, least)
+    forests = grow(given, problems, "_row", donors.weight, trees, depth, least)
     asked = recipients.select(key, *predictors)
     for v, have, problem, grown in zip(variables, before, problems, forests, strict=True):
-        sampler = ForestSampler(problem.predictors, problem.target, donors.key, donors.weight, trees, depth, least, problem.seed).fit(given, grown)
+        sampler = ForestSampler(problem.predictors, problem.target, "_row", donors.weight, trees, depth, least, problem.seed).fit(given, grown)
         drawn = sampler.draw(asked.select(key, *number(asked, dict.fromkeys(have))), key, "_donor")
-        side = given.select(F.col(donors.key).alias("_donor"), F.col(v))
+        side = given.groupBy(F.col("_row").alias("_donor")).agg(F.first(v).alias(v))
         last, asked = asked, written(asked.drop(v).join(drawn.join(side, "_donor", "left").select(key, v), key, "left"))
         discard(last, sampler.leaves)
     discard(given)

@@ -450,6 +450,45 @@ def source_block_impute(spark, sf_dir):
     return impute.forest_draws(impute.Donors(given, "person_id", "weight"), asked, "household_id", block.targets, block.predictors, trees=10, depth=5, least=2)
 
 
+_PANEL_SCHEMA = "SSUID long, MONTHCODE int, PNUM long, TAGE double, ESEX int, TXAMT1 double, TXAMT2 double, TOTAL double, VAL_BANK double, VAL_STOCK double, VAL_BOND double, CARS int, VAL_CARS double, W double"
+
+
+def _panel(spark, sf_dir):
+    """Line items written as a delimited survey of person-months; the folder. Half of the tips are missing."""
+    at = lambda name: F.col(f"l_{name}")
+    rows = table(spark, sf_dir, "lineitem").select(
+        at("orderkey").alias("SSUID"), F.month("l_shipdate").alias("MONTHCODE"), at("linenumber").alias("PNUM"), at("quantity").alias("TAGE"), (1 + at("linenumber") % 2).alias("ESEX"),
+        F.when(at("linenumber") % 2 == 0, F.round(at("tax") * 100)).alias("TXAMT1"), F.round(at("discount") * 100).alias("TXAMT2"), F.floor("l_extendedprice").alias("TOTAL"),
+        F.floor(at("extendedprice") / 7).alias("VAL_BANK"), F.when(at("quantity") > 25, F.floor(at("extendedprice") / 3)).otherwise(F.lit(0)).alias("VAL_STOCK"), F.when(at("quantity") > 40, F.lit(500)).otherwise(F.lit(0)).alias("VAL_BOND"),
+        (at("linenumber") % 3).alias("CARS"), (at("linenumber") % 3 * 4000).alias("VAL_CARS"), (1 + at("linenumber") % 3).alias("W"),
+    )
+    folder = f"{shared_dir(spark)}/panel-{uuid.uuid4().hex}"
+    rows.write.csv(f"{folder}/panel.csv", sep="|", header=True)
+    return folder
+
+
+@query("WITH r AS (SELECT l_orderkey || '-' || month(l_shipdate) AS household_id, l_orderkey || '-' || month(l_shipdate) || '-' || l_linenumber AS person_id, CAST(floor(l_quantity) AS INTEGER) AS age, floor(l_extendedprice) * 12.0 AS wages, floor(l_extendedprice) AS income, 12.0 * (CASE WHEN l_linenumber % 2 = 0 THEN round(l_tax * 100) ELSE 0 END + round(l_discount * 100)) AS tip_income, CAST(1 + l_linenumber % 3 AS DOUBLE) AS weight FROM lineitem) SELECT *, count(*) FILTER (age < 18) OVER (PARTITION BY household_id) AS count_under_18 FROM r")
+def delimited_block(spark, sf_dir):
+    """Person-months of a delimited survey, read and normalised by their manifest."""
+    block = _blocks()["tips"]
+    rows = block.build(block.read(spark, _panel(spark, sf_dir), _PANEL_SCHEMA))
+    return rows.select("household_id", "person_id", "age", "wages", "income", "tip_income", "weight", "count_under_18")
+
+
+@query()
+def blocks_impute(spark, sf_dir):
+    """household_id and the eight targets of four blocks, two of them delimited, drawn by forests; no SQL form."""
+    blocks, folder = _blocks(), _panel(spark, sf_dir)
+    homes = households(spark, sf_dir)
+    asked = homes.select("household_id", "nation", (F.abs("balance") * 12).alias("wages"), (F.col("household_id") % 50).cast("double").alias("age"), (F.col("household_id") % 2 == 0).alias("is_female"), (F.col("household_id") % 3).alias("count_under_18"), (F.col("household_id") % 3).alias("tenure"), (F.col("household_id") % 5).alias("household_size"))
+    raw = {"homes": (persons(spark, sf_dir), homes), "wealth": (donors(spark, sf_dir),)} | {name: (blocks[name].read(spark, folder, _PANEL_SCHEMA),) for name in ("tips", "holdings")}
+    out = homes.select("household_id")
+    for name, frames in raw.items():
+        rows = blocks[name].build(*frames, order=["donor_id"] if blocks[name].generated_ids else ())
+        out = out.join(blocks[name].draw(rows, asked, "household_id", trees=5, depth=4, least=2), "household_id")
+    return out
+
+
 @query()
 def construct(spark, sf_dir):
     """The whole plan, from specification to gated export; no SQL form."""

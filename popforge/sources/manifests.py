@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from popforge.operators.calibrate import Settings
 from popforge.operators.entities import household_counts
 from popforge.operators.gates import Contract
+from popforge.operators.impute import Donors, forest_draws
 from popforge.operators.normalize import Block, normalize, split_entities
 from popforge.sources.registry import Observation, household_rows, read_delimited, single_person_households
 
@@ -105,6 +106,16 @@ class SourceBlock:
         return rows.select(*[c for c in ("person_id", "household_id", "weight") if c in rows.columns], *numbers)
 
 
+    def draw(self, rows: DataFrame, recipients: DataFrame, key: str, derived: Mapping[str, Column] | None = None, **forest) -> DataFrame:
+        """key and every target of the block, drawn for recipients(key, predictors) from the block's canonical rows, one after
+        the other, so that the targets of one recipient go together."""
+        given = self.model_frame(rows, derived)
+        missing = [c for c in self.predictors if c not in recipients.columns]
+        if missing:
+            raise ManifestError(f"{self.name}: recipients lack {missing}")
+        return forest_draws(Donors(given, "person_id", "weight" if "weight" in given.columns else None), recipients, key, self.targets, self.predictors, **forest)
+
+
 def _counts(names: Sequence[str]) -> dict[str, int]:
     out = {}
     for name in names:

@@ -113,3 +113,18 @@ def test_imputed_values_are_donors_own(spark):
     assert {r.household_id for r in found} == set(homes) and {r.net_worth for r in found} <= donors
     for r in QUERIES["weeks_unemployed"](spark, DATA).collect():
         assert r.weeks == 0 if r.compensation == 0 else 0 <= r.weeks <= 52
+
+
+@needs_data
+def test_blocks_give_all_their_targets_from_donors_own_values(spark):
+    from popforge.plans.queries import _blocks
+
+    got = QUERIES["blocks_impute"](spark, DATA).toPandas()
+    targets = [t for name in ("homes", "wealth", "tips", "holdings") for t in _blocks()[name].targets]
+    assert sorted(got.columns) == sorted(["household_id", *targets]) and len(targets) == 8
+    assert len(got) == spark.read.parquet(f"{DATA}/customer.parquet").count() and not got.isna().any().any()
+    lines = spark.read.parquet(f"{DATA}/lineitem.parquet").where("month(l_shipdate) = 12").toPandas()
+    assert set(got.bank_assets) <= set((lines.l_extendedprice // 7).tolist())
+    # targets of one recipient go together: by chance a third of them would
+    assert set(got.vehicles_owned) <= {0, 1, 2} and (got.vehicles_value == 4000 * got.vehicles_owned).mean() > 0.6
+    assert set(got.tip_income) <= {12.0 * k for k in range(30)} and got.net_worth.isin(spark.read.parquet(f"{DATA}/supplier.parquet").toPandas().s_acctbal).all()

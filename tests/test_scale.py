@@ -201,3 +201,10 @@ def test_losses_by_brute_force(spark):
     assert np.allclose(losses, want, rtol=1e-9)
     got = {r.unit: r.w for r in found.collect()}
     assert np.allclose([got[j] for j in range(n)], now, rtol=1e-9)
+
+
+def test_donors_that_share_a_key_are_donors_of_their_own(spark):
+    given = spark.createDataFrame([(k % 3, k % 4, float(k % 10), 1.0) for k in range(80)] + [(1, 0, 0.0, 1.0)] * 5, "d long, cell int, pay double, w double")
+    asked = spark.range(300).select(F.col("id").alias("k"), (F.col("id") % 4).cast("int").alias("cell"))
+    got = impute.forest_draws(impute.Donors(given, "d", "w"), asked, "k", ["pay"], ["cell"], trees=4, depth=3, least=2).collect()
+    assert sorted(r.k for r in got) == list(range(300)) and {r.pay for r in got} == {float(k) for k in range(10)}
