@@ -62,11 +62,13 @@ def statistics(text: str | None) -> tuple[int, ...]:
 
 def feature_matrix(stats: pd.DataFrame) -> np.ndarray:
     """Scale-free forest features of the statistics: shares a word or a line, square roots of those that are
-    mostly small. Documents without words are all zeros."""
+    mostly small, r / (r + 0.5) of the stops a word, which have a long tail: each grows with its share everywhere.
+    Documents without words are all zeros."""
     n = np.maximum(stats["n_words"].to_numpy(float), 1)
     lines = np.maximum(stats["n_lines"].to_numpy(float), 1)
     ratio = lambda c, d: stats[c].to_numpy(float) / d
-    return np.stack([ratio("word_chars", n), np.sqrt(ratio("n_symbols", n)), np.sqrt(ratio("n_dup_lines", lines)), np.sqrt(ratio("n_repeat_words", n)), np.minimum(ratio("n_stops", n), 0.5)], axis=1)
+    stops = ratio("n_stops", n)
+    return np.stack([ratio("word_chars", n), np.sqrt(ratio("n_symbols", n)), np.sqrt(ratio("n_dup_lines", lines)), np.sqrt(ratio("n_repeat_words", n)), stops / (stops + 0.5)], axis=1)
 
 
 def average_path(n: float) -> float:

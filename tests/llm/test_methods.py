@@ -250,3 +250,12 @@ def test_proximity_by_brute_force(spark):
                 if w[p] in distinct and distinct <= set(w[p : p + len(distinct) + slop]):
                     want.add((i, p, max(p + w[p:].index(x) for x in distinct)))
         assert got == want, (phrase, slop)
+
+
+def test_no_quality_statistic_has_a_dead_zone():
+    import pandas as pd
+
+    base = {"n_words": 100, "word_chars": 500, "n_symbols": 5, "n_dup_lines": 3, "n_repeat_words": 7, "n_lines": 50, "n_stops": 10}
+    for column, k in (("word_chars", 0), ("n_symbols", 1), ("n_dup_lines", 2), ("n_repeat_words", 3), ("n_stops", 4)):
+        rows = quality_rules.feature_matrix(pd.DataFrame([base | {column: v} for v in (0, 1, 2, 10, 40, 50, 60, 100, 400)]))[:, k]
+        assert (np.diff(rows) > 0).all()
