@@ -393,8 +393,8 @@ def _evidence(restored: DataFrame) -> dict[str, float]:
             counts: tuple[Counter, Counter] = (Counter(), Counter())
             for text, toxic in zip(f["text"], f["toxic"], strict=True):
                 counts[int(toxic)].update(terms(set(_WORD.findall(text))))
-            for kind, of in enumerate(counts):
-                yield pd.DataFrame({"term": list(of), "t": [n * kind for n in of.values()], "n": [n * (1 - kind) for n in of.values()]})
+            # rows with columns named: of a batch without texts of a kind, a dict's empty columns would be numbers, no strings
+            yield pd.DataFrame([(term, n * kind, n * (1 - kind)) for kind, of in enumerate(counts) for term, n in of.items()], columns=["term", "t", "n"])
 
     found = mapped(restored, run, "term string, t long, n long").groupBy("term").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
     all_n, all_t = restored.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()

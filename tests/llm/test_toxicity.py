@@ -126,6 +126,16 @@ def test_labels_that_teach_nothing(spark, corpus):
     assert sum(found[r.doc_id] == r.toxic for r in labels.collect()) >= 980
 
 
+def test_batches_of_one_kind(spark):
+    """Evidence doesn't depend on which labelled texts come together, nor on batches without toxic ones, others or words."""
+    rows = [(k, "idiot house" if k < 20 else "river house" if k < 60 else "1984", int(k < 20)) for k in range(80)]
+    schema = "doc_id long, text string, toxic int"
+    # in four partitions: of toxic texts, of others twice, of texts without words
+    apart = toxicity._evidence(spark.createDataFrame(spark.sparkContext.parallelize(rows, 4), schema))
+    together = toxicity._evidence(spark.createDataFrame(rows, schema).coalesce(1))
+    assert apart == together and apart["idiot "] > 0 and "house " not in apart
+
+
 def test_held_out_labels(spark):
     """Only labels outside the held-out third are read, and those of the third are met."""
     got = QUERIES["op11_toxicity"](spark, DATA).join(spark.read.parquet(f"{DATA}/labels.parquet"), "doc_id").toPandas()
