@@ -100,6 +100,21 @@ def test_suffix_dedup_keeps_the_kept_bytes(spark):
     assert out == {0: b"0", 1: b"1"}
 
 
+@pytest.mark.parametrize("size", [399, 400])
+def test_passages_of_over_50_words_below_400_bytes_stay(spark, size):
+    passage = " ".join(f"w{k:05d}" for k in range(57)).ljust(size, "x")
+    docs = frame(spark, [f"{i}{passage}{i}" for i in range(2)])
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert got == dict.fromkeys(range(2), (size + 2, 400, 1) if size == 400 else (size + 2, 0, 0))
+    # the other repeat remover counts words
+    assert {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(docs).collect()} == {0: 0, 1: 55}
+
+
+def test_passages_of_49_words_stay(spark):
+    texts = [" ".join(f"u{i}.{p} " + " ".join(f"w{p}.{k}" for k in range(49)) for p in range(10)) for i in range(2)]
+    assert {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.remove_repeats(frame(spark, texts)).collect()} == {0: (500, 0), 1: (500, 0)}
+
+
 def test_suffix_order_survives_hash_collisions(monkeypatch):
     rng = np.random.default_rng(0)
     matrix, lengths, group = rng.integers(97, 99, (40, 12)).astype(np.uint8), np.full(40, 12), rng.integers(0, 3, 40)
