@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from popforge.llm import context_tree, decontamination, graph, html_content, jaccard_join, language_id, mixing, pii, quality_rules, repeats, substring_dedup, suffix_dedup
+from popforge.llm.shared import written
 from popforge.llm.textarrays import chunks, joined, words
 
 SCHEMA = "doc_id long, text string, lang string, source string, row string, h string, size int, score double"
@@ -115,6 +116,22 @@ def test_passages_of_49_words_stay(spark):
     assert {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.remove_repeats(frame(spark, texts)).collect()} == {0: (500, 0), 1: (500, 0)}
 
 
+@pytest.mark.parametrize("operator", [suffix_dedup, substring_dedup])
+def test_repeats_write_few_tables(spark, monkeypatch, operator):
+    """Each file written starts a process on a local file system, which for a moment shows the executor's memory twice."""
+    tables = []
+    monkeypatch.setattr(repeats, "written", lambda df: tables.append(df.columns) or written(df))
+    text = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n))
+    shared = text(0, 120)
+    # classes that differ but share windows: all steps are taken
+    texts = [f"{text(k, 60)} {shared} {text(10 + k, 60)}" for k in range(1, 5)]
+    rows = {r[0]: tuple(r) for r in operator.remove_repeats(frame(spark, texts)).collect()}
+    # of bytes also "x59 " before and " w1" after the shared words
+    assert [rows[k][2] for k in range(4)] == ([0, 120, 120, 120] if operator is substring_dedup else [len(shared) + 7] * 4)
+    assert ["group", "context", "check", "first_doc", "size", "low", "high", "tokens"] in tables
+    assert len(tables) <= 6, tables
+
+
 def test_suffix_order_survives_hash_collisions(monkeypatch):
     rng = np.random.default_rng(0)
     matrix, lengths, group = rng.integers(97, 99, (40, 12)).astype(np.uint8), np.full(40, 12), rng.integers(0, 3, 40)
