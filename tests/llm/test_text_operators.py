@@ -132,6 +132,16 @@ def test_repeats_write_few_tables(spark, monkeypatch, operator):
     assert len(tables) <= 6, tables
 
 
+def test_repeats_without_broadcasts(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT_CLASSES", 1)
+    monkeypatch.setattr(repeats, "BROADCAST_ROWS", 0)
+    texts = corpus(2)
+    got = {r[0]: tuple(r)[1:] for r in suffix_dedup.remove_repeats(frame(spark, texts), 100, 16).collect()}
+    assert got == dict(enumerate(removed_bytes(texts, 100)))
+    got = collections.Counter(tuple(r) for r in substring_dedup.remove_repeats(frame(spark, texts), 20, 4).collect())
+    assert got == collections.Counter(removed_words(list(enumerate(texts)), 20))
+
+
 def test_suffix_order_survives_hash_collisions(monkeypatch):
     rng = np.random.default_rng(0)
     matrix, lengths, group = rng.integers(97, 99, (40, 12)).astype(np.uint8), np.full(40, 12), rng.integers(0, 3, 40)
