@@ -9,7 +9,8 @@ until each component holds together, and pairs already connected are not compare
 3. Classes that can link are brought together. With sizes n and m, linked sets differ in at most
    (n + m) * (100 - p) / (100 + p) shingles. The hash range is cut into more parts than that, so linked sets
    agree in a whole part; classes are joined on part digests, and each connected family of candidates goes to
-   one task (a family too large for one task is cut into blocks, and every pair of blocks is a task).
+   one task. A family too large for one task, which texts that share a few passages make, is first parted by prefixes
+   of its shingles, rarest first; what is still too large is cut into blocks, and every pair of blocks is a task.
 4. Within a family runs the grouped prefix join. Shingles are ordered rarest first; sets with the same prefix
    and size form a group; groups meet on prefix shingles, pass size and position filters, and their members are
    expanded and verified exactly.
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popforge.llm.graph import components
-from popforge.llm.shared import discard, fits, map_rows, mapped, written
+from popforge.llm.shared import discard, fits, likely, map_rows, mapped, written
 from popforge.llm.textarrays import chunks, joined, mix, shingles, words
 
 SHINGLE, PERCENT = 3, 90
@@ -222,6 +223,20 @@ def _fetch(shingle: int):
     return run
 
 
+def _tokens_of(shingle: int):
+    """The shingles of sets, scrambled with their family so that families meet nowhere."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[int] = set()
+        for pdf in batches:
+            pdf = _new(pdf, seen)
+            family = mix(pdf["family"].to_numpy(np.int64).view(np.uint64))
+            out = [(pdf["key"].iat[row], pdf["family"].iat[row], len(own), mix(own ^ family[row]).view(np.int64)) for row, own in _sets(pdf["text"], shingle)]
+            yield pd.DataFrame(out, columns=["key", "family", "n", "tokens"])
+
+    return run
+
+
 class _Forest:
     def __init__(self, n: int):
         self.up = list(range(n))
@@ -305,6 +320,42 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     return kept.dropDuplicates(["row"]).select("doc.*")
 
 
+def _texts(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """rows(row, key) with their texts. Where rows are too many for a broadcast, the texts of others are kept out of the shuffle."""
+    n = rows.count()
+    texts = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
+    if n > BROADCAST_ROWS:
+        texts = likely(texts, rows.select("row.h"), n)
+    texts = texts.select(F.struct("doc_id", "h").alias("row"), "text")
+    return texts.join(rows if n > BROADCAST_ROWS else F.broadcast(rows), "row").select("key", "text")
+
+
+def _families(offered: DataFrame) -> DataFrame:
+    """key, family of the sets of offered(key, part) that are connected by common parts."""
+    nearest = offered.groupBy("part").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least <> most").drop("most")
+    met = offered.join(nearest, "part").where("key <> least")
+    found = components(met.select(F.col("key").alias("a"), F.col("least").alias("b")))
+    found = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
+    return found.select(F.col("node").alias("key"), F.col("root").alias("family"))
+
+
+def _weighed(families: DataFrame, classes: DataFrame) -> DataFrame:
+    """key, family, n and weight, all shingles of the family."""
+    placed = classes.select("key", "n").join(families, "key")
+    return placed.join(placed.groupBy("family").agg(F.sum("n").alias("weight")), "family").select("key", "family", "n", "weight")
+
+
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """key, part: the shingles of sets(key, family, n, tokens) that others of the family hold too, among the n * (100 - percent) / 100
+    and one that fewest of the family hold. Linked sets have one of these in common, others seldom do."""
+    each = sets.select("key", "n", F.explode("tokens").alias("token")).select("key", "n", F.col("token").alias("part"))
+    held = each.groupBy("part").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    shared = each.join(held, "part").groupBy("key", "n").agg(F.sort_array(F.collect_list(F.struct("held", "part"))).alias("shared"))
+    # those that the set holds alone come first
+    most = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / F.lit(100)) + 1 - (F.col("n") - F.size("shared"))
+    return shared.where(most > 0).select("key", F.explode(F.slice("shared", F.lit(1), most.cast("int"))).alias("first")).select("key", "first.part")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id: a row for each row of docs(doc_id, text).
 
@@ -322,36 +373,37 @@ def _components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     classes = found.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.first("doc_id").alias("doc_id"), F.first("h").alias("h"), F.first("n_shingles").alias("n"))
     classes = written(classes.select("key", "first_doc", F.struct("doc_id", "h").alias("row"), "n"))
 
-    def texts_of(rows: DataFrame) -> DataFrame:
-        side = F.broadcast(rows) if fits(rows, BROADCAST_ROWS) else rows
-        return docs.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("row"), "text").join(side, "row")
-
     # twice: copies make shingles look shared until they are counted as one
     left = classes.join(sharing(docs, shingle, percent), "key")
     left = written(left.select("key", "row"))
-    left = written(left.join(sharing(texts_of(left), shingle, percent), "key"))
+    held = written(_texts(docs, left))
+
+    def texts_of(rows: DataFrame) -> DataFrame:
+        return held.join(F.broadcast(rows) if fits(rows, BROADCAST_ROWS) else rows, "key")
+
+    left = written(left.join(sharing(held, shingle, percent), "key").select("key"))
     offers = written(mapped(texts_of(left).select("key", "text"), _offer(shingle, percent), "key long, parts array<long>"))
-    offered = offers.select("key", F.explode("parts").alias("part"))
-    nearest = offered.groupBy("part").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least <> most").drop("most")
-    met = offered.join(nearest, "part").where("key <> least")
-    families = components(met.select(F.col("key").alias("a"), F.col("least").alias("b")))
+    placed = written(_weighed(_families(offers.select("key", F.explode("parts").alias("part"))), classes))
     discard(offers)
-    families = families.unionByName(families.select(F.col("root").alias("node"), "root").distinct())
-    placed = classes.join(families.select(F.col("node").alias("key"), F.col("root").alias("family")), "key")
-    weights = placed.groupBy("family").agg(F.sum("n").alias("weight"))
-    placed = written(placed.join(weights, "family").select("row", "key", "family", "n", "weight"))
+    large = F.col("weight") > FAMILY_SHINGLES
+    if placed.where(large).limit(1).count():
+        prefixes = written(_prefixes(mapped(texts_of(placed.where(large).select("key", "family")), _tokens_of(shingle), "key long, family long, n long, tokens array<long>"), percent))
+        placed = written(placed.where(~large).unionByName(_weighed(_families(prefixes), classes)))
+        discard(prefixes)
     total = placed.agg(F.sum("n")).first()[0] or 0
     links = None
     if total:
-        texts = texts_of(placed.select("row", "key", "family", "weight"))
+        texts = texts_of(placed.select("key", "family", "weight"))
         sets = mapped(texts.select("family", "weight", "key", "text"), _fetch(shingle), "family long, weight long, key long, own binary")
         tasks = max(1, total // TASK_SHINGLES)
-        whole = sets.where(F.col("weight") <= FAMILY_SHINGLES).select("family", "key", "own", F.pmod(F.xxhash64("family"), F.lit(tasks)).alias("deal"), F.lit(0).alias("other"))
+        whole = F.array(F.struct(F.pmod(F.xxhash64("family"), F.lit(tasks)).alias("deal"), F.lit(0).alias("other")))
         blocks = F.ceil(F.col("weight") * 2 / FAMILY_SHINGLES).cast("int")
-        cut = sets.where(F.col("weight") > FAMILY_SHINGLES).withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-        paired = cut.select("family", "key", "own", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-        paired = paired.select("family", "key", "own", (F.hash("family").cast("long") * 65536 + F.least("block", "with")).alias("deal"), F.greatest("block", "with").alias("other"))
-        links = written(whole.unionByName(paired).groupBy("deal", "other").applyInPandas(_join(percent), "a long, b long"))
+        block = F.pmod(F.xxhash64("key"), blocks).cast("int")
+        paired = F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct((F.hash("family").cast("long") * 65536 + F.least(block, k)).alias("deal"), F.greatest(block, k).alias("other")))
+        to = F.explode(F.when(F.col("weight") <= FAMILY_SHINGLES, whole).otherwise(paired)).alias("to")
+        dealt = sets.select("family", "key", "own", to).select("family", "key", "own", "to.deal", "to.other")
+        links = written(dealt.groupBy("deal", "other").applyInPandas(_join(percent), "a long, b long"))
+    discard(held)
     out = found.select("doc_id", "h", "n_shingles", "key")
     named = classes.select("key", "first_doc")
     if links is not None:
