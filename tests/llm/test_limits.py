@@ -1,10 +1,12 @@
 """Disk and memory that larger tables showed, held on small ones."""
 
 import random
+import tracemalloc
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from popforge.llm import jaccard_join
+from popforge.llm import hard_negatives, jaccard_join
 from popforge.llm.shared import likely
 
 
@@ -66,3 +68,16 @@ def test_large_families_are_parted_before_their_pairs_are_made(spark, monkeypatc
     got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(docs, 5, 80).collect()}
     assert got == {k: k - k % 2 for k in range(120)}
     assert 0 < dealt[0].value <= 2 * len(texts)
+
+
+def test_nearest_centroids_take_little_memory():
+    """All distances at once took 24 bytes for each pair of a sampled row and a centroid on the driver."""
+    rng = np.random.default_rng(2)
+    x, centroids = rng.integers(-99, 99, (8000, 4)).astype(np.float64), rng.integers(-99, 99, (2000, 4)).astype(np.float64)
+    tracemalloc.start()
+    at = hard_negatives._nearest(x, centroids)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6
+    for k in range(0, 8000, 400):
+        assert at[k] == ((centroids - x[k]) ** 2).sum(1).argmin()
