@@ -67,6 +67,8 @@ class Forest:
         for _ in range(self.depth):
             f = self.feature[tree, at]
             inner = f >= 0
+            if not inner.any():
+                break
             right = bins[rows, np.maximum(f, 0)] > self.cut[tree, at]
             at = np.where(inner, 2 * at + 1 + right, at)
         return at
@@ -90,13 +92,14 @@ class Problem:
     seed: int
 
 
-def grow(donors: DataFrame, problems: Sequence[Problem], key: str, weight: str | None, trees: int, depth: int, least: int) -> list[Forest]:
-    """A forest for each problem on donors(key, weight, targets, predictors), all numbers but the key. Donors with a null target
-    or without weight are not seen by its forest. Without donors or predictors each tree is one leaf."""
+def grow(donors: DataFrame, problems: Sequence[Problem], key: str | Column, weight: str | None, trees: int, depth: int, least: int) -> list[Forest]:
+    """A forest for each problem on donors(key, weight, targets, predictors), all numbers but the key, or a hash of it in its
+    place (a Column). Donors with a null target or without weight are not seen by its forest. Without donors or predictors each tree is one leaf."""
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     names = list(dict.fromkeys(c for p in problems for c in (*p.predictors, p.target)))
     at = {c: f"x{i}" for i, c in enumerate(names)}
-    seen = donors.select(F.xxhash64(F.col(key).cast("string")).alias("hash"), w.alias("w"), *[F.col(c).cast("double").alias(x) for c, x in at.items()]).where("w > 0")
+    hashed = F.xxhash64(F.col(key).cast("string")) if isinstance(key, str) else key
+    seen = donors.select(hashed.alias("hash"), w.alias("w"), *[F.col(c).cast("double").alias(x) for c, x in at.items()]).where("w > 0")
     n = seen.count()
     rate = (SAMPLE + 8 * SAMPLE**0.5) / max(n, 1)
     few = seen if rate >= 1 else seen.where(F.xxhash64("hash") < F.lit(int(rate * 2.0**64) - (1 << 63)))

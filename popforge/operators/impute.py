@@ -7,14 +7,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
 from popforge.functions.rng import uniform
 from popforge.functions.scalars import clipped, zero_where
 from popforge.operators.forest import Forest, Problem, grow, leaf_in, placed
-from popforge.operators.ranges import RANGE, draw, in_ranges, running_sums, shares
-from popforge.sources.storage import discard, written
+from popforge.operators.ranges import RANGE, draw, in_ranges, running_sums
+from popforge.sources.storage import bucketed, discard, written
 
 
 @dataclass(frozen=True)
@@ -102,12 +105,31 @@ def weighted_quantile(df: DataFrame, group: str, value: str, weight: str, q: flo
     return reached.groupBy(group).agg(F.min(F.struct(value, key))[value].alias(name))
 
 
+#: Donors of a slice, about; there are at least as many slices as partitions.
+SLICE = 1 << 16
+
+
+def in_slices(donors: DataFrame, order: str = "_order") -> DataFrame:
+    """donors with `order`, a hash, dealt to slices of its range (_slice) and written in buckets of slices, so that work on a
+    slice moves no rows. Read once only: they are written first, if they aren't yet, to be counted."""
+    held = donors if hasattr(donors, "_written_to") else written(donors)
+    buckets = int(donors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = max(1, (max(buckets, -(-held.count() // SLICE)) - 1).bit_length())
+    out = bucketed(held.withColumn("_slice", F.shiftrightunsigned(order, 64 - bits).cast("int")), "_slice", buckets, deal=True)
+    discard(held)
+    return out
+
+
 class ForestSampler:
     """Draws whole donor rows from the leaves of a random forest (Meinshausen, 2006).
 
     A recipient's draw picks a tree by a hashed uniform, finds its leaf there, and takes the donor whose share of the
     leaf's weight holds a second uniform: a sample of the weighted conditional distribution that is always an observed
     row, so zeros, booleans and the joint distribution survive. Neither fitting nor drawing depends on data layout.
+
+    Donors lie on the line of a leaf in the order of a hash of their key, and are dealt to slices of that hash once, for all
+    leaves and trees. A leaf is known by its weight in each slice; a recipient finds its slice by these, goes there, and
+    finds its donor among those of the slice. So a donor is never copied for a tree, and no leaf meets in a task.
     """
 
     def __init__(self, predictors: Sequence[str], target: str, key: str, weight: str | None = None, trees: int = 20, depth: int = 6, least: int = 5, seed: int = 20260529):
@@ -115,18 +137,74 @@ class ForestSampler:
         self.trees, self.depth, self.least, self.seed = trees, depth, least, seed
 
     def fit(self, donors: DataFrame, grown: Forest | None = None) -> ForestSampler:
-        """grown: a forest of these donors that has been grown already, as with those of other targets."""
+        """grown: a forest of these donors that has been grown already, as with those of other targets; donors that
+        in_slices() has dealt already stay where they are."""
         self.forest = grown or grow(donors, [Problem(self.target, tuple(self.predictors), self.seed)], self.key, self.weight, self.trees, self.depth, self.least)[0]
         weight = F.col(self.weight).cast("double") if self.weight else F.lit(1.0)
-        rows = donors.where(F.col(self.target).isNotNull()).withColumns({"_donor": F.col(self.key), "_w": weight})
-        self.leaves = written(shares(placed(rows, self.forest, ["_donor", "_w"]), ["_tree", "_leaf"], "_donor", "_w"))
+        numbers = [F.col(c).cast("double").alias(f"_at_{i}") for i, c in enumerate(self.forest.predictors)]
+        rows = donors.where(F.col(self.target).isNotNull()).withColumn("_size", weight).where("_size > 0")
+        own = [F.col(self.key).alias("_donor"), "_size", *numbers]
+        self.dealt = "_slice" not in donors.columns
+        self.rows = in_slices(rows.select(F.xxhash64(F.col(self.key).cast("string")).alias("_order"), *own)) if self.dealt else rows.select("_slice", "_order", *own)
+        forest = self.forest
+
+        def weighed(slice_: pa.Table) -> pa.Table:
+            slice_, leaves = _in_order(slice_, forest)
+            size, found = slice_["_size"].to_numpy(), []
+            for tree in range(len(forest.feature)):
+                sums = np.bincount(leaves(tree), size)
+                at = np.flatnonzero(sums)
+                found.append(pd.DataFrame({"_slice": slice_["_slice"][0].as_py(), "_tree": tree, "_leaf": at, "_size": sums[at]}))
+            return pa.Table.from_pandas(pd.concat(found), pa.schema([("_slice", pa.int32()), ("_tree", pa.int32()), ("_leaf", pa.int32()), ("_size", pa.float64())]), preserve_index=False)
+
+        sums = self.rows.drop("_donor").groupBy("_slice").applyInArrow(weighed, "_slice int, _tree int, _leaf int, _size double")
+        of = Window.partitionBy("_tree", "_leaf")
+        upto = sums.withColumn("_upto", F.sum("_size").over(of.orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)))
+        self.spans = written(upto.withColumn("_total", F.max("_upto").over(of)))
         return self
 
     def draw(self, recipients: DataFrame, key: str, donor: str = "donor_id") -> DataFrame:
-        """key, donor for each recipient, by a join on tree, leaf and the part of the leaf that the uniform falls in."""
+        """key, donor for each recipient: by a join on tree, leaf and the part of the leaf that the uniform falls in to the
+        slice, and there by its place in the leaf's weight."""
         asked = recipients.withColumn("_u", uniform(f"{self.seed}:donor", key))
         at = leaf_in(asked, self.forest, F.floor(uniform(f"{self.seed}:tree", key) * self.trees), [key, "_u"])
-        return draw(at, "_u", ["_tree", "_leaf"], self.leaves, "_donor").select(key, F.col("_donor").alias(donor))
+        high = F.when(F.col("_upto") >= F.col("_total"), F.lit(2.0)).otherwise(F.col("_upto") / F.col("_total"))
+        intervals = self.spans.select("_tree", "_leaf", "_slice", ((F.col("_upto") - F.col("_size")) / F.col("_total")).alias("low"), high.alias("high"))
+        place = (F.col("_u") * F.col("_total") - (F.col("_upto") - F.col("_size"))).alias("_place")
+        found = draw(at, "_u", ["_tree", "_leaf"], intervals, "_slice").join(self.spans, ["_tree", "_leaf", "_slice"], "left")
+        found = written(found.select(F.col(key).alias("_key"), "_tree", "_leaf", "_slice", place))
+        kinds = {"_key": found.schema["_key"].dataType, "_donor": self.rows.schema["_donor"].dataType}
+        forest, schema = self.forest, to_arrow_schema(StructType([StructField(c, t) for c, t in kinds.items()]))
+
+        def picked(slice_: pa.Table, asks: pa.Table) -> pa.Table:
+            if not len(asks):
+                return schema.empty_table()
+            slice_, leaves = _in_order(slice_, forest)
+            size, out = slice_["_size"].to_numpy(), np.zeros(len(asks), np.int64)
+            trees, leaf, place = (asks[c].to_numpy() for c in ("_tree", "_leaf", "_place"))
+            for tree in np.unique(trees):
+                ask, at = np.flatnonzero(trees == tree), leaves(tree)
+                order = np.argsort(at, kind="stable")
+                upto = np.concatenate(([0.0], np.cumsum(size[order])))
+                first, last = (np.searchsorted(at[order], leaf[ask], side) for side in ("left", "right"))
+                out[ask] = order[np.clip(np.searchsorted(upto, upto[first] + place[ask], "right") - 1, first, last - 1)]
+            return pa.table({"_key": asks["_key"], "_donor": slice_["_donor"].take(pa.array(out))}).cast(schema)
+
+        sides = self.rows.groupBy("_slice"), found.where("_slice is not null").groupBy("_slice")
+        met = sides[0].cogroup(sides[1]).applyInArrow(picked, StructType([StructField(c, t) for c, t in kinds.items()]))
+        none = found.where("_slice is null").select("_key", F.lit(None).cast(kinds["_donor"]).alias("_donor"))
+        return met.unionByName(none).select(F.col("_key").alias(key), F.col("_donor").alias(donor))
+
+    def forget(self) -> None:
+        """Deletes what fit() has written; draws that were not written yet are lost."""
+        discard(self.spans, *[self.rows] * self.dealt)
+
+
+def _in_order(slice_: pa.Table, forest: Forest) -> tuple[pa.Table, Callable[[int], np.ndarray]]:
+    """Donors of a slice in the order of their hash, and the leaf of each in a tree."""
+    slice_ = slice_.take(pa.array(np.argsort(slice_["_order"].to_numpy(), kind="stable")))
+    bins = forest.bins(pd.DataFrame({c: slice_[f"_at_{i}"].to_numpy() for i, c in enumerate(forest.predictors)}, index=range(len(slice_))))
+    return slice_, lambda tree: forest.leaves(bins, tree)
 
 
 #: Values of a leaf's sketch: ranks of quantiles are off by 1 / SKETCH at most.
@@ -199,20 +277,24 @@ def forest_draws(donors: Donors, recipients: DataFrame, key: str, variables: Seq
     """
     names = list(dict.fromkeys([*predictors, *variables]))
     weight = [donors.weight] if donors.weight else []
-    number = lambda df, of: [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x_{c}") for c in of]
+    number = lambda of: [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x_{c}") for c in of]
     # rows that share a key are donors of their own; rows that are equal in all are told apart by nothing and needn't be
-    every = F.concat_ws("-", F.col(donors.key).cast("string"), F.xxhash64(*[F.col(c) for c in (*weight, *names)]).cast("string")).alias("_row")
-    given = written(donors.rows.select(every, *weight, *variables, *[F.col(v).cast("double").alias(f"_y_{v}") for v in variables], *number(donors.rows, names)))
+    every = F.concat_ws("-", F.col(donors.key).cast("string"), F.xxhash64(*[F.col(c) for c in (*weight, *names)]).cast("string"))
+    size = F.col(donors.weight).cast("double") if donors.weight else F.lit(1.0)
+    # numbers that are made of others are made anew when read
+    own = [c for c in predictors if c not in variables]
+    given = in_slices(donors.rows.select(F.xxhash64(every).alias("_order"), size.alias("_w"), *variables, *number(dict.fromkeys(own))))
+    known = given.select("*", *[F.col(v).cast("double").alias(f"_y_{v}") for v in variables], *number(variables))
     before = [[*predictors, *variables[:k]] for k in range(len(variables))]
     problems = [Problem(f"_y_{v}", tuple(f"_x_{c}" for c in dict.fromkeys(have)), seed + k) for k, (v, have) in enumerate(zip(variables, before, strict=True))]
-    forests = grow(given, problems, "_row", donors.weight, trees, depth, least)
+    forests = grow(known, problems, F.col("_order"), "_w", trees, depth, least)
     asked = recipients.select(key, *predictors)
     for v, have, problem, grown in zip(variables, before, problems, forests, strict=True):
-        sampler = ForestSampler(problem.predictors, problem.target, "_row", donors.weight, trees, depth, least, problem.seed).fit(given, grown)
-        drawn = sampler.draw(asked.select(key, *number(asked, dict.fromkeys(have))), key, "_donor")
-        side = given.groupBy(F.col("_row").alias("_donor")).agg(F.first(v).alias(v))
-        last, asked = asked, written(asked.drop(v).join(drawn.join(side, "_donor", "left").select(key, v), key, "left"))
-        discard(last, sampler.leaves)
+        sampler = ForestSampler(problem.predictors, problem.target, v, "_w", trees, depth, least, problem.seed).fit(known, grown)
+        drawn = sampler.draw(asked.select(key, *number(dict.fromkeys(have))), key, v)
+        last, asked = asked, written(asked.drop(v).join(drawn, key, "left"))
+        discard(last)
+        sampler.forget()
     discard(given)
     return asked.select(key, *variables)
 

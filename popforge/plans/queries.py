@@ -463,7 +463,7 @@ def _panel(spark, sf_dir):
         (at("linenumber") % 3).alias("CARS"), (at("linenumber") % 3 * 4000).alias("VAL_CARS"), (1 + at("linenumber") % 3).alias("W"),
     )
     folder = f"{shared_dir(spark)}/panel-{uuid.uuid4().hex}"
-    rows.write.csv(f"{folder}/panel.csv", sep="|", header=True)
+    rows.write.csv(f"{folder}/panel.csv", sep="|", header=True, compression="gzip")
     return folder
 
 

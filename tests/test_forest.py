@@ -4,7 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from popforge.operators import forest, impute
+from popforge.functions.rng import uniform
+from popforge.operators import forest, impute, ranges
+from popforge.sources import storage
 
 
 @pytest.fixture(scope="module")
@@ -112,3 +114,35 @@ def test_sketches(spark):
 def test_quantiles_without_donors(spark, donors):
     asked = spark.createDataFrame([(1, 2.0)], "id long, a double")
     assert [tuple(r) for r in impute.forest_quantiles(impute.Donors(donors.limit(0), "id", "w"), asked, "id", "y", ["a"], {"q": 0.5}, trees=2, depth=2).collect()] == [(1, None)]
+
+
+def test_donors_are_not_written_for_each_tree(spark, monkeypatch):
+    rows = []
+
+    def counted(df):
+        out = storage.written(df)
+        rows.append(out.count())
+        return out
+
+    for module in (impute, ranges):
+        monkeypatch.setattr(module, "written", counted)
+    given = spark.createDataFrame([(i, float(i % 7), float(i % 5), 1.0 + i % 3) for i in range(400)], "d long, a double, pay double, w double")
+    asked = spark.createDataFrame([(i, float(i % 7)) for i in range(50)], "k long, a double")
+    got = impute.forest_draws(impute.Donors(given, "d", "w"), asked, "k", ["pay"], ["a"], trees=16, depth=2, least=2).collect()
+    assert len(got) == 50 and {r.pay for r in got} <= {float(i) for i in range(5)}
+    # leaves were written with a row for each donor and tree before
+    assert max(rows) <= 400
+
+
+def test_drawn_donor_is_the_one_at_its_place_in_the_leaf(spark):
+    weights = {i: 0.25 + (i * i) % 11 for i in range(300)}
+    given = spark.createDataFrame([(i, 1.0, float(i), w) for i, w in weights.items()], "id long, a double, y double, w double")
+    asked = spark.createDataFrame([(i, 1.0) for i in range(500)], "k long, a double")
+    sampler = impute.ForestSampler(["a"], "y", "id", "w", trees=3, depth=2).fit(given)
+    got = {r.k: r.donor_id for r in sampler.draw(asked, "k").collect()}
+    # one leaf: all donors in the order of their hashes, from 0 up
+    line = [r.id for r in given.orderBy(F.expr("shiftrightunsigned(xxhash64(cast(id as string)), 1)")).collect()]
+    ends = np.cumsum([weights[i] for i in line])
+    at = {r.k: r.u for r in asked.select("k", uniform(f"{sampler.seed}:donor", "k").alias("u")).collect()}
+    wanted = {k: line[int(np.searchsorted(ends, u * ends[-1], "right"))] for k, u in at.items()}
+    assert got == wanted
