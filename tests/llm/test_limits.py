@@ -2,8 +2,10 @@
 
 import random
 import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from popforge.llm import hard_negatives, jaccard_join
@@ -81,3 +83,19 @@ def test_nearest_centroids_take_little_memory():
     assert peak < 40e6
     for k in range(0, 8000, 400):
         assert at[k] == ((centroids - x[k]) ** 2).sum(1).argmin()
+
+
+def test_visits_send_only_their_anchors_and_some_bytes_at_a_time(monkeypatch):
+    # 64 anchors whose best lists are all different, in 64 shards
+    dim, n = 64, 64
+    centroids = np.eye(n, dim) * 100
+    index = SimpleNamespace(centroids=centroids, radii=np.ones(n), sizes=np.ones(n), first=np.arange(n), parts=np.ones(n, np.int64))
+    vecs, longs = centroids.astype(np.int32), np.arange(n).tobytes()
+    pack = pd.DataFrame([{"pack": 5, "uids": longs, "labels": longs, "vecs": vecs.tobytes(), "slots": list(range(n)), "lows": None, "highs": None, "with_floor": None, "floors": None}])
+    monkeypatch.setattr(hard_negatives, "SENT", 4 * 4 * dim, raising=False)
+    sent = list(hard_negatives._visits(index, 0, 1)(iter([pack])))
+    # the whole pack went to each shard before, all of it at once
+    assert len(sent) > 8 and max(f["vecs"].map(len).sum() for f in sent) <= 8 * 4 * dim
+    every = pd.concat(sent)
+    assert sorted(every["shard"]) == list(range(n)) and all(len(v) == 4 * dim for v in every["vecs"])
+    assert all(list(r.queries) == [r.shard] and list(r.slots) == [0] and list(r.lists) == [r.shard] for r in every.itertuples())
